@@ -6,19 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admill.llm import quality
+from admill.llm import quality, simhash
 from admill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_report(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_quality_rules,)}
+    return {f.__name__: f for f in (op5_simhash, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
