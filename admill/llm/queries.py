@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admill.llm import quality, simhash
+from admill.llm import packing, quality, simhash
 from admill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,7 +26,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_simhash, op7_quality_rules)}
+    return {f.__name__: f for f in (op4_packing, op5_simhash, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
