@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admill.llm import packing, quality, simhash
+from admill.llm import packing, quality, simhash, warc
 from admill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,14 +20,33 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_report(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_packing, op5_simhash, op7_quality_rules)}
+    return {f.__name__: f for f in (op4_packing, op5_simhash, op6_warc, op7_quality_rules)}
+
+
+#: base32 of a hex SHA-1, five bits at a time, spelt out because DuckDB has no such function.
+_OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS sha FROM pages),
+d AS (SELECT sha, min(page_id) AS first_id, any_value(body) AS body FROM p GROUP BY sha),
+b AS (SELECT sha, first_id, octet_length(encode(body)) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((((CAST('0x' || substr(sha || '00', CAST(floor(i * 5 / 4) AS INT) + 1, 2) AS INT)) >> (3 - (i * 5) % 4)) & 31) AS INT), 1)),
+    'string_agg', '') AS payload_digest FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN b USING (sha)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": _OP6_SQL}
