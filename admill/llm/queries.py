@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admill.llm import packing, quality, simhash, warc
+from admill.llm import decontam, packing, quality, simhash, warc
 from admill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +29,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_packing, op5_simhash, op6_warc, op7_quality_rules)}
+    return {f.__name__: f for f in (op4_packing, op5_simhash, op6_warc, op7_quality_rules, op10_decontamination)}
 
 
 #: base32 of a hex SHA-1, five bits at a time, spelt out because DuckDB has no such function.
