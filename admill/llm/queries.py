@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admill.llm import decontam, packing, quality, simhash, warc
+from admill.llm import decontam, packing, quality, simhash, token_shards, warc
 from admill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.sharded_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_packing, op5_simhash, op6_warc, op7_quality_rules, op10_decontamination)}
+    return {f.__name__: f for f in (op3_token_shards, op4_packing, op5_simhash, op6_warc, op7_quality_rules, op10_decontamination)}
 
 
 #: base32 of a hex SHA-1, five bits at a time, spelt out because DuckDB has no such function.
