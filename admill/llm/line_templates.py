@@ -8,9 +8,10 @@ is constant, any other becomes a variable field. Lines whose template keeps at l
 of its tokens share it, and templates that recur across documents are dropped from all of them.
 
 Recurrence counts contexts, not copies: exact copies of a document count once, and a line's
-context is the smallest other leaf of its document, which near copies share. A template recurs if
-it has `MIN_DOCS` contexts and none of them makes up more than half of its documents; so copied
-documents keep their text for the near-duplicate step, while boilerplate goes.
+context is a minhash of the other leaves of its document, which near copies share. A template
+recurs if it has `MIN_DOCS` contexts and none of them makes up more than half of its documents,
+under each of `HASHES` minhashes; so copied documents keep their text for the near-duplicate step,
+while boilerplate goes.
 
 Only hashes are grouped; text moves once, in the last join, and not at all while the rows to change
 are counted to be few. Leaves to look into are broadcast under the same kind of check.
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from admill.llm.common import join_checked, materialise, require, text_key
 
-DEPTH, MIN_DOCS, MIN_CONSTANT = 3, 3, 0.6
+DEPTH, MIN_DOCS, MIN_CONSTANT, HASHES = 3, 3, 0.6, 4
 
 
 def tidy(line: Column) -> Column:
@@ -47,34 +48,40 @@ def leaf(line: Column, depth: int = DEPTH) -> Column:
 
 
 def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """A row per distinct text: t (its hash), lines as structs of leaf and line hash, and the two smallest leaves."""
+    """A row per distinct text: t (its hash), lines as structs of leaf and line hash, and for each minhash the two least leaves."""
     t, check = text_key(F.col("text"))
     one = docs.select(t.alias("t"), check.alias("check"), F.filter(lines_of(F.col("text")), lambda x: x != "").alias("x"))
     hashed = F.array_distinct(F.transform("x", lambda x: F.struct(leaf(x, depth).alias("leaf"), F.xxhash64(x).alias("line"))))
     rows = one.select("t", "check", hashed.alias("lines"))
-    least = F.slice(F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["leaf"]))), 1, 2)
-    return rows.dropDuplicates(["t", "check"]).withColumn("least", least)
+    leaves = F.array_distinct(F.transform("lines", lambda x: x["leaf"]))
+    least = [F.slice(F.array_sort(F.transform(leaves, lambda x, i=i: F.xxhash64(F.lit(i), x))), 1, 2) for i in range(HASHES)]
+    return rows.dropDuplicates(["t", "check"]).withColumn("least", F.array(*least))
 
 
 def occurrences(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(leaf, line, ctx) for each distinct line of each distinct text; ctx is the smallest other leaf."""
+    """(leaf, line, ctx) for each distinct line of each distinct text; ctx has the least other leaf by each minhash."""
     flat = parsed(docs, depth).select("least", F.explode("lines").alias("l"))
-    first, second = F.get("least", F.lit(0)), F.get("least", F.lit(1))
-    other = F.when(first == F.col("l.leaf"), F.coalesce(second, F.lit(0))).otherwise(first)
-    return flat.select("l.leaf", "l.line", other.alias("ctx"))
 
+    def other(i: int) -> Column:
+        two = F.get("least", F.lit(i))
+        first, second = F.get(two, F.lit(0)), F.get(two, F.lit(1))
+        return F.when(first == F.xxhash64(F.lit(i), "l.leaf"), F.coalesce(second, F.lit(0))).otherwise(first)
 
-def recurring(counts: DataFrame, by: list[str], min_docs: int) -> DataFrame:
-    """Groups of (by..., ctx, n) rows with enough contexts, none of which holds more than half."""
-    groups = counts.groupBy(*by).agg(F.count("*").alias("contexts"), F.sum("n").alias("docs"), F.max("n").alias("most"))
-    return groups.filter((F.col("contexts") >= min_docs) & (2 * F.col("most") <= F.col("docs")))
+    return flat.select("l.leaf", "l.line", F.array(*[other(i) for i in range(HASHES)]).alias("ctx"))
+
+
+def recurring(counts: DataFrame, by: str, min_docs: int) -> DataFrame:
+    """Groups of (by, ctx, n) rows that have enough contexts, none with more than half, under every minhash."""
+    each = counts.select(by, "n", F.posexplode("ctx").alias("i", "c")).groupBy(by, "i", "c").agg(F.sum("n").alias("n"))
+    groups = each.groupBy(by, "i").agg(F.count("*").alias("contexts"), F.sum("n").alias("docs"), F.max("n").alias("most"))
+    fine = (F.col("contexts") >= min_docs) & (2 * F.col("most") <= F.col("docs"))
+    return groups.groupBy(by).agg(F.min(fine).alias("fine")).filter("fine").select(by)
 
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT) -> DataFrame:
     """Hashes (column line) of the distinct lines whose template recurs across documents."""
     seen = materialise(occurrences(require(docs, "text"), depth).groupBy("leaf", "line", "ctx").agg(F.count("*").alias("n")), "lines")
-    by_leaf = seen.groupBy("leaf", "ctx").agg(F.sum("n").alias("n"))
-    leaves = materialise(by_leaf.groupBy("leaf").agg(F.count("*").alias("c")).filter(F.col("c") >= min_docs).select("leaf"), "leaves")
+    leaves = materialise(seen.groupBy("leaf").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select("leaf"), "leaves")
     likely = materialise(join_checked(seen, leaves, "leaf", "left_semi"), "likely-lines")
     weights = likely.groupBy("leaf", "line").agg(F.sum("n").alias("docs"))
 
@@ -89,7 +96,7 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
     shapes = shapes.filter(F.col("fixed") >= min_constant * F.col("size")).select("line", F.xxhash64("leaf", F.to_json("fields")).alias("template"))
     shapes = materialise(shapes, "templates")
     counts = likely.join(shapes, "line").groupBy("template", "ctx").agg(F.sum("n").alias("n"))
-    return shapes.join(recurring(counts, ["template"], min_docs).select("template"), "template", "left_semi").select("line").distinct()
+    return shapes.join(recurring(counts, "template", min_docs), "template", "left_semi").select("line").distinct()
 
 
 def marked_lines(docs: DataFrame, **limits) -> DataFrame:
