@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admill.llm import decontam, line_templates, packing, quality, simhash, token_shards, warc
+from admill.llm import decontam, line_templates, packing, quality, secret_scan, simhash, token_shards, warc
 from admill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.line_report(table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_token_shards, op4_packing, op5_simhash, op6_warc, op7_quality_rules, op9_line_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op3_token_shards, op4_packing, op5_simhash, op6_warc, op7_quality_rules, op8_secret_scan, op9_line_dedup, op10_decontamination)}
 
 
 #: base32 of a hex SHA-1, five bits at a time, spelt out because DuckDB has no such function.
