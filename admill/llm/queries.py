@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admill.llm import decontam, line_templates, packing, quality, secret_scan, simhash, token_shards, warc
+from admill.llm import decontam, license_scan, line_templates, packing, quality, secret_scan, simhash, token_shards, toxicity, warc
 from admill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.sharded_documents(table(spark, sf_dir, "documents"))
 
@@ -46,7 +54,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_token_shards, op4_packing, op5_simhash, op6_warc, op7_quality_rules, op8_secret_scan, op9_line_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op1_license_scan, op2_toxicity, op3_token_shards, op4_packing, op5_simhash, op6_warc, op7_quality_rules, op8_secret_scan, op9_line_dedup, op10_decontamination)}
 
 
 #: base32 of a hex SHA-1, five bits at a time, spelt out because DuckDB has no such function.
@@ -65,4 +73,4 @@ FROM p JOIN b USING (sha)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": _OP6_SQL}
+    return {"op1_license_scan": license_scan.report_sql(), "op6_warc": _OP6_SQL}
