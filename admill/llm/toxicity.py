@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from admill.llm.common import materialise, require
 
 #: Bound of the labelled sample, folds, words kept, and the least chi-square of a kept word.
-MAX_ROWS, FOLDS, MAX_WORDS, MIN_CHI2 = 20_000, 3, 512, 25.0
+MAX_ROWS, FOLDS, MAX_WORDS, MIN_CHI2 = 20_000, 3, 512, 15.0
 REGULAR, THRESHOLD = 0.001, 0.5
 _SHARES = ["_upper", "_symbols", "_long"]
 
