@@ -31,13 +31,18 @@ DEPTH, MIN_DOCS, MIN_CONSTANT, HASHES = 3, 3, 0.6, 4
 
 
 def tidy(line: Column) -> Column:
-    """The line with single spaces between its words."""
-    plain = F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))
+    """The line with single spaces between its words; other white space has become spaces before."""
+    plain = F.trim(line)
     return F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " +", " ")).otherwise(plain)
 
 
 def lines_of(text: Column) -> Column:
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), tidy)
+    """Tidy lines. Texts are rewritten only if they hold white space other than spaces and line ends."""
+    t = F.coalesce(text, F.lit(""))
+    odd = F.lit(False)
+    for c in "\t\r\x0b\x0c":
+        odd |= F.contains(t, F.lit(c))
+    return F.transform(F.split(F.when(odd, F.translate(t, "\t\r\x0b\x0c", "    ")).otherwise(t), "\n"), tidy)
 
 
 def leaf(line: Column, depth: int = DEPTH) -> Column:
@@ -127,7 +132,7 @@ def line_report(docs: DataFrame, **limits) -> DataFrame:
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i))
     return marked.select(
         "doc_id",
-        F.coalesce(F.size(F.filter(lines_of(F.col("text")), lambda x: x != "")), F.lit(0)).cast("long").alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")) != ""))).cast("long").alias("n_lines"),
         F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_dropped"),
         F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
     )
