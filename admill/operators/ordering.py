@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANGES = 64
+#: Distinct values that one task may order; more are dealt into ranges.
+MOST_VALUES = 50_000
 
 
 def in_ranges(df: DataFrame, by: str, ranges: int = RANGES) -> DataFrame:
@@ -32,6 +34,9 @@ def value_shares(df: DataFrame, by: str, into: str, where: Column | None = None)
     """(by, into): for each distinct value, the share of reference rows at or below it. where picks the reference rows."""
     weight = F.count("*") if where is None else F.sum(F.when(where, 1).otherwise(0))
     counts = df.groupBy(by).agg(weight.alias("_n"))
+    if counts.limit(MOST_VALUES + 1).count() <= MOST_VALUES:
+        below = F.sum("_n").over(Window.orderBy(by).rowsBetween(Window.unboundedPreceding, 0))
+        return counts.select(by, (below / F.greatest(F.sum("_n").over(Window.partitionBy()), F.lit(1))).alias(into))
     dealt = in_ranges(counts, by)
     sums = dealt.groupBy("_range").agg(F.sum("_n").alias("_s"))
     before = F.coalesce(F.sum("_s").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -28,12 +28,12 @@ def brand_scaling(ads: DataFrame) -> DataFrame:
 
 def with_percentiles(rows: DataFrame, reference: Column | None = None) -> DataFrame:
     """rows with p_<ingredient>: share of reference rows (all by default) at or below the row's own value, defaults filled in."""
+    out = rows
     for name, default in INGREDIENTS.items():
         value = F.greatest(F.coalesce(F.col(name), F.lit(default)), F.lit(default)).cast("double")
-        rows = rows.withColumn("_v", value)
-        shares = value_shares(rows, "_v", f"p_{name}", reference)
-        rows = rows.join(shares, "_v").drop("_v")
-    return rows
+        shares = value_shares(rows.withColumn("_v", value), "_v", f"p_{name}", reference)  # from the rows as given
+        out = out.withColumn("_v", value).join(shares, "_v").drop("_v")
+    return out
 
 
 def score(weights: dict[str, float] | None = None) -> Column:
