@@ -146,11 +146,11 @@ def sft_messages(spark, sf):
 
 @query("""WITH o AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice / l_quantity AS unit, l_returnflag = 'R' AS best,
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos FROM lineitem)
-SELECT l_orderkey, pos AS chosen, round(unit, 3) AS unit FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN best THEN 0 WHEN l_quantity = 1 THEN 1 ELSE 2 END,
+SELECT l_orderkey, pos AS chosen, unit FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN best THEN 0 WHEN l_quantity = 1 THEN 1 ELSE 2 END,
   CASE WHEN best OR l_quantity = 1 THEN 0 ELSE unit END, pos) AS rn FROM o) WHERE rn = 1""")
 def best_offer(spark, sf):
     offers = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag")))
     rows = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(offers.alias("o"))
     shaped = F.transform("o", lambda x, i: F.struct((i + 1).alias("pos"), x["l_quantity"].alias("quantity"), (x["l_extendedprice"] / x["l_quantity"]).alias("price_per_unit"), (x["l_returnflag"] == "R").alias("is_best_value")))
     best = rel.best_offer(shaped)
-    return rows.select("l_orderkey", best["pos"].cast("long").alias("chosen"), F.round(best["price_per_unit"], 3).alias("unit"))
+    return rows.select("l_orderkey", best["pos"].cast("long").alias("chosen"), best["price_per_unit"].alias("unit"))
