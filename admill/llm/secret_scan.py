@@ -3,9 +3,9 @@
 Patterns find assignments, access keys and hex digits. Two bigram models over characters, one of
 random strings and one of ordinary identifiers, find the rest: a run of token characters is a
 secret if the log-likelihood ratio of the two models, averaged over its transitions, exceeds
-`MARGIN`. Both are trained from samples that the patterns label: values they match are random
-strings (mixed half and half with the uniform model), other runs are ordinary. Counts cover every
-document; only the table of ratios, at most one number for each pair of characters, reaches the
+`MARGIN`. Both are trained from samples that rules label: values that the patterns match are random
+strings (mixed half and half with the uniform model), other runs of letters, few of them capital,
+are ordinary; the rest has no label. Pairs back off to single characters. Counts cover every document; only the table of ratios, at most one number for each pair of characters, reaches the
 driver, which sends it back as a constant.
 
 A text's match positions come from splitting it at the pattern: gaps and matches alternate, so
@@ -33,6 +33,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
 #: Natural-log units that the average transition must favour the random model by.
 MARGIN = 0.5
+#: Pseudo-count of the single-character model behind each character's row.
+BACKOFF = 5.0
 _SPAN = "array<struct<start: int, stop: int, kind: int>>"
 
 
@@ -89,7 +91,8 @@ def _transitions(token: Column) -> Column:
 def train(found: DataFrame) -> list[int]:
     """Thousandths of the log ratio for each pair of characters, from the scanned documents."""
     random = F.transform("_base", lambda s: F.element_at(F.split(_cut(F.col("_text"), s), "[^A-Za-z0-9+/_-]+"), -1))
-    ordinary = F.transform("_runs", lambda s: _cut(F.col("_text"), s))
+    letters = lambda t: t.rlike("^[A-Za-z_-]+$") & (4 * F.regexp_count(t, F.lit("[A-Z]")) <= F.length(t))
+    ordinary = F.filter(F.transform("_runs", lambda s: _cut(F.col("_text"), s)), letters)
     labelled = F.concat(F.transform(random, lambda t: F.struct(F.lit(1).alias("random"), t.alias("token"))), F.transform(ordinary, lambda t: F.struct(F.lit(0).alias("random"), t.alias("token"))))
     tokens = found.select(F.explode(labelled).alias("x"))
     pairs = tokens.select("x.random", F.explode(_transitions(F.col("x.token"))).alias("pair"))
@@ -100,16 +103,17 @@ def train(found: DataFrame) -> list[int]:
     return log_ratios(counts[1], counts[0])
 
 
-def log_ratios(random: list[int], ordinary: list[int]) -> list[int]:
+def transition_model(counts: list[int]) -> list[float]:
+    """Probabilities of a character after another, from counts by pair."""
     size = len(ALPHABET)
-    out = []
-    for a in range(size):
-        seen, usual = sum(random[a * size : (a + 1) * size]), sum(ordinary[a * size : (a + 1) * size])
-        for b in range(size):
-            p = 0.5 / size + 0.5 * (random[a * size + b] + 1) / (seen + size)
-            q = (ordinary[a * size + b] + 1) / (usual + size)
-            out.append(round(1000 * math.log(p / q)))
-    return out
+    single = [(sum(counts[b::size]) + 1) / (sum(counts) + size) for b in range(size)]
+    seen = [sum(counts[a * size : (a + 1) * size]) for a in range(size)]
+    return [(counts[a * size + b] + BACKOFF * single[b]) / (seen[a] + BACKOFF) for a in range(size) for b in range(size)]
+
+
+def log_ratios(random: list[int], ordinary: list[int]) -> list[int]:
+    uniform = 1 / len(ALPHABET)
+    return [round(1000 * math.log((uniform + p) / 2 / q)) for p, q in zip(transition_model(random), transition_model(ordinary))]
 
 
 def secrets(docs: DataFrame) -> DataFrame:
