@@ -10,8 +10,8 @@ of its tokens share it, and templates that recur across documents are dropped fr
 Recurrence counts contexts, not copies: exact copies of a document count once, and a line's
 context is a minhash of the other leaves of its document, which near copies share. A template
 recurs if it has `MIN_DOCS` contexts and none of them makes up more than half of its documents,
-under each of `HASHES` minhashes; so copied documents keep their text for the near-duplicate step,
-while boilerplate goes.
+under at least half of `HASHES` minhashes (boilerplate lines that go together can share one); so
+copied documents keep their text for the near-duplicate step, while boilerplate goes.
 
 Only hashes are grouped; text moves once, in the last join, and not at all while the rows to change
 are counted to be few. Leaves to look into are broadcast under the same kind of check.
@@ -52,6 +52,10 @@ def leaf(line: Column, depth: int = DEPTH) -> Column:
     return F.xxhash64(spaces, F.array_join(lead, " "))
 
 
+def _hashed(i: int):
+    return lambda x: F.xxhash64(F.lit(i), x)
+
+
 def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """A row per distinct text: t (its hash), lines as structs of leaf and line hash, and for each minhash the two least leaves."""
     t, check = text_key(F.col("text"))
@@ -59,7 +63,7 @@ def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     hashed = F.array_distinct(F.transform("x", lambda x: F.struct(leaf(x, depth).alias("leaf"), F.xxhash64(x).alias("line"))))
     rows = one.select("t", "check", hashed.alias("lines"))
     leaves = F.array_distinct(F.transform("lines", lambda x: x["leaf"]))
-    least = [F.slice(F.array_sort(F.transform(leaves, lambda x, i=i: F.xxhash64(F.lit(i), x))), 1, 2) for i in range(HASHES)]
+    least = [F.slice(F.array_sort(F.transform(leaves, _hashed(i))), 1, 2) for i in range(HASHES)]
     return rows.dropDuplicates(["t", "check"]).withColumn("least", F.array(*least))
 
 
@@ -76,11 +80,11 @@ def occurrences(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def recurring(counts: DataFrame, by: str, min_docs: int) -> DataFrame:
-    """Groups of (by, ctx, n) rows that have enough contexts, none with more than half, under every minhash."""
+    """Groups of (by, ctx, n) rows that have enough contexts, none with more than half, under half of the minhashes."""
     each = counts.select(by, "n", F.posexplode("ctx").alias("i", "c")).groupBy(by, "i", "c").agg(F.sum("n").alias("n"))
     groups = each.groupBy(by, "i").agg(F.count("*").alias("contexts"), F.sum("n").alias("docs"), F.max("n").alias("most"))
     fine = (F.col("contexts") >= min_docs) & (2 * F.col("most") <= F.col("docs"))
-    return groups.groupBy(by).agg(F.min(fine).alias("fine")).filter("fine").select(by)
+    return groups.groupBy(by).agg(F.count_if(fine).alias("fine")).filter(2 * F.col("fine") >= HASHES).select(by)
 
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT) -> DataFrame:
