@@ -17,12 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is configured."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='admill-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = f"file://{tempfile.mkdtemp(prefix='admill-')}"
+        root = _own[app]
     return root.rstrip("/")
 
 
