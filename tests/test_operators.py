@@ -185,3 +185,38 @@ def test_lifecycle_stream(spark, tmp_path):
         lifecycle_stream.run(stream, str(tmp_path / "log"), str(tmp_path / "states"), str(tmp_path / "cp")).awaitTermination()
     states = {r["ad_id"]: (r["state"], r["observation_count"]) for r in lifecycle_stream.current_states(spark, str(tmp_path / "states")).collect()}
     assert states == {0: ("inactive_inferred", 3), 1: ("inactive_inferred", 3)}
+
+
+def test_cox_equals_a_direct_solution(spark):
+    import numpy as np
+
+    from admill.operators import modelling
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 2))
+    t = rng.exponential(30 * np.exp(-0.8 * x[:, 0] + 0.3 * x[:, 1])).astype(int)
+    e = rng.random(300) < 0.8
+    rows = spark.createDataFrame([(int(a), bool(b), float(c), float(d)) for a, b, (c, d) in zip(t, e, x)], "t int, e boolean, a double, b double")
+    got = modelling.proportional_hazards(rows, "t", "e", ["a", "b"])
+    z = (x - x.mean(0)) / x.std(0)
+
+    def gradient(beta):
+        risk = np.exp(z @ beta)
+        g = -beta
+        for i in np.flatnonzero(e):
+            at = t >= t[i]
+            g = g + z[i] - (risk[at, None] * z[at]).sum(0) / risk[at].sum()
+        return g
+
+    assert np.abs(gradient(np.array([got["a"], got["b"]]))).max() < 1e-4 and got["a"] > 0.5 > 0 > got["b"]
+
+
+def test_storefront_and_provenance(spark):
+    from admill.operators import products
+
+    doc = '{"product":{"title":"P","vendor":"V","tags":"a, b","body_html":"<p>Hi <b>you</b></p>","variants":[{"title":"S","price":"9.50"},{"title":"Default Title","price":"12.00"}]}}'
+    r = spark.range(1).select(products.storefront_product(F.parse_json(F.lit(doc))).alias("p")).first()["p"]
+    assert (r["price"], r["price_range"], r["variants"], r["tags"], r["description"]) == (9.5, "9.50-12.00", ["S"], ["a", "b"], "Hi you")
+    rows = spark.createDataFrame([(1, ("m", "f" * 64)), (2, (None, "short")), (3, ("", "a" * 64))], "id int, provenance struct<model: string, sha: string>")
+    got = [r["reasons"] for r in products.provenance_reasons(rows, ["model", "sha"], ["sha"]).orderBy("id").collect()]
+    assert got == [[], ["missing_model", "invalid_sha"], ["blank_model"]]
