@@ -40,7 +40,7 @@ def storefront_product(document: Column) -> Column:
     low, high = F.array_min(prices), F.array_max(prices)
     span = F.when(low < high, F.format_string("%.2f-%.2f", low, high))
     titles = F.filter(F.transform(variants, lambda v: v["title"]), lambda t: t != "Default Title")
-    tags = F.filter(F.transform(F.split(F.coalesce(get("$.product.tags", "string"), F.lit("")), ","), F.trim), lambda t: t != "")
+    tags = F.filter(F.transform(F.split(F.coalesce(get("$.product.tags", "string"), F.lit("")), ","), lambda t: F.trim(t)), lambda t: t != "")
     value = F.struct(
         get("$.product.title", "string").alias("name"), get("$.product.vendor", "string").alias("brand"), low.alias("price"), span.alias("price_range"),
         titles.alias("variants"), tags.alias("tags"), visible_text(get("$.product.body_html", "string"), 1000).alias("description"),
