@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -56,6 +57,19 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
+def shielded(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with all but the used columns under names that can't clash, and what gives the columns back as they were."""
+    names = {c: c if c in used else f"__extra_{i}" for i, c in enumerate(docs.columns)}
+    hidden = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return hidden, lambda out: out.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what this application has written below the shared folder; results not yet read go too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/admill-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_key(text: Column) -> list[Column]:
     """Two 64-bit hashes that stand for a whole text."""
     t = F.coalesce(text, F.lit(""))

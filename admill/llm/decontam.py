@@ -27,7 +27,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from admill.llm.common import join_checked, materialise, require
+from admill.llm.common import join_checked, materialise, require, shielded
 
 N, SEEDS, MIN_HITS, MIN_SCORE, MIN_MATCHES = 3, 32, 3, 0.5, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -237,6 +237,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that hold no copy of a benchmark item, with their own columns."""
-    rows = stored_rows(docs)
+    hidden, restore = shielded(require(docs, "doc_id", "text"), "doc_id", "text")
+    rows = stored_rows(hidden)
     gone = materialise(contaminated(rows, benchmark).select("_row").distinct(), "leaked")
-    return join_checked(rows, gone, "_row", "left_anti").select(*docs.columns)
+    return restore(join_checked(rows, gone, "_row", "left_anti"))

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from admill.llm.common import join_checked, materialise, require, text_key
+from admill.llm.common import join_checked, materialise, require, shielded, text_key
 
 DEPTH, MIN_DOCS, MIN_CONSTANT, HASHES = 3, 3, 0.6, 4
 
@@ -122,12 +122,13 @@ def marked_lines(docs: DataFrame, **limits) -> DataFrame:
 
 def drop_lines(docs: DataFrame, **limits) -> DataFrame:
     """docs, with their own columns, without the lines whose template recurs; n_chars follows where there is one."""
-    marked = marked_lines(require(docs, "doc_id", "text"), **limits)
+    rows, restore = shielded(require(docs, "doc_id", "text"), "doc_id", "text", "n_chars")
+    marked = marked_lines(rows, **limits)
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i))
     cleaned = marked.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return cleaned.select(*docs.columns)
+    return restore(cleaned)
 
 
 def line_report(docs: DataFrame, **limits) -> DataFrame:

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from admill.llm.common import join_checked, materialise, require
+from admill.llm.common import join_checked, materialise, require, shielded
 
 GAMMA = 1.02
 MIN_GROUP = 50
@@ -165,5 +165,6 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with their own columns."""
-    measured = materialise(add_metrics(docs), "quality")
-    return judge(measured, fit_thresholds(measured)).filter("kept").select(*docs.columns)
+    rows, restore = shielded(require(docs, "text", "lang", "source"), "text", "lang", "source")
+    measured = materialise(add_metrics(rows), "quality")
+    return restore(judge(measured, fit_thresholds(measured)).filter("kept"))

@@ -26,7 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from admill.llm.common import join_checked, materialise, require
+from admill.llm.common import join_checked, materialise, require, shielded
 
 WORDS, SEED, RADIUS = 3, 42, 2
 #: Most fingerprints of one tree.
@@ -223,11 +223,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs with one row of every component: the smallest doc_id, and of repeated rows the first stored."""
-    rows = materialise(add_fingerprint(docs, "_fp").withColumn("_row", F.monotonically_increasing_id()), "simhash")
+    hidden, restore = shielded(require(docs, "doc_id", "text"), "doc_id", "text")
+    rows = materialise(add_fingerprint(hidden, "_fp").withColumn("_row", F.monotonically_increasing_id()), "simhash")
     keys = rows.select("doc_id", F.col("_fp").alias("fp"), "_row")
     keyed = materialise(join_checked(keys, fingerprint_components(keys), "fp"), "simhash-keys")
     first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
     best = F.min(first).alias("_best")
     kept = keyed.groupBy(F.coalesce("component_id", F.lit(-1)).alias("_c"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("_f")).agg(best)
     gone = keyed.select("_row").join(kept.select(F.col("_best._row").alias("_row")), "_row", "left_anti")
-    return join_checked(rows, materialise(gone, "simhash-gone"), "_row", "left_anti").select(*docs.columns)
+    return restore(join_checked(rows, materialise(gone, "simhash-gone"), "_row", "left_anti"))

@@ -402,3 +402,12 @@ def test_empty_pages_and_benchmarks(spark, none, odd):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontam.leaks(odd, bench).count() == 0 and decontam.decontaminate(odd, bench).count() == odd.count()
     assert toxicity.toxicity(none, spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_extra_columns_come_back(spark):
+    texts = [f"{w} " + " ".join(f"{w}{j}" for j in range(30)) for w in ("ash", "birch", "cedar")]
+    rows = [(i, t, "en", "s", len(t), 70 + i, i, i, "kept", "q") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _row int, fp int, _fp int, kept string, _quality string")
+    bench = spark.createDataFrame([(1, "something else entirely that nobody wrote before")], "item_id long, text string")
+    for out in (quality.quality_filter(docs), line_templates.drop_lines(docs), simhash.one_of_each(docs), decontam.decontaminate(docs, bench)):
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == rows
