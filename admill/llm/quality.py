@@ -168,3 +168,46 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     rows, restore = shielded(require(docs, "text", "lang", "source"), "text", "lang", "source")
     measured = materialise(add_metrics(rows), "quality")
     return restore(judge(measured, fit_thresholds(measured)).filter("kept"))
+
+
+def _fence_sql(name: str, keys: list[str]) -> str:
+    """Common table expressions that give a fence per rule for groups of the keys."""
+    by = "".join(f"{k}, " for k in keys)
+    low, high = (" ".join(f"WHEN '{k}' THEN {v[i]}" for k, v in RULES.items()) for i in (0, 1))
+    wide = ", ".join(f"max(CASE WHEN rule = '{k}' THEN fence END) AS max_{k}" for k in RULES)
+    return f"""{name}_b AS (SELECT {by}rule, bin, sum(n) AS n FROM bins GROUP BY ALL),
+{name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {by}rule ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS below, sum(n) OVER (PARTITION BY {by}rule) AS total,
+  CASE WHEN bin < 0 THEN 0.0 ELSE pow(CAST({GAMMA} AS DOUBLE), bin) END / {_SCALE} AS v FROM {name}_b),
+{name}_q AS (SELECT {by}rule, max(total) AS n, min(CASE WHEN below >= ceil(total * 0.25) THEN v END) AS q1, min(CASE WHEN below >= ceil(total * 0.75) THEN v END) AS q3 FROM {name}_c GROUP BY ALL),
+{name}_f AS (SELECT {by}rule, n, greatest(CASE rule {low} END, least(CASE rule {high} END, q3 + {FENCE} * (q3 - q1))) AS fence FROM {name}_q),
+{name} AS (SELECT {by}max(n) AS n, {wide} FROM {name}_f GROUP BY {", ".join(keys) or "()"})"""
+
+
+def report_sql() -> str:
+    """The report in SQL: the same counts, sketches and fences."""
+    scaled = {
+        "symbol_ratio": ("n_symbols", "n_words"),
+        "dup_line_ratio": ("n_dup_lines", "n_lines"),
+        "repeat_ratio": ("n_repeat_words", "n_words"),
+        "mean_word": ("word_chars", "n_words"),
+    }
+    x = {k: f"CAST(floor({a} * {_SCALE} / greatest({b}, 1)) AS BIGINT)" for k, (a, b) in scaled.items()}
+    pick = "CASE WHEN own.n >= {m} THEN own.max_{k} WHEN lang.n >= {m} THEN lang.max_{k} ELSE every_doc.max_{k} END"
+    fine = " AND ".join(f"{x[k]} / {_SCALE} <= {pick.format(m=MIN_GROUP, k=k)}" for k in RULES)
+    rules = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS rule, {v} AS x FROM m" for k, v in x.items())
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS k FROM (SELECT r, i, array_to_string(w[i:i + {WINDOW - 1}], chr(1)) AS gram FROM (SELECT r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w))),
+p AS (SELECT r, count(DISTINCT j) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + {WINDOW})) AS j FROM g WHERE k > 1) GROUP BY r),
+m AS (SELECT w.r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN p ON p.r = w.r),
+bins AS (SELECT lang, source, rule, CASE WHEN x > 0 THEN CAST(ceil(ln(x) / {math.log(GAMMA)!r}) AS INT) ELSE -1 END AS bin, count(*) AS n FROM ({rules}) GROUP BY ALL),
+{_fence_sql("own", ["lang", "source"])},
+{_fence_sql("lang", ["lang"])},
+{_fence_sql("every_doc", [])}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND {fine} AS kept
+FROM m JOIN own ON own.lang IS NOT DISTINCT FROM m.lang AND own.source IS NOT DISTINCT FROM m.source JOIN lang ON lang.lang IS NOT DISTINCT FROM m.lang, every_doc
+"""

@@ -73,4 +73,4 @@ FROM p JOIN b USING (sha)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan.report_sql(), "op6_warc": _OP6_SQL}
+    return {"op1_license_scan": license_scan.report_sql(), "op6_warc": _OP6_SQL, "op7_quality_rules": quality.report_sql()}
