@@ -133,7 +133,7 @@ def content_hash(spark, sf):
 
 @query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_partkey % 97) / 100.0 AS x, (l_suppkey % 89) / 100.0 AS y FROM lineitem)
 SELECT l_orderkey, count(*) FILTER (y + 0.05 < 1.0/3) AS n_top, count(*) FILTER (y + 0.05 >= 1.0/3 AND y + 0.05 < 2.0/3) AS n_middle, count(*) FILTER (y + 0.05 >= 2.0/3) AS n_bottom,
-CASE WHEN bool_and(abs(x + 0.05 - 0.5) < 0.12) THEN 'center' WHEN avg(x + 0.05) < 0.4 THEN 'left' WHEN avg(x + 0.05) > 0.6 THEN 'right' ELSE 'mixed' END AS text_alignment, round(sum(0.01), 6) AS copy_canvas_coverage FROM b GROUP BY l_orderkey""")
+CASE WHEN bool_and(abs(x + 0.05 - 0.5) < 0.12) THEN 'center' WHEN avg(x + 0.05) < 0.4 THEN 'left' WHEN avg(x + 0.05) > 0.6 THEN 'right' ELSE 'mixed' END AS text_alignment, round(CAST(count(*) AS DOUBLE) * 0.01, 6) AS copy_canvas_coverage FROM b GROUP BY l_orderkey""")
 def placement_zones(spark, sf):
     x, y = F.pmod("l_partkey", F.lit(97)) / 100, F.pmod("l_suppkey", F.lit(89)) / 100
     box = F.struct(x.alias("x0"), y.alias("y0"), (x + 0.1).alias("x1"), (y + 0.1).alias("y1"))

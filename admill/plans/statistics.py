@@ -77,8 +77,8 @@ def tvd(spark, sf):
     return rounded(st.total_variation(*halves(spark, sf), "o_orderpriority"))
 
 
-@query(f"""WITH {_PSI}, {_TVD.format(c='o_orderpriority')} SELECT 'o_totalprice' AS feature, 'population_stability_index' AS metric, round(sum((q - p) * ln(q / p)), 6) AS score, 0.0 AS train_missing_rate, 0.0 AS test_missing_rate FROM g
-UNION ALL SELECT 'o_orderpriority', 'total_variation_distance', round(sum(abs(a / (SELECT sum(a) FROM x) - b / (SELECT sum(b) FROM x))) / 2, 6), 0.0, 0.0 FROM x""")
+@query(f"""WITH {_PSI}, {_TVD.format(c='o_orderpriority')} SELECT 'o_totalprice' AS feature, 'population_stability_index' AS metric, round(sum((q - p) * ln(q / p)), 6) AS score, CAST(0 AS DOUBLE) AS train_missing_rate, CAST(0 AS DOUBLE) AS test_missing_rate FROM g
+UNION ALL SELECT 'o_orderpriority', 'total_variation_distance', round(sum(abs(a / (SELECT sum(a) FROM x) - b / (SELECT sum(b) FROM x))) / 2, 6), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM x""")
 def drift_report(spark, sf):
     return rounded(st.drift(*halves(spark, sf), ["o_totalprice"], ["o_orderpriority"]))
 
