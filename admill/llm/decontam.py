@@ -46,6 +46,39 @@ def grams(words: list[str], n: int = N) -> list[int]:
     return [x - (1 << 64) if (x := h("\x1f".join(g))) >> 63 else x for g in zip(*(words[i:] for i in range(n)))]
 
 
+class GramIndex:
+    """The n-grams of given word lists, found in a text by word numbers: most words of a text are in no list at all."""
+
+    def __init__(self, lists: list[list[str]], n: int = N):
+        self.n = n
+        self.numbers = {w: i for i, w in enumerate(sorted({w for words in lists for w in words}))}
+        hashes = {g: h for words in lists for g, h in zip(zip(*(words[i:] for i in range(n))), grams(words, n))}
+        keys = np.array([self._key(np.array([[self.numbers[w]] for w in g]))[0] for g in hashes] or [], dtype=np.int64)
+        order = np.argsort(keys)
+        self.keys, self.grams = keys[order], np.array(list(hashes.values()), dtype=np.int64)[order]
+
+    def _key(self, columns: np.ndarray) -> np.ndarray:
+        """One number for n word numbers; with a few hundred thousand words it fits 64 bits."""
+        key = columns[0].astype(np.int64)
+        for column in columns[1:]:
+            key = key * (len(self.numbers) + 1) + column
+        return key
+
+    def find(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the indexed n-grams among the words, and their hashes."""
+        none = np.zeros(0, dtype=np.int64)
+        if len(words) < self.n or not len(self.keys):
+            return none, none
+        get = self.numbers.get
+        ids = np.array([get(w, -1) for w in words])
+        columns = np.stack([ids[i : len(ids) - self.n + 1 + i] for i in range(self.n)])
+        at = np.flatnonzero((columns >= 0).all(axis=0))
+        key = self._key(columns[:, at])
+        i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = self.keys[i] == key
+        return at[hit], self.grams[i[hit]]
+
+
 def benchmark_grams(benchmark: DataFrame, n: int = N) -> DataFrame:
     """(item, item_id, words, gram, at) for each n-gram of each benchmark row; item numbers the rows."""
 
@@ -58,21 +91,26 @@ def benchmark_grams(benchmark: DataFrame, n: int = N) -> DataFrame:
     return materialise(rows.mapInPandas(split, "item long, item_id string, words array<string>, gram long, at long"), "benchmark-grams")
 
 
-def gram_frequencies(docs: DataFrame, wanted: DataFrame, few: bool, n: int = N) -> DataFrame:
+def word_lists(known: DataFrame) -> dict[int, list[str]]:
+    """Words by item; called only where the n-grams were counted to be few."""
+    return {r["item"]: list(r["words"]) for r in known.filter("at = 0").select("item", "words").collect()}
+
+
+def gram_frequencies(docs: DataFrame, wanted: DataFrame, index: GramIndex | None, n: int = N) -> DataFrame:
     """(gram, df): documents that hold each wanted n-gram, over the whole corpus."""
-    known = np.sort(np.array([r["gram"] for r in wanted.collect()], dtype=np.int64)) if few else None  # counted below the bound
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted_set = None if known is None else set(known.tolist())
+        known = shared.value
         for batch in batches:
             seen: Counter = Counter()
             for text in batch["text"]:
-                found = set(grams(words_of(text), n))
-                seen.update(found if wanted_set is None else found & wanted_set)
+                words = words_of(text)
+                seen.update(set(grams(words, n)) if known is None else set(known.find(words)[1].tolist()))
             yield pd.DataFrame({"gram": list(seen), "df": list(seen.values())}, dtype="int64")
 
     counts = docs.select("text").mapInPandas(count, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
-    return counts if few else counts.join(wanted, "gram", "left_semi")
+    return counts if index else counts.join(wanted, "gram", "left_semi")
 
 
 def rare_seeds(benchmark: DataFrame, frequencies: DataFrame, seeds: int = SEEDS) -> DataFrame:
@@ -149,33 +187,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     known = benchmark_grams(benchmark)
     distinct = materialise(known.select("gram").distinct(), "grams")
     few = distinct.count() <= BROADCAST_SEEDS
-    seeds = materialise(rare_seeds(known, gram_frequencies(docs, distinct, few)), "seeds")
-    search = _search_broadcast if few else _search_joined
-    found = search(docs, seeds, min_score, min_hits)
+    index = GramIndex(list(word_lists(known).values())) if few else None
+    seeds = materialise(rare_seeds(known, gram_frequencies(docs, distinct, index)), "seeds")
+    found = _search_broadcast(docs, seeds, index, min_score, min_hits) if index else _search_joined(docs, seeds, min_score, min_hits)
     items = seeds.select("item", "item_id").distinct()
     return found.join(F.broadcast(items) if few else items, "item").drop("item")
 
 
-def _search_broadcast(docs: DataFrame, seeds: DataFrame, min_score: float, min_hits: int) -> DataFrame:
+def _search_broadcast(docs: DataFrame, seeds: DataFrame, index: GramIndex, min_score: float, min_hits: int) -> DataFrame:
     """One pass over the documents with the counted, bounded seed table in every task."""
     at: dict[int, list[tuple[int, int]]] = defaultdict(list)
     items: dict[int, list[str]] = {}
     for r in seeds.collect():  # within BROADCAST_SEEDS
         at[r["gram"]].append((r["item"], r["at"]))
         items[r["item"]] = list(r["words"])
-    shared = docs.sparkSession.sparkContext.broadcast((dict(at), items))
+    shared = docs.sparkSession.sparkContext.broadcast((index, dict(at), items))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        places, texts = shared.value
+        known, places, texts = shared.value
         tasks = []
         for batch in batches:
             for row, doc_id, text in zip(batch["_row"], batch["doc_id"], batch["text"]):
                 words = words_of(text)
                 hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-                for d, gram in enumerate(grams(words)):
-                    if gram in places:
-                        for item, position in places[gram]:
-                            hits[item].append((d, position))
+                for d, gram in zip(*(x.tolist() for x in known.find(words))):
+                    for item, position in places.get(gram, ()):
+                        hits[item].append((d, position))
                 for item, found in hits.items():
                     if len({p for _, p in found}) >= min(min_hits, len(texts[item]) - N + 1):
                         for low, high in stretches(found, len(texts[item]), len(words)):
