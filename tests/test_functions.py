@@ -106,3 +106,15 @@ def test_copy_features(spark):
     f = spark.range(1).select(*[c.alias(n) for n, c in text.copy_features(lit("BUY now! 😀 $9.99 Results may vary?")).items()]).first()
     assert (f["emoji_count"], f["exclamation_count"], f["has_price"], f["has_legal"]) == (1, 1, True, True)
     assert math.isclose(f["uppercase_ratio"], 4 / 20)
+
+
+def test_offer_cards_and_product_cascade(spark):
+    from admill.functions import dom
+
+    page = """<meta property="og:title" content="Gummies"><div class="Offer-Card"><b>1 Bottle</b> $39.99<br></div>
+    <div class="bundle best"><p>3 Bottles - Best Value</p><p>$89.97</div><div class="tier">no price here, 2 packs</div>
+    <div class="offer">1 bottle $39.99 or 3 bottles $89.97</div><p>4.8 stars, 1,204 reviews</p><script>class="offer" 9 packs $1</script>"""
+    r = spark.createDataFrame([(page,), ("<p>plain</p>",), (None,)], "h string").select(dom.offers(F.col("h")).alias("o"), dom.product(F.col("h")).alias("p")).collect()
+    assert [(o["quantity"], o["total_price"], o["is_best_value"]) for o in r[0]["o"]] == [(1, 39.99, False), (3, 89.97, True)]
+    assert (r[0]["p"]["name"], r[0]["p"]["rating"], r[0]["p"]["rating_count"]) == ("Gummies", 4.8, 1204)
+    assert not r[1]["o"] and not r[2]["o"]
