@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Every n-gram of a benchmark item is a possible seed. Its document frequency is counted over the
-whole corpus, and each item keeps its `SEEDS` rarest n-grams, so an item that leaked widely keeps
-its seeds too. A document that holds `MIN_HITS` seeds of an item becomes a candidate; the seeds'
-positions bound the stretch of the document that is aligned, and a local alignment (match 2,
-mismatch -1, gap -1 on words) scores it. The score is the share of the item's words that the best
-alignment matches; `MIN_SCORE` of them mark a copy, edited or not.
+Every n-gram of a benchmark item is a seed, however rare or common: an edit breaks the n-grams
+around it, and no choice made beforehand can tell which ones a copy keeps. A document that holds
+`MIN_HITS` seeds of an item becomes a candidate; the seeds' positions bound the stretches of the
+document that are aligned. A stretch that shares too few words with the item to score enough in
+any order is left out, which loses nothing; a local alignment (match 2, mismatch -1, gap -1 on
+words) scores the rest. The score is the share of the item's words that the best alignment
+matches; `MIN_SCORE` of them mark a copy, edited or not.
 
 The items' seed table is broadcast while it is counted to be within `BROADCAST_SEEDS`; beyond
 that, documents send their n-grams through a join instead.
@@ -25,11 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from admill.llm.common import join_checked, materialise, require, shielded
 
-N, SEEDS, MIN_HITS, MIN_SCORE, MIN_MATCHES = 3, 32, 3, 0.5, 8
+N, MIN_HITS, MIN_SCORE, MIN_MATCHES = 3, 3, 0.5, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Most seed rows that are broadcast, and pairs aligned at once.
 BROADCAST_SEEDS, _PAIRS = 200_000, 512
@@ -96,30 +97,6 @@ def word_lists(known: DataFrame) -> dict[int, list[str]]:
     return {r["item"]: list(r["words"]) for r in known.filter("at = 0").select("item", "words").collect()}
 
 
-def gram_frequencies(docs: DataFrame, wanted: DataFrame, index: GramIndex | None, n: int = N) -> DataFrame:
-    """(gram, df): documents that hold each wanted n-gram, over the whole corpus."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        for batch in batches:
-            seen: Counter = Counter()
-            for text in batch["text"]:
-                words = words_of(text)
-                seen.update(set(grams(words, n)) if known is None else set(known.find(words)[1].tolist()))
-            yield pd.DataFrame({"gram": list(seen), "df": list(seen.values())}, dtype="int64")
-
-    counts = docs.select("text").mapInPandas(count, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
-    return counts if index else counts.join(wanted, "gram", "left_semi")
-
-
-def rare_seeds(benchmark: DataFrame, frequencies: DataFrame, seeds: int = SEEDS) -> DataFrame:
-    """benchmark_grams rows of each item's rarest n-grams (ties: the earlier one)."""
-    known = benchmark.join(frequencies, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("item").orderBy("df", "at"))
-    return known.withColumn("_rank", rank).filter(F.col("_rank") <= seeds).drop("_rank", "df")
-
-
 def local_alignment(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Smith-Waterman of many pairs of word-number arrays at once.
 
@@ -163,6 +140,21 @@ def stretches(hits: list[tuple[int, int]], size: int, total: int) -> list[tuple[
     return out
 
 
+def needed(size: int, min_score: float = MIN_SCORE) -> float:
+    """Matched words that a copy of an item of that many words must have."""
+    return max(min_score * size, min(MIN_MATCHES, size))
+
+
+def worth_aligning(item: list[str], stretch: list[str], min_score: float = MIN_SCORE) -> bool:
+    """Whether the stretch has enough of the item's words in any order; an alignment never matches more."""
+    wanted, shared = Counter(item), 0
+    for word in stretch:
+        if wanted.get(word):
+            wanted[word] -= 1
+            shared += 1
+    return shared >= needed(len(item), min_score)
+
+
 def align(tasks: list[tuple[tuple, list[str], list[str], int]], min_score: float = MIN_SCORE) -> list[tuple]:
     """tasks: (key, item words, stretch words, stretch start). The best stretch of each key, if it scores enough."""
     tasks.sort(key=lambda t: (len(t[2]), len(t[1])))
@@ -174,7 +166,7 @@ def align(tasks: list[tuple[tuple, list[str], list[str], int]], min_score: float
         windows = [np.array([number[w] for w in t[2]]) for t in part]
         for (key, item, _, start), matches, end in zip(part, *local_alignment(items, windows)):
             score = float(matches) / len(item)
-            if score >= min_score and matches >= min(MIN_MATCHES, len(item)) and score > found.get(key, (0.0,))[0]:
+            if matches >= needed(len(item), min_score) and score > found.get(key, (0.0,))[0]:
                 found[key] = (score, int(matches), int(start + end))
     return [(*key, *value) for key, value in found.items()]
 
@@ -184,24 +176,20 @@ FOUND = "_row long, doc_id string, item long, score double, matches long, last_w
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE, min_hits: int = MIN_HITS) -> DataFrame:
     """docs carry a number for each row in _row. (_row, doc_id, item_id, score, matches, last_word) of each copy of an item in a document."""
-    known = benchmark_grams(benchmark)
-    distinct = materialise(known.select("gram").distinct(), "grams")
-    few = distinct.count() <= BROADCAST_SEEDS
-    index = GramIndex(list(word_lists(known).values())) if few else None
-    seeds = materialise(rare_seeds(known, gram_frequencies(docs, distinct, index)), "seeds")
-    found = _search_broadcast(docs, seeds, index, min_score, min_hits) if index else _search_joined(docs, seeds, min_score, min_hits)
+    seeds = benchmark_grams(benchmark)
+    few = seeds.count() <= BROADCAST_SEEDS
+    found = _search_broadcast(docs, seeds, min_score, min_hits) if few else _search_joined(docs, seeds, min_score, min_hits)
     items = seeds.select("item", "item_id").distinct()
     return found.join(F.broadcast(items) if few else items, "item").drop("item")
 
 
-def _search_broadcast(docs: DataFrame, seeds: DataFrame, index: GramIndex, min_score: float, min_hits: int) -> DataFrame:
+def _search_broadcast(docs: DataFrame, seeds: DataFrame, min_score: float, min_hits: int) -> DataFrame:
     """One pass over the documents with the counted, bounded seed table in every task."""
     at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    items: dict[int, list[str]] = {}
-    for r in seeds.collect():  # within BROADCAST_SEEDS
+    items = word_lists(seeds)
+    for r in seeds.select("gram", "item", "at").collect():  # within BROADCAST_SEEDS
         at[r["gram"]].append((r["item"], r["at"]))
-        items[r["item"]] = list(r["words"])
-    shared = docs.sparkSession.sparkContext.broadcast((index, dict(at), items))
+    shared = docs.sparkSession.sparkContext.broadcast((GramIndex(list(items.values())), dict(at), items))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, places, texts = shared.value
@@ -216,7 +204,8 @@ def _search_broadcast(docs: DataFrame, seeds: DataFrame, index: GramIndex, min_s
                 for item, found in hits.items():
                     if len({p for _, p in found}) >= min(min_hits, len(texts[item]) - N + 1):
                         for low, high in stretches(found, len(texts[item]), len(words)):
-                            tasks.append(((row, doc_id, item), texts[item], words[low:high], low))
+                            if worth_aligning(texts[item], words[low:high], min_score):
+                                tasks.append(((row, doc_id, item), texts[item], words[low:high], low))
             if len(tasks) >= 4 * _PAIRS:
                 yield _frame(align(tasks, min_score))
                 tasks = []
@@ -253,7 +242,8 @@ def _search_joined(docs: DataFrame, seeds: DataFrame, min_score: float, min_hits
             for row, doc_id, item, hits, item_words, text in batch[["_row", "doc_id", "item", "hits", "words", "text"]].itertuples(index=False):
                 words = words_of(text)
                 for low, high in stretches([(h["d"], h["at"]) for h in hits], len(item_words), len(words)):
-                    tasks.append(((row, doc_id, item), list(item_words), words[low:high], low))
+                    if worth_aligning(item_words, words[low:high], min_score):
+                        tasks.append(((row, doc_id, item), list(item_words), words[low:high], low))
             if tasks:
                 yield _frame(align(tasks, min_score))
 

@@ -348,6 +348,26 @@ def test_decontamination(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in planted}
 
 
+def test_decontamination_finds_copies_whose_rarest_ngrams_are_broken(spark):
+    rng = np.random.default_rng(7)
+    item = [f"i{j}" for j in range(200)]
+    copy = [f"edit{j}" if j % 10 == 3 else w for j, w in enumerate(item)]  # 60 of the 198 trigrams occur nowhere
+    other = [f"o{j}" for j in range(57)]
+    spoilt = [f"edit{j}" if j < 40 and j % 4 == 0 else w for j, w in enumerate(other)]  # an exact copy holds what is broken here
+    filler = lambda: [f"f{k}" for k in rng.integers(0, 500, 80)]
+    texts = [[*filler(), *copy, *filler()], [*filler(), *other, *filler()], [*filler(), *spoilt, *filler()], filler()]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(other))], "item_id long, text string")
+    expected = {(0, 0, 180), (1, 1, 57), (2, 1, 47)}
+    seeds = decontam.BROADCAST_SEEDS
+    try:
+        for most in (seeds, 0):
+            decontam.BROADCAST_SEEDS = most
+            assert {(r["doc_id"], r["item_id"], r["matches"]) for r in decontam.leaks(docs, bench).collect()} == expected
+    finally:
+        decontam.BROADCAST_SEEDS = seeds
+
+
 def alignment_score(a, b):
     best, row = (0, 0), [(0, 0)] * (len(b) + 1)
     for x in a:
