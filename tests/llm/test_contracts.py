@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -145,6 +146,35 @@ def test_one_of_each_keeps_one_row(spark, odd):
     assert kept.count() == n
 
 
+def shingle_set(text):
+    w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or frozenset([tuple(w)])
+
+
+def test_near_duplicate_stage_equals_brute_force(spark, odd):
+    rng = np.random.default_rng(11)
+    common = [f"common{j}" for j in range(40)]
+    texts = []
+    for g in range(12):
+        text = [f"g{g}w{j}" for j in range(120)] + common  # a passage that all share
+        for i in range(6):  # a chain of edits: neighbours are near copies, ends may not be
+            text = list(text)
+            for at in rng.integers(0, 120, i % 3 + 1):
+                text[at] = f"edit{rng.integers(10**6)}"
+            texts.append(" ".join(text))
+    docs = frame(spark, [*texts, " ".join(common), " ".join(common), *ODD])
+    for df in (docs, odd, docs.limit(0)):
+        rows = df.collect()
+        kinds = list({shingle_set(r["text"]) for r in rows})
+        group = classes(range(len(kinds)), lambda a, b: 5 * len(kinds[a] & kinds[b]) >= 4 * len(kinds[a] | kinds[b]))
+        least = defaultdict(list)
+        for r in rows:
+            least[group[kinds.index(shingle_set(r["text"]))]].append(r["doc_id"])
+        expected = Counter(min((x for x in ids if x is not None), default=None) for ids in least.values())
+        kept = corpus_pipeline.near_duplicate_stage(spark, df, "")
+        assert kept.columns == df.columns and Counter(r["doc_id"] for r in kept.collect()) == expected
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
