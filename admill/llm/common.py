@@ -10,26 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: ASCII white space that separates words everywhere in this subpackage.
 SPACE = r"[\x20\x09-\x0D]+"
-#: Most rows of a small table that may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+#: Most rows and bytes of a small table that may be broadcast; beyond them the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_own: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = f"file://{tempfile.mkdtemp(prefix='admill-')}"
-        root = _own[app]
-    return root.rstrip("/")
+    """The folder that driver and executors share. Without one a local session gets a temporary folder; a cluster gets an error."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.conf.set("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='admill-')}")
+    return spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -44,10 +39,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
-    """Joins, broadcasting right only if it is counted to have at most `most` rows."""
-    small = right.limit(most + 1).count() <= most
-    return left.join(F.broadcast(right) if small else right, on, how)
+def is_small(df: DataFrame, most: int | None = None, most_bytes: int | None = None) -> bool:
+    """Whether df is counted to have at most that many rows and, spelt out, bytes."""
+    most = BROADCAST_ROWS if most is None else most
+    head = df.limit(most + 1).agg(F.count("*"), F.sum(F.length(F.to_json(F.struct("*"))))).first()
+    return head[0] <= most and (head[1] or 0) <= (BROADCAST_BYTES if most_bytes is None else most_bytes)
+
+
+def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner", most: int | None = None) -> DataFrame:
+    """Joins, broadcasting right only if it is counted to be small."""
+    return left.join(F.broadcast(right) if is_small(right, most) else right, on, how)
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
