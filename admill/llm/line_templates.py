@@ -8,15 +8,18 @@ is constant, any other becomes a variable field. Lines whose template keeps at l
 of its tokens share it, and templates that recur across documents are dropped from all of them.
 
 Recurrence counts contexts, not copies: exact copies of a document count once, and a line's
-context is a minhash of the other leaves of its document, which near copies share. A template
-recurs if it has `MIN_DOCS` contexts and none of them makes up more than half of its documents,
-under at least half of `HASHES` minhashes (boilerplate lines that go together can share one); so
-copied documents keep their text for the near-duplicate step, while boilerplate goes.
+context is a minhash of the leading tokens of its document's other lines, which near copies share. Under a
+minhash a template recurs if it has `MIN_DOCS` contexts, and the documents outside of its largest
+context are at least `SPREAD` times those inside. It is dropped if it recurs under half of `HASHES`
+minhashes (boilerplate lines that go together can share one). An unchanged line of `LONG` words or more is
+dropped from `LONG_DOCS` contexts on, under three quarters of the minhashes. So copied documents keep
+their text for the near-duplicate step, while boilerplate goes; a line stays whose documents are nearly all
+near copies of each other.
 
 Only hashes are grouped; text moves once, in the last join, and not at all while the rows to change
 are counted to be few. Leaves to look into are broadcast under the same kind of check.
 
-Cases: null text stays null and counts no line; lines without a word are never dropped; a text
+Cases: extra columns come back whatever their names; null text stays null and counts no line; lines without a word are never dropped; a text
 whose lines all go becomes empty; null and repeated doc_ids are fine (rows are told apart by id
 and text); an empty table gives an empty result; texts are read whole.
 """
@@ -28,6 +31,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from admill.llm.common import join_checked, materialise, require, shielded, text_key
 
 DEPTH, MIN_DOCS, MIN_CONSTANT, HASHES = 3, 3, 0.6, 4
+#: Words of a long line, contexts that it needs unchanged, and how the documents outside of a template's largest context compare with it.
+LONG, LONG_DOCS, SPREAD = 50, 2, 0.5
 
 
 def tidy(line: Column) -> Column:
@@ -45,11 +50,19 @@ def lines_of(text: Column) -> Column:
     return F.transform(F.split(F.when(odd, F.translate(t, "\t\r\x0b\x0c", "    ")).otherwise(t), "\n"), tidy)
 
 
+def lead(line: Column, depth: int = DEPTH) -> Column:
+    """Hash of a line's leading tokens, variable ones masked."""
+    first = F.transform(F.split(F.substring_index(line, " ", depth), " "), lambda w: F.when(w.rlike("[0-9]"), F.lit("<*>")).otherwise(w))
+    return F.xxhash64(F.array_join(first, " "))
+
+
 def leaf(line: Column, depth: int = DEPTH) -> Column:
-    """Hash of the path to a line's leaf: token count and leading tokens, variable ones masked."""
-    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
-    lead = F.transform(F.split(F.substring_index(line, " ", depth), " "), lambda w: F.when(w.rlike("[0-9]"), F.lit("<*>")).otherwise(w))
-    return F.xxhash64(spaces, F.array_join(lead, " "))
+    """Hash of the path to a line's leaf: token count and leading tokens."""
+    return F.xxhash64(words_in(line), lead(line, depth))
+
+
+def words_in(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
 def _hashed(i: int):
@@ -57,39 +70,39 @@ def _hashed(i: int):
 
 
 def parsed(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """A row per distinct text: t (its hash), lines as structs of leaf and line hash, and for each minhash the two least leaves."""
+    """A row per distinct text: t (its hash), lines as structs of lead, size in words and line hash, and for each minhash the two least leads."""
     t, check = text_key(F.col("text"))
     one = docs.select(t.alias("t"), check.alias("check"), F.filter(lines_of(F.col("text")), lambda x: x != "").alias("x"))
-    hashed = F.array_distinct(F.transform("x", lambda x: F.struct(leaf(x, depth).alias("leaf"), F.xxhash64(x).alias("line"))))
+    hashed = F.array_distinct(F.transform("x", lambda x: F.struct(lead(x, depth).alias("lead"), words_in(x).alias("size"), F.xxhash64(x).alias("line"))))
     rows = one.select("t", "check", hashed.alias("lines"))
-    leaves = F.array_distinct(F.transform("lines", lambda x: x["leaf"]))
-    least = [F.slice(F.array_sort(F.transform(leaves, _hashed(i))), 1, 2) for i in range(HASHES)]
+    leads = F.array_distinct(F.transform("lines", lambda x: x["lead"]))
+    least = [F.slice(F.array_sort(F.transform(leads, _hashed(i))), 1, 2) for i in range(HASHES)]
     return rows.dropDuplicates(["t", "check"]).withColumn("least", F.array(*least))
 
 
 def occurrences(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(leaf, line, ctx) for each distinct line of each distinct text; ctx has the least other leaf by each minhash."""
+    """(leaf, size, line, ctx) for each distinct line of each distinct text; ctx has the least other lead by each minhash."""
     flat = parsed(docs, depth).select("least", F.explode("lines").alias("l"))
 
     def other(i: int) -> Column:
         two = F.get("least", F.lit(i))
         first, second = F.get(two, F.lit(0)), F.get(two, F.lit(1))
-        return F.when(first == F.xxhash64(F.lit(i), "l.leaf"), F.coalesce(second, F.lit(0))).otherwise(first)
+        return F.when(first == F.xxhash64(F.lit(i), "l.lead"), F.coalesce(second, F.lit(0))).otherwise(first)
 
-    return flat.select("l.leaf", "l.line", F.array(*[other(i) for i in range(HASHES)]).alias("ctx"))
+    return flat.select(F.xxhash64("l.size", "l.lead").alias("leaf"), "l.size", "l.line", F.array(*[other(i) for i in range(HASHES)]).alias("ctx"))
 
 
-def recurring(counts: DataFrame, by: str, min_docs: int) -> DataFrame:
-    """Groups of (by, ctx, n) rows that have enough contexts, none with more than half, under half of the minhashes."""
+def recurring(counts: DataFrame, by: str, min_docs: int, hashes: float) -> DataFrame:
+    """Groups of (by, ctx, n) rows that have enough contexts, spread enough, under that many minhashes."""
     each = counts.select(by, "n", F.posexplode("ctx").alias("i", "c")).groupBy(by, "i", "c").agg(F.sum("n").alias("n"))
     groups = each.groupBy(by, "i").agg(F.count("*").alias("contexts"), F.sum("n").alias("docs"), F.max("n").alias("most"))
-    fine = (F.col("contexts") >= min_docs) & (2 * F.col("most") <= F.col("docs"))
-    return groups.groupBy(by).agg(F.count_if(fine).alias("fine")).filter(2 * F.col("fine") >= HASHES).select(by)
+    fine = (F.col("contexts") >= min_docs) & (F.col("docs") - F.col("most") >= SPREAD * F.col("most"))
+    return groups.groupBy(by).agg(F.count_if(fine).alias("fine")).filter(F.col("fine") >= hashes).select(by)
 
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT) -> DataFrame:
     """Hashes (column line) of the distinct lines whose template recurs across documents."""
-    seen = materialise(occurrences(require(docs, "text"), depth).groupBy("leaf", "line", "ctx").agg(F.count("*").alias("n")), "lines")
+    seen = materialise(occurrences(require(docs, "text"), depth).groupBy("leaf", "size", "line", "ctx").agg(F.count("*").alias("n")), "lines")
     leaves = materialise(seen.groupBy("leaf").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select("leaf"), "leaves")
     likely = materialise(join_checked(seen, leaves, "leaf", "left_semi"), "likely-lines")
     weights = likely.groupBy("leaf", "line").agg(F.sum("n").alias("docs"))
@@ -105,7 +118,9 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
     shapes = shapes.filter(F.col("fixed") >= min_constant * F.col("size")).select("line", F.xxhash64("leaf", F.to_json("fields")).alias("template"))
     shapes = materialise(shapes, "templates")
     counts = likely.join(shapes, "line").groupBy("template", "ctx").agg(F.sum("n").alias("n"))
-    return shapes.join(recurring(counts, "template", min_docs), "template", "left_semi").select("line").distinct()
+    by_template = shapes.join(recurring(counts, "template", min_docs, HASHES / 2), "template", "left_semi").select("line")
+    unchanged = recurring(seen.filter(F.col("size") >= LONG), "line", min(LONG_DOCS, min_docs), 3 * HASHES / 4)
+    return by_template.union(unchanged).distinct()
 
 
 def marked_lines(docs: DataFrame, **limits) -> DataFrame:
