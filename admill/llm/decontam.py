@@ -8,11 +8,12 @@ any order is left out, which loses nothing; a local alignment (match 2, mismatch
 words) scores the rest. The score is the share of the item's words that the best alignment
 matches; `MIN_SCORE` of them mark a copy, edited or not.
 
-The items' seed table is broadcast while it is counted to be within `BROADCAST_SEEDS`; beyond
-that, documents send their n-grams through a join instead.
+Items with the same text are searched once. The distinct items are broadcast while their words are counted to
+be within `BROADCAST_SEEDS`; beyond that, documents send their n-grams through a join instead.
 
 Cases: null and empty texts match nothing, nor do items shorter than an n-gram; items with the
-same text are reported each; null doc_id or item_id is carried along; repeated rows are reported
+same text are reported each; of stretches with equal scores the first in the document is reported; extra
+columns of docs come back from the filter whatever their names, and stay out of the report; null doc_id or item_id is carried along; repeated rows are reported
 each; empty tables give an empty result; texts are read whole, and each far-apart occurrence in a
 document counts toward its best score.
 """
@@ -28,11 +29,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from admill.llm.common import join_checked, materialise, require, shielded
+from admill.llm.common import is_small, join_checked, materialise, require, shielded
 
 N, MIN_HITS, MIN_SCORE, MIN_MATCHES = 3, 3, 0.5, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Most seed rows that are broadcast, and pairs aligned at once.
+#: Most words of items that are broadcast, and pairs aligned at once.
 BROADCAST_SEEDS, _PAIRS = 200_000, 512
 _WORD = re.compile(r"\w+")
 
@@ -80,21 +81,30 @@ class GramIndex:
         return at[hit], self.grams[i[hit]]
 
 
-def benchmark_grams(benchmark: DataFrame, n: int = N) -> DataFrame:
-    """(item, item_id, words, gram, at) for each n-gram of each benchmark row; item numbers the rows."""
+def benchmark_items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts as (item, words), and (item, item_id) for each row; copies of a text are searched once."""
+    rows = require(benchmark, "item_id", "text").filter(F.col("text").isNotNull()).withColumn("item", F.xxhash64("text"))
+    one = rows.groupBy("item", "text").count().groupBy("item").agg(F.count("*").alias("texts")).filter("texts > 1")
+    if not one.isEmpty():
+        raise ValueError("two texts of the benchmark have the same hash")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(item, item_id, w, g, at) for item, item_id, text in batch.itertuples(index=False) for w in [words_of(text)] for at, g in enumerate(grams(w, n))]
-            yield pd.DataFrame(rows, columns=["item", "item_id", "words", "gram", "at"])
+            yield pd.DataFrame({"item": batch["item"], "words": [words_of(x) for x in batch["text"]]})
 
-    rows = require(benchmark, "item_id", "text").select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("string").alias("item_id"), "text")
-    return materialise(rows.mapInPandas(split, "item long, item_id string, words array<string>, gram long, at long"), "benchmark-grams")
+    items = rows.groupBy("item").agg(F.first("text").alias("text")).mapInPandas(split, "item long, words array<string>")
+    return materialise(items.filter(F.size("words") >= N), "benchmark-words"), materialise(rows.select("item", F.col("item_id").cast("string").alias("item_id")), "benchmark-ids")
 
 
-def word_lists(known: DataFrame) -> dict[int, list[str]]:
-    """Words by item; called only where the n-grams were counted to be few."""
-    return {r["item"]: list(r["words"]) for r in known.filter("at = 0").select("item", "words").collect()}
+def item_seeds(items: DataFrame, n: int = N) -> DataFrame:
+    """(gram, item, at) for each n-gram of each item."""
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(g, item, at) for item, words in zip(batch["item"], batch["words"]) for at, g in enumerate(grams(list(words), n))]
+            yield pd.DataFrame(rows, columns=["gram", "item", "at"], dtype="int64")
+
+    return items.mapInPandas(split, "gram long, item long, at long")
 
 
 def local_alignment(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -176,19 +186,19 @@ FOUND = "_row long, doc_id string, item long, score double, matches long, last_w
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE, min_hits: int = MIN_HITS) -> DataFrame:
     """docs carry a number for each row in _row. (_row, doc_id, item_id, score, matches, last_word) of each copy of an item in a document."""
-    seeds = benchmark_grams(benchmark)
-    few = seeds.count() <= BROADCAST_SEEDS
-    found = _search_broadcast(docs, seeds, min_score, min_hits) if few else _search_joined(docs, seeds, min_score, min_hits)
-    items = seeds.select("item", "item_id").distinct()
-    return found.join(F.broadcast(items) if few else items, "item").drop("item")
+    items, ids = benchmark_items(benchmark)
+    few = (items.agg(F.sum(F.size("words"))).first()[0] or 0) <= BROADCAST_SEEDS and is_small(items)
+    found = _search_broadcast(docs, items, min_score, min_hits) if few else _search_joined(stored(docs), items, min_score, min_hits)
+    return join_checked(found, ids, "item").drop("item")
 
 
-def _search_broadcast(docs: DataFrame, seeds: DataFrame, min_score: float, min_hits: int) -> DataFrame:
-    """One pass over the documents with the counted, bounded seed table in every task."""
+def _search_broadcast(docs: DataFrame, few_items: DataFrame, min_score: float, min_hits: int) -> DataFrame:
+    """One pass over the documents with the items in every task; their words were counted to be within BROADCAST_SEEDS."""
+    items = {r["item"]: list(r["words"]) for r in few_items.collect()}
     at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    items = word_lists(seeds)
-    for r in seeds.select("gram", "item", "at").collect():  # within BROADCAST_SEEDS
-        at[r["gram"]].append((r["item"], r["at"]))
+    for item, words in items.items():
+        for i, gram in enumerate(grams(words)):
+            at[gram].append((item, i))
     shared = docs.sparkSession.sparkContext.broadcast((GramIndex(list(items.values())), dict(at), items))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,18 +233,18 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[x.split()[0] for x in FOUND.split(", ")])
 
 
-def _search_joined(docs: DataFrame, seeds: DataFrame, min_score: float, min_hits: int) -> DataFrame:
-    """For seed tables beyond the bound: n-grams meet the seeds in a join, candidates meet their texts again."""
+def _search_joined(docs: DataFrame, items: DataFrame, min_score: float, min_hits: int) -> DataFrame:
+    """For items beyond the bound: n-grams of stored docs meet the seeds in a join, candidates meet their texts again."""
+    seeds = materialise(item_seeds(items), "benchmark-seeds")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [(row, g, d) for row, text in zip(batch["_row"], batch["text"]) for d, g in enumerate(grams(words_of(text)))]
             yield pd.DataFrame(rows, columns=["_row", "gram", "d"], dtype="int64")
 
-    placed = docs.select("_row", "text").mapInPandas(split, "_row long, gram long, d long").join(seeds.select("gram", "item", "at"), "gram")
+    placed = docs.select("_row", "text").mapInPandas(split, "_row long, gram long, d long").join(seeds, "gram")
     hits = placed.groupBy("_row", "item").agg(F.collect_list(F.struct("d", "at")).alias("hits"), F.count_distinct("at").alias("n"))
-    sizes = seeds.select("item", "words").distinct()
-    candidates = hits.join(sizes, "item").filter(F.col("n") >= F.least(F.lit(min_hits), F.size("words") - N + 1))
+    candidates = hits.join(items, "item").filter(F.col("n") >= F.least(F.lit(min_hits), F.size("words") - N + 1))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -250,9 +260,9 @@ def _search_joined(docs: DataFrame, seeds: DataFrame, min_score: float, min_hits
     return materialise(candidates.drop("n").join(_named(docs), "_row").mapInPandas(score, FOUND), "leaks")
 
 
-def stored_rows(docs: DataFrame) -> DataFrame:
-    """docs written once with a number for each row."""
-    return materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "decontam")
+def stored(docs: DataFrame) -> DataFrame:
+    """docs written once, so that the numbers of its rows stay as they are."""
+    return materialise(docs, "decontam")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -265,6 +275,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that hold no copy of a benchmark item, with their own columns."""
     hidden, restore = shielded(require(docs, "doc_id", "text"), "doc_id", "text")
-    rows = stored_rows(hidden)
+    rows = stored(hidden.withColumn("_row", F.monotonically_increasing_id()))
     gone = materialise(contaminated(rows, benchmark).select("_row").distinct(), "leaked")
     return restore(join_checked(rows, gone, "_row", "left_anti"))

@@ -359,6 +359,64 @@ def test_line_templates(spark):
     assert cleaned.columns == docs.columns and cleaned.filter("doc_id = 0").first()["n_chars"] == len(out[0]["text"])
 
 
+def test_long_lines_recur_from_two_documents_but_not_within_copies(spark):
+    spelt = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    own = lambda i, n: [f"{spelt(i)} {spelt(i + j)} own words of {spelt(7 * i + j)} " + " ".join(f"w{i}x{j}x{k}" for k in range(8)) for j in range(n)]
+    passage = " ".join(f"{spelt(j)}p" for j in range(60))
+    footer = "footer line that goes with all of these pages here"
+    rows = [(i, "\n".join([*own(1000 * i + 1, 5), passage])) for i in range(2)]
+    copied = own(50_000, 12)
+    for i in range(60):  # near copies of one document, and unrelated documents with the same footer
+        rows.append((100 + i, "\n".join([*copied[: i % 12], f"edited {spelt(i)} line with words of its own", *copied[i % 12 + 1 :], footer])))
+    rows += [(200 + i, "\n".join([*own(1000 * i + 90_001, 5), footer])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in line_templates.line_report(docs).collect()}
+    assert all(passage not in out[i] for i in range(2))
+    assert not any(footer in x for x in out.values())
+    kept = sum(line in out[100 + i] for i in range(60) for line in copied)
+    assert kept >= 0.9 * 60 * 11
+
+
+def plain_template_lines(texts):
+    """Lines that recur by the tree's rules, contexts left aside: leaf by token count and three leading tokens, constants by position."""
+    docs = {t for t in texts if t}
+    leaves, weight = defaultdict(set), Counter()
+    for t in docs:
+        for x in {" ".join(words(line)) for line in t.split("\n")} - {""}:
+            w = x.split(" ")
+            leaves[len(w), *["<*>" if re.search("[0-9]", v) else v for v in w[:3]]].add(x)
+            weight[x] += 1
+    for lines in leaves.values():
+        count = Counter()
+        for x in lines:
+            count.update({(i, v): weight[x] for i, v in enumerate(x.split(" "))})
+        groups = defaultdict(list)
+        for x in lines:
+            w = x.split(" ")
+            if len(w) >= line_templates.LONG and weight[x] >= line_templates.LONG_DOCS:
+                yield x
+            shape = tuple(v if count[i, v] >= line_templates.MIN_DOCS else None for i, v in enumerate(w))
+            if sum(v is not None for v in shape) >= line_templates.MIN_CONSTANT * len(w):
+                groups[shape].append(x)
+        for xs in groups.values():
+            if sum(weight[x] for x in xs) >= line_templates.MIN_DOCS:
+                yield from xs
+
+
+def test_line_dedup_against_plain_templates(corpus):
+    texts = {r["doc_id"]: r["text"] for r in corpus.collect()}
+    recurring = set(plain_template_lines(texts.values()))
+    out = {r["doc_id"]: r["text"] for r in line_templates.line_report(corpus).collect()}
+    many = Counter(x for t in {t for t in texts.values() if t} for x in set(t.split("\n")) if len(words(x)) > 2)
+    planted = {x for x, n in many.items() if n >= 4}
+    held = sum(x in texts[d].split("\n") for d in texts for x in planted if texts[d])
+    left = sum(x in out[d].split("\n") for d in texts for x in planted if texts[d])
+    assert held and left <= 0.1 * held
+    for d, t in texts.items():  # nothing goes that the tree doesn't call recurring
+        gone = Counter(" ".join(words(x)) for x in (t or "").split("\n")) - Counter(" ".join(words(x)) for x in (out[d] or "").split("\n"))
+        assert all(x in recurring for x in gone)
+
+
 def test_line_dedup_leaves_single_lines_alone(corpus):
     seen = Counter(x for t in {r["text"] for r in corpus.collect()} for x in set(t.split("\n")))
     texts = {r["doc_id"]: r["text"] for r in corpus.collect()}
@@ -419,6 +477,32 @@ def test_decontamination_finds_copies_whose_rarest_ngrams_are_broken(spark):
         decontam.BROADCAST_SEEDS = seeds
 
 
+def test_decontamination_searches_repeated_items_once(spark):
+    item = "one two three four five six seven eight nine ten"
+    bench = spark.range(100_000).selectExpr("id AS item_id", f"'{item}' AS text")
+    items, ids = decontam.benchmark_items(bench)
+    assert items.count() == 1 and ids.count() == 100_000
+    docs = spark.createDataFrame([(1, f"before {item} after"), (2, "nothing of it")], "doc_id long, text string")
+    assert decontam.leaks(docs, bench).groupBy("doc_id").count().collect() == [(1, 100_000)]
+
+
+def test_decontamination_recall_against_all_pairs_alignment(spark):
+    rng = np.random.default_rng(12)
+    items = [[f"i{k}" for k in rng.integers(0, 5000, n)] for n in (30, 40, 60)]
+    for share in (0.0, 0.1, 0.2, 0.3, 0.4):
+        texts = [[*(f"f{k}" for k in rng.integers(0, 500, 20)), *edited(rng, items[i % 3], share), *(f"f{k}" for k in rng.integers(0, 500, 20))] for i in range(30)]
+        docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+        bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+        expected = set()
+        for i, text in enumerate(texts):
+            for j, item in enumerate(items):
+                number = {w: k for k, w in enumerate({*text, *item})}
+                if alignment_score([number[w] for w in item], [number[w] for w in text]) >= decontam.needed(len(item)):
+                    expected.add((i, j))
+        found = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, bench).collect()}
+        assert found <= expected and len(found) >= 0.9 * len(expected) and len(expected) >= 25
+
+
 def alignment_score(a, b):
     best, row = (0, 0), [(0, 0)] * (len(b) + 1)
     for x in a:
