@@ -330,14 +330,35 @@ def test_markov_model_finds_random_strings(spark):
     assert sum(out[i] == 1 for i in range(400, 450)) >= 48
 
 
+def plain_dice(text, template):
+    """Best coefficient of any stretch of the text, by trying all."""
+    w, grams = re.sub("[^a-z0-9]+", " ", text.lower()).split(" "), license_scan.bigrams(template)
+    pairs = [f"{a} {b}" for a, b in zip(w, w[1:])]
+    best, places = 0.0, [i for i, g in enumerate(pairs) if g in grams]
+    for i in places:
+        seen, inside = set(), 0
+        for j in [j for j in places if j >= i]:
+            seen.add(pairs[j])
+            inside += 1
+            best = max(best, 2 * len(seen) / (len(seen) + j - i + 1 - inside + len(grams)))
+    return best
+
+
 def test_license_scan(spark, odd):
-    texts = ["intro\n" + license_scan.TEMPLATES["MIT"] + "\nend", license_scan.TEMPLATES["MIT"].replace(". ", ".\n\n"), "Licensed under  the APACHE license, version 2.0", "nothing here", "All rights\nreserved."]
-    got = {(r["doc_id"], r["license"]) for r in license_scan.license_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert {(0, "MIT"), (1, "MIT"), (2, "Apache-2.0/short"), (4, "All-rights-reserved")} <= got and 3 not in {d for d, _ in got}
-    for d, name in got:
-        units = [*texts[d].split("\n"), *texts[d].split("\n\n"), texts[d]]
-        b = license_scan.bigrams(license_scan.TEMPLATES[name])
-        assert max(2 * len(license_scan.bigrams(u) & b) / (len(license_scan.bigrams(u)) + len(b)) for u in units) >= 0.8
+    mit, apache, bsd = (license_scan.TEMPLATES[k] for k in ("MIT", "Apache-2.0/header", "BSD-2-Clause"))
+    wrapped = lambda t, n: "\n# ".join(" ".join(x) for x in itertools.batched(t.split(), n))
+    filler = "some words that say nothing of rights or terms at all " * 30
+    texts = [
+        f"intro\n{mit}\nend", mit.replace(". ", ".\n\n"), "Licensed under  the APACHE license, version 2.0", "nothing here", "All rights\nreserved.",
+        f"{filler}\n{wrapped(apache, 9)}\n{filler}", f"{filler} {bsd.replace('COPYRIGHT HOLDERS', 'AUTHORS OF THIS')} {filler}", "Copyright 2020 Foo Inc. All rights reserved.",
+        "This project is released under the MIT License, see LICENSE for details.", "SPDX-License-Identifier: MIT", "GNU General Public License v3.0 or later", f"{mit}\n\n{filler}\n\n{mit}", filler,
+    ]
+    out = license_scan.license_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    expected = {(d, k, round(x, 9)) for d, t in enumerate(texts) for k, v in license_scan.TEMPLATES.items() if (x := plain_dice(t, v)) >= license_scan.MIN_DICE}
+    assert {(r["doc_id"], r["license"], round(r["dice"], 9)) for r in out} == expected
+    must = {(0, "MIT"), (1, "MIT"), (2, "Apache-2.0/short"), (4, "All-rights-reserved"), (5, "Apache-2.0/header"), (6, "BSD-2-Clause"), (7, "All-rights-reserved"), (8, "MIT/short"), (9, "SPDX/MIT"), (10, "GPL-3.0/name"), (11, "MIT")}
+    got = {(r["doc_id"], r["license"]) for r in out}
+    assert must <= got and not {3, 12} & {d for d, _ in got} and (9, "SPDX/GPL-2.0") not in got
     assert license_scan.license_report(odd).count() == 0
 
 
