@@ -76,3 +76,29 @@ def legible(requested: Column, back: Column, least: float = 4.5) -> Column:
     """The requested colour if its contrast suffices, else black or white, whichever contrasts more."""
     plain = F.when(contrast(F.lit("#000000"), back) >= contrast(F.lit("#ffffff"), back), "#000000").otherwise("#ffffff")
     return F.when(contrast(requested, back) >= least, requested).otherwise(plain)
+
+
+def otsu_threshold(histogram: Column) -> Column:
+    """Otsu's threshold of an array of counts by grey level: the first level whose split has the greatest variance between; 127 without a split."""
+    total = F.aggregate(histogram, F.lit(0.0), lambda acc, n: acc + n)
+    weighted = F.aggregate(F.transform(histogram, lambda n, i: n * i.cast("double")), F.lit(0.0), lambda acc, v: acc + v)
+    start = F.struct(F.lit(0).alias("level"), F.lit(0.0).alias("below"), F.lit(0.0).alias("sum"), F.lit(-1.0).alias("best"), F.lit(127).alias("at"))
+
+    def step(acc: Column, n: Column) -> Column:
+        below, part = acc["below"] + n, acc["sum"] + n * acc["level"]
+        over = acc["all"] - below
+        split = (below > 0) & (over > 0)
+        gap = F.try_divide(part, below) - F.try_divide(acc["whole"] - part, over)
+        better = split & (below * over * gap * gap > acc["best"])
+        return F.struct(
+            (acc["level"] + 1).alias("level"), below.alias("below"), part.alias("sum"), F.when(better, below * over * gap * gap).otherwise(acc["best"]).alias("best"),
+            F.when(better, acc["level"]).otherwise(acc["at"]).alias("at"), acc["all"].alias("all"), acc["whole"].alias("whole"),
+        )
+
+    first = start.withField("all", total).withField("whole", weighted)
+    return F.aggregate(histogram, first, step, lambda acc: acc["at"])
+
+
+def background_style(deviation: Column) -> Column:
+    """By the mean deviation of a background's channels: Studio, Gradient or Busy; empty without pixels."""
+    return F.when(deviation.isNull(), "").when(deviation < 12, "Studio").when(deviation < 40, "Gradient").otherwise("Busy")

@@ -59,3 +59,41 @@ def overlap(a: Column, b: Column) -> Column:
     h = F.greatest(F.lit(0), F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"]))
     area = lambda x: (x["x1"] - x["x0"]) * (x["y1"] - x["y0"])
     return F.coalesce(F.try_divide(w * h, area(a) + area(b) - w * h), F.lit(0.0))
+
+
+# Margins and shares of an ad's layout, as shares of the canvas.
+MARGIN, GAP, LEAST_REGION, WIDE, LEAST_CORNER = 0.03, 0.01, 0.15, 0.7, 0.15
+HEIGHTS = {"headline": 0.4, "secondary_copy": 0.4, "cta": 0.2}
+
+
+def _box(x: Column, y: Column, w: Column, h: Column) -> Column:
+    return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"), w.cast("double").alias("width"), h.cast("double").alias("height"))
+
+
+def free_region(x: Column, y: Column, w: Column, h: Column) -> Column:
+    """The part of the canvas opposite a product's box: a band above or below a wide one, else the strip beside it."""
+    zero, one = F.lit(0.0), F.lit(1.0)
+    right, low = x + w, y + h
+    under = _box(zero, F.least(one, low + MARGIN), one, F.greatest(zero, one - F.least(one, low + MARGIN)))
+    over = _box(zero, zero, one, F.greatest(zero, y - MARGIN))
+    beside = _box(F.least(one, right + MARGIN), zero, F.greatest(zero, one - F.least(one, right + MARGIN)), one)
+    before = _box(zero, zero, F.greatest(zero, x - MARGIN), one)
+    return F.when(w > WIDE, F.when(one - low >= y, under).otherwise(over)).when(x + w / 2 < 0.5, beside).otherwise(before)
+
+
+def layout(x: Column, y: Column, w: Column, h: Column, headline_first: Column, price_offer: Column) -> Column:
+    """Struct of boxes for headline, secondary_copy, cta and price_offer (null where it has no place) around a product's box; null if the free region is too small."""
+    region = free_region(x, y, w, h)
+    rh = region["height"]
+    tall = {k: v * rh for k, v in HEIGHTS.items()}
+    top = region["y"] + GAP
+    place = {
+        "headline": F.when(headline_first, top).otherwise(top + tall["cta"] + tall["secondary_copy"]),
+        "secondary_copy": F.when(headline_first, top + tall["headline"]).otherwise(top + tall["cta"]),
+        "cta": F.when(headline_first, top + tall["headline"] + tall["secondary_copy"]).otherwise(top),
+    }
+    boxes = [_box(region["x"] + GAP, place[k], F.greatest(F.lit(0.0), region["width"] - 2 * GAP), F.greatest(F.lit(0.0), tall[k] - GAP)).alias(k) for k in HEIGHTS]
+    corner = F.least(F.lit(1.0), y + h + MARGIN)
+    room = F.greatest(F.lit(0.0), 1.0 - corner)
+    offer = F.when(price_offer & (region["width"] < 1) & (room >= LEAST_CORNER), _box(x, corner, w, room))
+    return F.when(region["width"] * rh >= LEAST_REGION, F.struct(*boxes, offer.alias("price_offer")))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, functions as F
 
 from admill.functions.text import text_or_empty
 
-# Signatures of page builders and subscription apps, in the order they are tried.
+# Signatures of page builders and subscription apps, in the order they are tried; then phrases, rates and
+# quantities of offers (digits are ASCII here, since numbers are cast from them).
 BUILDERS = {
     "pagefly": r"(?i)pf-container|pagefly-container|cdn\.pagefly\.io",
     "zipify": r"(?i)zp-container|zipify-pages|cdn\.zipify\.com",
@@ -130,3 +131,77 @@ def open_graph(html: Column, name: str) -> Column:
     """Content of an og: meta tag."""
     pattern = rf"""(?is)<meta[^>]*property=["']og:{name}["'][^>]*content=["']([^"']*)["']"""
     return F.nullif(F.regexp_extract(text_or_empty(html), pattern, 1), F.lit(""))
+
+
+# Scripts that hold a shop's name or its product.
+SHOP_NAME = r'"shop"\s*:\s*\{\s*"name"\s*:\s*"([^"]+)"'
+MERCHANT_NAME = r'"merchantName"\s*:\s*"([^"]+)"'
+WINDOW_OBJECTS = [r"(?s)window\.ShopifyAnalytics\.meta\.product\s*=\s*(\{.*?\});", r"(?s)window\.__INITIAL_STATE__\s*=\s*(\{.*?\});"]
+
+
+def description(html_or_text: Column, most: int = 3000) -> Column:
+    """Text of a description: the text values of rich-text JSON where it holds one, else the visible text; at most `most` characters."""
+    raw = F.trim(text_or_empty(html_or_text))
+    rich = F.startswith(raw, F.lit('{"type"')) & F.try_parse_json(raw).isNotNull()
+    values = F.transform(F.regexp_extract_all(raw, F.lit(r'"value"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1)), lambda v: F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), v, F.lit('"'))), "$", "string"))
+    told = F.trim(F.array_join(F.filter(values, lambda v: v != ""), " "))
+    return F.when(rich & (told != ""), F.substring(told, 1, most)).otherwise(visible_text(html_or_text, most))
+
+
+def title(html: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_extract(text_or_empty(html), r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
+
+
+def product_name(title: Column, most: int = 50) -> Column:
+    """Product name of a page title: what stands before its last separator, cut at the first one inside; null without one or where too long."""
+    separator = r"\s+[\u2013|]\s+"
+    parts = F.split(F.trim(text_or_empty(title)), separator)
+    name = F.trim(F.get(parts, F.lit(0)))
+    return F.when((F.size(parts) > 1) & (name != "") & (F.length(name) <= most), name)
+
+
+def window_product(html: Column) -> Column:
+    """Struct of brand, price and variants from script objects; prices over 1000 are cents."""
+    from admill.functions.money import clean_price
+
+    h = text_or_empty(html)
+    brand = F.coalesce(*[F.nullif(F.trim(F.regexp_extract(h, p, 1)), F.lit("")) for p in (SHOP_NAME, MERCHANT_NAME)])
+    found = [F.try_parse_json(F.nullif(F.regexp_extract(h, p, 1), F.lit(""))) for p in WINDOW_OBJECTS]
+    price = F.coalesce(*[clean_price(F.try_variant_get(v, "$.price", "string")) for v in found])
+    names = lambda v: F.filter(F.transform(F.try_variant_get(v, "$.variants", "array<variant>"), lambda x: F.coalesce(F.nullif(F.try_variant_get(x, "$.title", "string"), F.lit("")), F.try_variant_get(x, "$.name", "string"))), lambda n: n.isNotNull() & (n != ""))
+    variants = F.coalesce(*[F.when(F.size(names(v)) > 0, names(v)) for v in found])
+    return F.struct(brand.alias("brand"), F.when(price > 1000, price / 100).otherwise(price).alias("price"), variants.alias("variants"))
+
+
+def has_min_fields(description: Column, variants: Column, rating: Column, count: Column) -> Column:
+    """Whether a page told anything but a price."""
+    told = (F.coalesce(description, F.lit("")) != "") | (F.coalesce(F.size(variants), F.lit(0)) > 0) | (F.coalesce(rating, F.lit(0.0)) != 0) | (F.coalesce(count, F.lit(0)) != 0)
+    return F.coalesce(told, F.lit(False))
+
+
+def image_addresses(html: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text_or_empty(html), F.lit(r'(?i)<img[^>]*\bsrc="([^"]+)"'), F.lit(1)))
+
+
+# Where zones of a product page are recognised, and how they are bounded.
+CURRENCY, PROOF, TOKEN_CHARS, HERO_LEAST = r"[$€£]\s?[0-9]", r"(?i)reviews?|ratings?|[0-9]+\s*stars", 4, 100
+
+
+def zones(html: Column) -> Column:
+    """Struct of hero, social_proof and specs: the first blocks of text (between block-level tags) that hold a price, a rating, or a list; null where there is none."""
+    body = F.regexp_replace(text_or_empty(html), _BLOCKS, " ")
+    body = F.regexp_replace(body, r"(?is)<(nav|header|footer|aside)\b[^>]*>.*?</\1\s*>", " ")
+    blocks = F.transform(F.split(body, r"(?i)</?(?:div|section|article|form|main|table|ul|ol|h[1-6])\b[^>]*>"), lambda b: F.trim(F.regexp_replace(F.regexp_replace(b, "(?s)<[^>]+>", " "), r"\s+", " ")))
+    lists = F.regexp_extract(body, r"(?is)<(ul|ol|table|dl)\b[^>]*>(.*?)</\1\s*>", 2)
+    first = lambda p: F.get(F.filter(blocks, lambda b: b.rlike(p)), F.lit(0))
+    return F.struct(first(CURRENCY).alias("hero"), first(PROOF).alias("social_proof"), F.nullif(F.trim(F.regexp_replace(F.regexp_replace(lists, "(?s)<[^>]+>", " "), r"\s+", " ")), F.lit("")).alias("specs"))
+
+
+def pruned(html: Column, most_tokens: int = 4000) -> Column:
+    """Title and zones of a page as text for a language model; the whole visible text at twice the budget where the zones say too little."""
+    z = zones(html)
+    parts = F.array_join(F.filter(F.array(z["hero"], z["social_proof"], z["specs"]), lambda x: F.coalesce(x, F.lit("")) != ""), "\n\n")
+    enough = z["hero"].isNotNull() & (F.length(parts) >= HERO_LEAST)
+    text = F.when(enough, F.substring(parts, 1, most_tokens * TOKEN_CHARS)).otherwise(F.substring(visible_text(html), 1, 2 * most_tokens * TOKEN_CHARS))
+    name = F.substring(title(html), 1, 200)
+    return F.concat(F.when(name != "", F.concat(F.lit("Page title: "), name, F.lit("\n\n"))).otherwise(""), text)

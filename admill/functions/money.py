@@ -24,8 +24,9 @@ def price_tier(price: Column) -> Column:
 
 
 def clean_price(raw: Column) -> Column:
-    """The last number of a text, thousands commas removed; null if there is none."""
-    numbers = F.regexp_extract_all(F.translate(F.coalesce(raw, F.lit("")), ",", ""), F.lit(r"[0-9]+(?:\.[0-9]+)?"), F.lit(0))
+    """The last number of a text, once all but digits, points, signs and white space are removed; null if there is none."""
+    plain = F.regexp_replace(F.coalesce(raw, F.lit("")), r"[^0-9.\-\s]", "")
+    numbers = F.regexp_extract_all(plain, F.lit(r"-?[0-9]+(?:\.[0-9]+)?"), F.lit(0))
     return F.try_element_at(numbers, F.lit(-1)).try_cast("double")
 
 

@@ -149,3 +149,47 @@ def grounded_number(value: Column, text: Column) -> Column:
     forms = [whole, plain, commas, F.regexp_replace(commas, r"\.00$", ""), F.translate(plain, ".", ",")]
     bounded = [F.regexp_like(text_or_empty(text), F.concat(F.lit(r"(?<![0-9])"), F.regexp_replace(f, r"\.", r"\\."), F.lit(r"(?![0-9])"))) for f in forms]
     return F.coalesce(reduce(or_, bounded), F.lit(False))
+
+
+# Risks that a reviewer should see, and subcategories that a text may be a candidate for.
+RISKS = {
+    "possible_pet": r"(?i)\b(dog|cat|pet|canine|feline|puppy)\b",
+    "possible_topical": r"(?i)\b(serum|cream|balm|moisturi[sz]er|face scrub|topical|wrinkle)\b",
+    "possible_equipment": r"(?i)\b(shaker bottle|blenderbottle|gym equipment|weighted sled)\b",
+}
+CANDIDATES = {
+    "collagen": r"(?i)\bcollagen\b",
+    "creatine": r"(?i)\bcreatine\b",
+    "magnesium": r"(?i)\bmagnesium\b",
+    "melatonin_sleep": r"(?i)\b(melatonin|sleep (?:aid|support|gumm))\b",
+    "multivitamin": r"(?i)\b(multivitamin|multi-vitamin)\b",
+    "omega_3": r"(?i)\b(omega[- ]?3|fish oil)\b",
+    "pre_workout": r"(?i)\bpre[- ]?workout\b",
+    "probiotic": r"(?i)\bprobiotic\b",
+    "protein": r"(?i)\b(protein powder|whey protein|plant protein)\b",
+    "vitamin": r"(?i)\bvitamin(?:s| [a-z0-9]+)?\b",
+    "weight_management": r"(?i)\b(weight loss|fat burn|appetite)\b",
+}
+
+
+def review_strata(text: Column, queries: Column, risks: dict[str, str] = RISKS, candidates: dict[str, str] = CANDIDATES) -> Column:
+    """Sorted strata for manual review: the queries that found an ad, risks and candidates its text names; query:unknown if there is none."""
+    t = text_or_empty(text)
+    asked = F.transform(F.filter(F.coalesce(queries, F.array().cast("array<string>")), lambda q: F.coalesce(q, F.lit("")) != ""), lambda q: F.concat(F.lit("query:"), F.lower(q)))
+    named = F.array(*[F.when(t.rlike(p), k) for k, p in risks.items()], *[F.when(t.rlike(p), f"candidate:{k}") for k, p in candidates.items()])
+    out = F.array_sort(F.array_distinct(F.concat(asked, F.filter(named, lambda x: x.isNotNull()))))
+    return F.when(F.size(out) > 0, out).otherwise(F.array(F.lit("query:unknown")))
+
+
+def standardised(level: Column) -> Column:
+    return F.upper(F.trim(level))
+
+
+def sorted_notes(notes: Column) -> Column:
+    return F.array_sort(F.array_distinct(notes))
+
+
+def taxonomy_context(source: Column, subcategory: Column) -> Column:
+    """Struct of subcategory and source: only a human decision vouches for a subcategory."""
+    s = text_or_empty(source)
+    return F.struct(F.when(s == "human_adjudication", subcategory).alias("subcategory"), s.alias("source"))

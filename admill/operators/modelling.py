@@ -8,6 +8,8 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAsse
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
+from admill.operators.ordering import quantiles
+
 RARE = "infrequent"
 
 
@@ -47,7 +49,7 @@ def train_boosted(train: DataFrame, target: str, numeric: list[str], categorical
 
 def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame, target: str, numeric: list[str]) -> DataFrame:
     """One row: error and R2 on the test rows, and the error of the training median."""
-    median = train.agg(F.median(target)).first()[0]
+    median = next(iter(quantiles(train, target, [0.5])), None)
     scored = model.transform(with_indicators(test, numeric))
     mean = F.avg(target)
     residual = F.sum(F.pow(F.col(target) - F.col("prediction"), 2))
@@ -86,3 +88,20 @@ def proportional_hazards(rows: DataFrame, duration: str, observed: str, features
             break
     data.unpersist()
     return dict(zip(features, beta.tolist()))
+
+
+def expanded_vectors(rows: DataFrame, column: str, size: int) -> DataFrame:
+    """rows with a column for each of the first `size` numbers of a vector column, all null where the vector is missing or empty."""
+    full = F.size(column) > 0
+    return rows.select(*[c for c in rows.columns if c != column], *[F.when(full, F.get(column, F.lit(i)).cast("double")).alias(f"{column}_{i}") for i in range(size)])
+
+
+def inputs_and_target(rows: DataFrame, target: str, ids: list[str], targets: list[str], leaky: list[str] = ()) -> DataFrame:
+    """The model inputs of rows with a known target: all but ids, other targets and leaky columns, and the target itself as y."""
+    left_out = {*ids, *targets, *leaky}
+    return rows.filter(F.col(target).isNotNull()).select(*[c for c in rows.columns if c not in left_out], F.col(target).cast("double").alias("y"))
+
+
+def top_coefficients(fitted: DataFrame, n: int = 20) -> DataFrame:
+    """The n features of the largest absolute coefficient, ties by name."""
+    return fitted.orderBy(F.desc(F.abs("coefficient")), "feature").limit(n)

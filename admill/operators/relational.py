@@ -84,3 +84,39 @@ def best_offer(offers: Column) -> Column:
     least = F.array_min(F.transform(priced, lambda o: o["price_per_unit"]))
     cheapest = F.get(F.filter(priced, lambda o: o["price_per_unit"] == least), F.lit(0))
     return F.coalesce(flagged, single, cheapest, F.get(offers, F.lit(0)))
+
+
+def tracked(key: Column, end: Column) -> Column:
+    """Whether an ad is known and hasn't ended."""
+    return (F.coalesce(key.cast("string"), F.lit("")) != "") & (F.coalesce(end.cast("string"), F.lit("")) == "")
+
+
+def attached(rows: DataFrame, features: DataFrame, key: str, into: str) -> DataFrame:
+    """rows with the features of their key as a struct; null where there are none. features has a row per key at most."""
+    packed = features.select(key, F.struct(*[c for c in features.columns if c != key]).alias(into))
+    return rows.join(packed, key, "left")
+
+
+def described(profile: DataFrame, known: DataFrame, importance: DataFrame) -> DataFrame:
+    """A row per profiled feature with its kind and meaning (a plain entry for an unknown one) and its importance, if any."""
+    out = profile.join(F.broadcast(known), "feature", "left").join(F.broadcast(importance), "feature", "left")  # a row per feature
+    return out.withColumns({"kind": F.coalesce("kind", F.lit("numeric")), "meaning": F.coalesce("meaning", F.lit("not documented"))})
+
+
+def freshness(rows: DataFrame, at: str, since: Column, today: Column, enough: int = 50, most_days: int = 7) -> DataFrame:
+    """One row: rows since the last training, the newest row, whether there are enough to retrain, and whether the newest is too old."""
+    new = F.count_if(F.col(at) >= since)
+    return rows.agg(new.alias("n_new"), F.max(at).alias("newest"), (new >= enough).alias("retrain"), (F.datediff(F.any_value(today), F.max(at)) > most_days).alias("stale"))
+
+
+def merged_semantics(partial: Column, told: Column) -> Column:
+    """What a language model told wins where it says anything."""
+    return F.coalesce(F.when(told.cast("string") != "", told), partial)
+
+
+def direct_response(merged: dict[str, Column], offers: Column, told: dict[str, Column]) -> dict[str, Column]:
+    """merged fields with the gaps filled: price from the best offer (a unit's, else the whole), variants from its labels, the rest as told."""
+    best = best_offer(offers)
+    labels = F.filter(F.transform(offers, lambda o: o["tier_label"]), lambda x: F.coalesce(x, F.lit("")) != "")
+    fill = told | {"price": F.coalesce(best["price_per_unit"], best["total_price"]), "variants": F.when(F.size(labels) > 0, labels)}
+    return {k: F.coalesce(merged[k], fill[k]) if k in merged and k in fill else merged.get(k, fill.get(k)) for k in {**merged, **fill}}

@@ -6,7 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from admill.operators.ordering import value_shares, with_row_number
+from admill.operators.ordering import MOST_VALUES, value_shares, with_row_number
+from admill.operators.storage import stored
 
 WEIGHTS = {"longevity": 0.70, "longevity_scaling_interaction": 0.20, "variant_boost": 0.10}
 INGREDIENTS = {"days_active": 0, "brand_scaling_count": 1, "collation_count": 0}
@@ -26,14 +27,31 @@ def brand_scaling(ads: DataFrame) -> DataFrame:
     return ads.join(pages, "page_id", "left").withColumn("brand_scaling_count", F.coalesce("brand_scaling_count", F.lit(1)).cast("long"))
 
 
+#: Share of each ingredient in the score: the one in use, and what its neighbours would give. Fixed values.
+SCENARIOS = {
+    "baseline_70_20_10": (0.70, 0.20, 0.10),
+    "longevity_minus_10_scaling_plus_10": (0.60, 0.30, 0.10),
+    "scaling_minus_10_longevity_plus_10": (0.80, 0.10, 0.10),
+    "longevity_minus_10_variant_plus_10": (0.60, 0.20, 0.20),
+    "without_longevity": (0.0, 2 / 3, 1 / 3),
+    "without_scaling_interaction": (7 / 8, 0.0, 1 / 8),
+    "without_variant_boost": (7 / 9, 2 / 9, 0.0),
+}
+
+
 def with_percentiles(rows: DataFrame, reference: Column | None = None) -> DataFrame:
-    """rows with p_<ingredient>: share of reference rows (all by default) at or below the row's own value, defaults filled in."""
-    out = rows
-    for name, default in INGREDIENTS.items():
-        value = F.greatest(F.coalesce(F.col(name), F.lit(default)), F.lit(default)).cast("double")
-        shares = value_shares(rows.withColumn("_v", value), "_v", f"p_{name}", reference)  # from the rows as given
-        out = out.withColumn("_v", value).join(shares, "_v").drop("_v")
-    return out
+    """rows with p_<ingredient>: share of reference rows (all by default) at or below the row's own value, defaults filled in.
+
+    rows are written once; a table of shares is broadcast where it is counted to be small, so that no common value is a hot key.
+    """
+    values = {f"_v_{k}": F.greatest(F.coalesce(F.col(k), F.lit(d)), F.lit(d)).cast("double") for k, d in INGREDIENTS.items()}
+    base = stored(rows.withColumns(values | ({} if reference is None else {"_reference": reference})), "scored")
+    out = base
+    for name in INGREDIENTS:
+        shares = stored(value_shares(base, f"_v_{name}", f"p_{name}", None if reference is None else F.col("_reference")), "shares")
+        small = shares.limit(MOST_VALUES + 1).count() <= MOST_VALUES
+        out = out.join(F.broadcast(shares) if small else shares, f"_v_{name}")
+    return out.drop(*values, "_reference")
 
 
 def score(weights: dict[str, float] | None = None) -> Column:
@@ -74,3 +92,17 @@ def average_ranks(rows: DataFrame, column: str, into: str) -> DataFrame:
 def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
     ranked = average_ranks(average_ranks(rows, a, "_a"), b, "_b")
     return ranked.agg(F.corr("_a", "_b").alias("spearman"))
+
+
+def sensitivity(rows: DataFrame, key: str = "ad_id", places: int = 9) -> DataFrame:
+    """A row per scenario of weights: rank correlation with the first scenario's score, and the Jaccard index of the top sets. rows carry percentiles."""
+    names = list(SCENARIOS)
+    scored = stored(rows.select(key, *[F.round(score(dict(zip(WEIGHTS, w))), places).alias(k) for k, w in SCENARIOS.items()]), "scenarios")
+    flags = stored(top_flags(scored, names, key), "scenario-tops")
+    out = None
+    for k in names:
+        pair = scored.select(F.col(names[0]).alias("a"), F.col(k).alias("b"))
+        both = flags.agg(F.count_if(F.col(f"top_{names[0]}") & F.col(f"top_{k}")).alias("x"), F.count_if(F.col(f"top_{names[0]}") | F.col(f"top_{k}")).alias("y"))
+        row = spearman(pair, "a", "b").join(F.broadcast(both)).select(F.lit(k).alias("scenario"), "spearman", F.try_divide("x", "y").alias("top_jaccard"))
+        out = row if out is None else out.unionByName(row)
+    return out

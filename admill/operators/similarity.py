@@ -10,7 +10,10 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-PERMUTATIONS, BANDS = 128, 16
+from admill.operators.graph import components
+from admill.operators.storage import stored
+
+PERMUTATIONS = 128
 
 
 def token_set(text: Column) -> Column:
@@ -56,23 +59,43 @@ def minhash(text: Column, permutations: int = PERMUTATIONS) -> Column:
     return F.pandas_udf(sign, "array<long>")(token_set(text))
 
 
-def near_duplicates(rows: DataFrame, key: str, text: str, least: float = 0.95, bands: int = BANDS) -> DataFrame:
-    """(key, first): each row whose signature agrees with an earlier row's in at least that share, and the earliest such row.
+def bands_for(least: float, permutations: int = PERMUTATIONS) -> int:
+    """The fewest bands such that signatures which agree in that share of slots have a whole band in common: one more than slots may differ."""
+    differ = int((1 - least) * permutations + 1e-9)
+    return next(b for b in range(differ + 1, permutations + 1) if permutations % b == 0)
+
 
-    Rows meet in bands of equal slots. A band groups its rows by signature, so identical texts meet once;
-    matches are verified slot by slot.
+def near_duplicates(rows: DataFrame, key: str, text: str, least: float = 0.95) -> DataFrame:
+    """(key, first) of each row that is linked to an earlier one, directly or by way of others: the least key (a whole number) of its class.
+
+    Two rows are linked if their signatures agree in at least that share of slots; every such pair shares a
+    band. Equal signatures collapse first. A band's members are compared with its least member, then only
+    pairs of different classes with each other, so a large group of copies costs one comparison a member.
     """
-    signed = rows.select(F.col(key).alias("id"), minhash(F.col(text)).alias("s")).filter(F.col("s").isNotNull())
-    kinds = signed.groupBy("s").agg(F.min("id").alias("first"))
+    bands = bands_for(least)
+    signed = stored(rows.select(F.col(key).alias("id"), minhash(F.col(text)).alias("s")).filter(F.col("s").isNotNull()), "signatures")
+    kinds = stored(signed.groupBy("s").agg(F.min("id").alias("first")), "signature-kinds")
     width = PERMUTATIONS // bands
     keys = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.slice("s", i * width + 1, width)).alias("h")) for i in range(bands)])
-    banded = kinds.select("first", "s", F.explode(keys).alias("k")).select("first", "s", "k.*")
-    later = banded.select(F.col("first").alias("id2"), F.col("s").alias("s2"), "band", "h")
+    banded = kinds.select("first", F.explode(keys).alias("k")).select("first", "k.*")
+    groups = banded.groupBy("band", "h").agg(F.count("*").alias("n"), F.min("first").alias("a")).filter("n > 1").drop("n")
+    members = stored(banded.join(groups, ["band", "h"]), "bands")
     agree = F.aggregate(F.zip_with("s", "s2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda acc, x: acc + x)
-    matched = banded.join(later, ["band", "h"]).filter((F.col("first") != F.col("id2")) & (agree >= least * PERMUTATIONS))
-    earliest = matched.groupBy(F.col("id2").alias("kind")).agg(F.min("first").alias("other"))
-    out = signed.join(kinds, "s").join(earliest, F.col("first") == F.col("kind"), "left")
-    return out.select(F.col("id").alias(key), F.least("first", "other").alias("first")).filter(F.col(key) > F.col("first"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        left, right = kinds.select(F.col("first").alias("a"), "s"), kinds.select(F.col("first").alias("b"), F.col("s").alias("s2"))
+        return stored(pairs.distinct().join(left, "a").join(right, "b").filter(agree >= least * PERMUTATIONS - 1e-9).select("a", "b"), "signature-links")
+
+    stars = linked(members.filter(F.col("first") != F.col("a")).select("a", F.col("first").alias("b")))
+    roots = components(stars).withColumnRenamed("node", "first")
+    rooted = members.select("band", "h", "first").join(roots, "first", "left").withColumn("root", F.coalesce("root", "first"))
+    mixed = rooted.groupBy("band", "h").agg(F.min("root").alias("_l"), F.max("root").alias("_m")).filter("_l <> _m").select("band", "h")
+    rest = stored(rooted.join(mixed, ["band", "h"], "left_semi"), "mixed-bands")
+    other = rest.select("band", "h", F.col("first").alias("b"), F.col("root").alias("rb"))
+    across = rest.join(other, ["band", "h"]).filter((F.col("first") < F.col("b")) & (F.col("root") != F.col("rb"))).select(F.col("first").alias("a"), "b")
+    roots = components(stars.unionByName(linked(across))).withColumnRenamed("node", "first")
+    out = signed.join(kinds, "s").join(roots, "first", "left").withColumn("first", F.coalesce("root", "first"))
+    return out.select(F.col("id").alias(key), "first").filter(F.col(key) > F.col("first"))
 
 
 def cosine(a: Column, b: Column) -> Column:

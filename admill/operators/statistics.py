@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from admill.operators.ordering import with_row_number
+from admill.functions.distributions import f_probability, t_probability
+from admill.operators.ordering import quantiles, with_row_number
 
 NULLS, POINT_MASS, OUTLIERS, CARDINALITY = 0.30, 0.40, 0.05, 0.5
 Z95 = 1.959963984540054
@@ -71,7 +72,7 @@ def welch(rows: DataFrame, missing: str, value: str, least: int = 10) -> DataFra
 
 def psi(train: DataFrame, test: DataFrame, column: str) -> DataFrame:
     """One row: population stability index over the training deciles."""
-    deciles = train.agg(F.array_sort(F.array_distinct(F.percentile(column, [i / 10 for i in range(11)]))).alias("_d")).first()["_d"] or []
+    deciles = sorted(set(quantiles(train, column, [i / 10 for i in range(11)])))
     if len(deciles) < 2:
         return train.sparkSession.range(1).select(F.lit(0.0).alias("psi"))
     inner = deciles[1:-1]
@@ -206,3 +207,75 @@ def promotion(evidence: DataFrame) -> DataFrame:
     }
     failed = F.filter(F.array(*[F.when(~F.coalesce(c, F.lit(False)), name) for name, c in checks.items()]), lambda x: x.isNotNull())
     return evidence.withColumn("failed_checks", F.array_join(failed, ",")).withColumn("status", F.when(F.col("failed_checks") == "", "promoted").otherwise("blocked"))
+
+
+def pearson_test(rows: DataFrame, x: str, y: str, least: int = 10) -> DataFrame:
+    """One row: n, r and its two-sided p; null with fewer than `least` pairs or a constant side."""
+    known = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    out = known.agg(F.count("*").alias("n"), F.when(F.count("*") >= least, F.corr(F.col(x).cast("double"), F.col(y).cast("double"))).alias("r"))
+    df = F.col("n") - 2
+    t = F.when(F.abs("r") < 1, F.col("r") * F.sqrt(df / (1 - F.col("r") * F.col("r"))))
+    return out.withColumn("p", F.when(F.abs("r") >= 1, F.lit(0.0)).otherwise(t_probability(t, df)))
+
+
+def anova_test(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """anova with the upper probability of F."""
+    return anova(rows, group, value).withColumn("p", f_probability(F.col("f"), F.col("n_groups") - 1, F.col("n") - F.col("n_groups")))
+
+
+def welch_test(rows: DataFrame, missing: str, value: str, least: int = 10) -> DataFrame:
+    """welch with the Welch-Satterthwaite degrees of freedom, the two-sided p, and whether values look missing not at random."""
+    gone, v = F.col(missing).isNull(), F.col(value)
+    spread = rows.filter(v.isNotNull()).agg((F.var_samp(F.when(gone, v)) / F.count_if(gone)).alias("_a"), (F.var_samp(F.when(~gone, v)) / F.count_if(~gone)).alias("_b"))
+    out = welch(rows, missing, value, least).join(F.broadcast(spread))
+    a, b = F.col("_a"), F.col("_b")
+    df = F.pow(a + b, F.lit(2)) / (a * a / (F.col("n_null") - 1) + b * b / (F.col("n_non_null") - 1))
+    tested = out.withColumn("df", F.when(F.col("t").isNotNull(), df)).withColumn("p", t_probability(F.col("t"), F.col("df")))
+    return tested.withColumn("likely_mnar", F.col("p") < 0.05).drop("_a", "_b")
+
+
+def column_kinds(rows: DataFrame, ids: list[str], embeddings: list[str]) -> dict[str, str]:
+    """Kind of each column: by name for ids and embeddings, else by its type."""
+    kinds = {}
+    for name, kind in rows.dtypes:
+        number = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
+        kinds[name] = "id" if name in ids else "embedding" if name in embeddings else "boolean" if kind == "boolean" else "numeric" if number else "categorical"
+    return kinds
+
+
+def quality_report(rows: DataFrame, ids: list[str], embeddings: list[str]) -> DataFrame:
+    """A row per column: kind, n, null_rate and flags, those with flags and most nulls first (rank 1 on; null without flags).
+
+    Values of all columns go through one aggregation by column and value; vectors only through counts.
+    """
+    kinds = column_kinds(rows, ids, embeddings)
+    plain = [c for c, k in kinds.items() if k in ("numeric", "boolean", "categorical")]
+    whole = rows.agg(F.count("*").alias("n"), *[F.count(c).alias(f"k_{c}") for c in kinds], *[F.count_if(F.size(c) > 0).alias(f"e_{c}") for c, k in kinds.items() if k == "embedding"], *[F.count_distinct(F.size(c)).alias(f"d_{c}") for c, k in kinds.items() if k == "embedding"])
+    facts = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.col("n"), (1 - F.try_divide(f"k_{c}", "n")).alias("null_rate"), (1 - F.try_divide(f"e_{c}", "n") if k == "embedding" else F.lit(None).cast("double")).alias("empty_rate"), (F.col(f"d_{c}") if k == "embedding" else F.lit(0).cast("long")).alias("dims")) for c, k in kinds.items()]
+    base = whole.select(F.explode(F.array(*facts)).alias("x")).select("x.*")
+    long = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in plain])).alias("x")).select("x.*").filter(F.col("v").isNotNull())
+    counts = long.groupBy("column", "v").agg(F.count("*").alias("k"))
+    values = counts.groupBy("column").agg(F.count("*").alias("distinct"), F.sum("k").alias("known"), F.max("k").alias("most"))
+    out = base.join(values, "column", "left")
+    share, kind = F.try_divide("most", "known"), F.col("kind")
+    same = (F.col("distinct") == 1) & (F.col("known") > 1)
+    pointed = F.coalesce(share >= POINT_MASS, F.lit(False))
+    flags = F.array(
+        F.when(F.col("null_rate") >= NULLS, "high_null_rate"),
+        F.when(F.col("empty_rate") >= NULLS, "high_empty_rate"),
+        F.when(F.col("dims") > 1, "inconsistent_dims"),
+        F.when(kind.isin("numeric", "boolean") & same, "zero_variance"),
+        F.when(((kind == "numeric") & ~same | (kind == "categorical")) & pointed, "high_point_mass"),
+        F.when((kind == "categorical") & (F.col("distinct") / F.col("known") >= CARDINALITY) & (F.col("distinct") > 20), "high_cardinality"),
+    )
+    flagged = out.withColumn("flags", F.array_join(F.filter(flags, lambda f: f.isNotNull()), ",")).select("column", "kind", "n", "null_rate", "distinct", "flags")
+    order = Window.partitionBy(F.col("flags") != "").orderBy(F.desc("null_rate"), "column")  # a row per column
+    return flagged.withColumn("flag_rank", F.when(F.col("flags") != "", F.row_number().over(order)))
+
+
+def dimensionality(n_rows: int, features: dict[str, int], spark) -> DataFrame:
+    """A row per variant: its features, rows a feature, and a flag where there are too few."""
+    rows = spark.createDataFrame([(k, v) for k, v in features.items()], "variant string, n_features long")
+    ratio = F.try_divide(F.lit(float(n_rows)), F.col("n_features"))
+    flag = F.when(F.col("n_features") >= n_rows, "features_exceed_rows").when(ratio < 10, "thin_ratio")
+    return rows.withColumn("rows_per_feature", F.round(ratio, 2)).withColumn("flag", flag)

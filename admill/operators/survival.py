@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from admill.operators.ordering import in_ranges, with_row_number
+from admill.operators.storage import stored
+
 HORIZONS = (30, 60, 90, 180)
 
 
@@ -72,21 +75,28 @@ def horizons(rows: DataFrame, duration: str, observed: str, at: tuple[int, ...]
     )
 
 
-def concordance(rows: DataFrame, duration: str, observed: str, risk: str, most_risks: int = 200) -> DataFrame:
-    """Share of comparable pairs in which the higher risk ends sooner; ties of risk count a half.
+def concordance(rows: DataFrame, duration: str, observed: str, risk: str) -> DataFrame:
+    """One row: the share of comparable pairs in which the higher risk ends sooner, ties of risk counting a half, and the number of pairs.
 
-    The risk takes at most `most_risks` values (bin it first). Pairs are never formed: for each day and
-    risk, a running count tells how many outlive that day.
+    Pairs are never formed. Days are numbered in order; two different days part at exactly one binary
+    digit of their numbers, so for each digit the events on the lower side of a block meet the rows on its higher
+    side, as running sums along the risk. Blocks are summed by ranges of risk, so none has to fit one task.
     """
-    kinds = rows.groupBy(F.col(duration).alias("t"), F.col(observed).alias("e"), F.col(risk).alias("r")).agg(F.count("*").alias("n"))
-    levels = [r["r"] for r in kinds.select("r").distinct().limit(most_risks + 1).collect()]
-    if len(levels) > most_risks:
-        raise ValueError(f"the risk has more than {most_risks} values; bin it first")
-    days = kinds.select("t").distinct().select("t", F.explode(F.array(*map(F.lit, sorted(levels)))).alias("r2"))
-    outlive = kinds.groupBy("t", F.col("r").alias("r2")).agg(F.sum("n").alias("n2"))
-    later = Window.partitionBy("r2").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, -1)
-    grid = days.join(outlive, ["t", "r2"], "left").select("t", "r2", F.coalesce(F.sum("n2").over(later), F.lit(0)).alias("n2"))
-    events = kinds.filter("e").groupBy("t", "r").agg(F.sum("n").alias("n"))
-    weight = F.col("n") * F.col("n2")
-    good = F.sum(F.when(F.col("r2") < F.col("r"), weight * 1.0).when(F.col("r2") == F.col("r"), 0.5 * weight).otherwise(0.0))
-    return events.join(grid, "t").agg(F.try_divide(good, F.sum(weight).cast("double")).alias("concordance"), F.sum(weight).cast("long").alias("pairs"))
+    kinds = stored(rows.groupBy(F.col(duration).cast("double").alias("t"), F.col(observed).alias("e"), F.col(risk).cast("double").alias("r")).agg(F.count("*").alias("n")), "risks")
+    days = stored(with_row_number(kinds.select("t").distinct(), "t", [], "day"), "days")
+    digits = max(1, (days.count()).bit_length())
+    numbered = in_ranges(kinds.filter("t IS NOT NULL AND r IS NOT NULL"), "r").join(days, "t")
+    level = numbered.withColumn("digit", F.explode(F.sequence(F.lit(0), F.lit(digits - 1))))
+    side = F.expr("shiftright(day, digit) % 2")
+    block = level.select("digit", F.expr("shiftright(day, digit + 1)").alias("block"), "_range", "r", F.when(side == 0, F.when(F.col("e"), F.col("n"))).alias("sooner"), F.when(side == 1, F.col("n")).alias("later"))
+    keys = ["digit", "block"]
+    points = block.groupBy(*keys, "_range", "r").agg(F.coalesce(F.sum("sooner"), F.lit(0)).alias("sooner"), F.coalesce(F.sum("later"), F.lit(0)).alias("later"))
+    sums = points.groupBy(*keys, "_range").agg(F.sum("later").alias("_s"))
+    whole = Window.partitionBy(*keys)
+    lower = sums.select(*keys, "_range", F.coalesce(F.sum("_s").over(whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_lower"), F.sum("_s").over(whole).alias("_all"))
+    inside = F.coalesce(F.sum("later").over(Window.partitionBy(*keys, "_range").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    met = points.withColumn("_inside", inside).filter("sooner > 0").join(lower, [*keys, "_range"])
+    good = F.sum(F.col("sooner") * (F.col("_lower") + F.col("_inside") + 0.5 * F.col("later")))
+    pairs = F.sum(F.col("sooner") * F.col("_all"))
+    return met.agg(F.try_divide(good, pairs.cast("double")).alias("concordance"), F.coalesce(pairs, F.lit(0)).cast("long").alias("pairs"))
+

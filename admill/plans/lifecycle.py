@@ -32,15 +32,16 @@ def lifecycle_state(spark, sf):
     return lc.resolve(observations(spark, sf)).withColumn("reported_stop_date", F.col("reported_stop_date").cast("string"))
 
 
-@query("""WITH k AS (SELECT o_orderkey AS ad_id, o_custkey AS page_id, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0),
-r AS (SELECT l_orderkey AS ad_id, min(l_linestatus) <> 'F' AS r_active, CASE WHEN min(l_returnflag) = 'R' THEN CAST(max(l_shipdate) AS DATE) END AS r_stop FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY l_orderkey),
+@query("""WITH k AS (SELECT o_orderkey AS ad_id, o_custkey AS page_id, o_orderstatus FROM orders),
+r AS (SELECT l_orderkey AS ad_id, min(l_linestatus) <> 'F' AS r_active, CASE WHEN min(l_returnflag) = 'R' THEN CAST(max(l_shipdate) AS DATE) END AS r_stop FROM lineitem WHERE l_quantity >= 40 GROUP BY l_orderkey),
 c AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
 SELECT sha256('run-1:' || k.ad_id) AS observation_id, k.ad_id, CASE WHEN r.ad_id IS NOT NULL AND (r_active = false OR r_stop IS NOT NULL) THEN 'explicitly_inactive'
   WHEN r.ad_id IS NOT NULL THEN 'active' WHEN c_custkey IS NOT NULL THEN 'not_observed' ELSE 'unknown' END AS observed_status, c_custkey IS NOT NULL AS poll_complete, CAST(r_stop AS VARCHAR) AS reported_stop_date
 FROM k LEFT JOIN r USING (ad_id) LEFT JOIN c ON c_custkey = page_id""")
 def poll_observations(spark, sf):
-    known = table(spark, sf, "orders").filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("ad_id"), F.col("o_custkey").alias("page_id"), F.to_date("o_orderdate").alias("start_date"))
-    lines = table(spark, sf, "lineitem").filter("l_orderkey % 2 = 0").groupBy(F.col("l_orderkey").alias("ad_id"))
+    """A poll returns the ads that have a large line; the others weren't seen."""
+    known = table(spark, sf, "orders").select(F.col("o_orderkey").alias("ad_id"), F.col("o_custkey").alias("page_id"), F.to_date("o_orderdate").alias("start_date"))
+    lines = table(spark, sf, "lineitem").filter("l_quantity >= 40").groupBy(F.col("l_orderkey").alias("ad_id"))
     returned = lines.agg((F.min("l_linestatus") != "F").alias("r_active"), F.when(F.min("l_returnflag") == "R", F.to_date(F.max("l_shipdate"))).alias("r_stop"), F.lit(None).cast("date").alias("r_start"))
     pages = table(spark, sf, "customer").filter("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("page_id"))
     out = lc.poll_observations(known, returned, pages, "run-1", F.lit(AS_OF).cast("timestamp"))
@@ -101,6 +102,12 @@ def concordance(spark, sf):
     return sv.concordance(lifetimes(spark, sf), "duration", "ended", "collation_count").withColumn("concordance", F.round("concordance", 9))
 
 
+@query(f"""WITH {_LIVES}, k AS (SELECT duration AS t, ended AS e, price AS r, count(*) AS n FROM lives GROUP BY ALL)
+SELECT round(sum(a.n * b.n * CASE WHEN b.r < a.r THEN 1.0 WHEN b.r = a.r THEN 0.5 ELSE 0 END) / sum(a.n * b.n), 9) AS concordance, CAST(sum(a.n * b.n) AS BIGINT) AS pairs FROM k a JOIN k b ON b.t > a.t WHERE a.e""")
+def continuous_concordance(spark, sf):
+    return sv.concordance(lifetimes(spark, sf), "duration", "ended", "price").withColumn("concordance", F.round("concordance", 9))
+
+
 @query(f"""WITH RECURSIVE {_FOLD}, a AS (SELECT ad_id, DATE '2023-12-01' + CAST(ad_id % 20 AS INT) AS start_date FROM resolved)
 SELECT ad_id, state, CASE WHEN event_at IS NOT NULL THEN greatest(0, date_diff('day', start_date, coalesce(reported_stop_date, CAST(event_at AS DATE)))) END AS duration FROM resolved JOIN a USING (ad_id)""")
 def event_durations(spark, sf):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from admill.functions import url
 from admill.operators import guide, modelling, products, splits
+from admill.operators.storage import stored
 from admill.plans.registry import query
 from admill.plans.views import ADS, AS_OF, ads, table
 
@@ -20,7 +21,7 @@ def rare_levels(spark, sf):
 def boosted_regression(spark, sf):
     """Trees depend on the library, so rows only: test error beside the training median's."""
     rows = splits.advertiser_holdout(ads(spark, sf), "start_date", F.col("page_id").cast("string")).withColumn("target", F.col("days_active").cast("double"))
-    rows = modelling.pool_rare(rows, "hook", 5, ~F.col("is_test")).persist()
+    rows = stored(modelling.pool_rare(rows, "hook", 5, ~F.col("is_test")), "model-rows")
     train, test = rows.filter("NOT is_test"), rows.filter("is_test")
     numeric, categorical = ["price", "collation_count"], ["hook", "segment"]
     model = modelling.train_boosted(train, "target", numeric, categorical, rounds=5)

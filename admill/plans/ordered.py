@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from admill.operators import scoring, splits
+from admill.operators.storage import stored
 from admill.plans.registry import query
 from admill.plans.views import ADS, ads, table
 
@@ -37,7 +38,7 @@ def heldout_percentile(spark, sf):
 @query(f"""WITH {_SCORED}, r AS (SELECT rank() OVER (ORDER BY round(composite_success_score, 9)) + (count(*) OVER (PARTITION BY round(composite_success_score, 9)) - 1) / 2.0 AS a,
   rank() OVER (ORDER BY round(challenger, 9)) + (count(*) OVER (PARTITION BY round(challenger, 9)) - 1) / 2.0 AS b FROM s) SELECT round(corr(a, b), 6) AS spearman FROM r""")
 def spearman(spark, sf):
-    rows = scored(spark, sf).select(F.round("composite_success_score", 9).alias("x"), F.round("challenger", 9).alias("y")).persist()
+    rows = stored(scored(spark, sf).select(F.round("composite_success_score", 9).alias("x"), F.round("challenger", 9).alias("y")), "scores")
     return scoring.spearman(rows, "x", "y").select(F.round("spearman", 6).alias("spearman"))
 
 
@@ -48,7 +49,7 @@ SELECT count(*) FILTER (a AND b) / count(*) FILTER (b) AS precision, count(*) FI
 
 @query(_TOP)
 def top20_agreement(spark, sf):
-    rows = scored(spark, sf).select("ad_id", F.round("composite_success_score", 9).alias("x"), F.round("challenger", 9).alias("y")).persist()
+    rows = stored(scored(spark, sf).select("ad_id", F.round("composite_success_score", 9).alias("x"), F.round("challenger", 9).alias("y")), "scores")
     return scoring.top_agreement(rows, "x", "y")
 
 

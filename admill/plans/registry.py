@@ -23,5 +23,5 @@ def query(sql: str | None = None):
     return add
 
 
-for _name in ("relational", "ordered", "lifecycle", "scalar", "statistics", "similarity", "modelling"):
+for _name in ("relational", "ordered", "lifecycle", "scalar", "statistics", "similarity", "modelling", "evaluation", "pages"):
     importlib.import_module(f"admill.plans.{_name}")

@@ -64,13 +64,13 @@ def taxonomy_gate(spark, sf):
     return rel.label_gate(table(spark, sf, "documents").select("doc_id"), labels, "doc_id", "ok").groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-@query("""WITH p AS (SELECT doc_id, length(text) > 1000 AS predicted, (doc_id % 100) / 100.0 AS confidence FROM documents WHERE doc_id % 7 <> 0)
+@query("""WITH p AS (SELECT doc_id, length(text) > 1000 AS predicted, (doc_id % 100) / 100.0 AS confidence FROM documents WHERE lang <> 'es')
 SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN p.doc_id IS NULL THEN 'missing_prediction' WHEN l.doc_id IS NOT NULL AND l.quality = 1 THEN 'accepted_human'
   WHEN l.doc_id IS NOT NULL THEN 'rejected_human' WHEN confidence < 0.9 THEN 'queued_low_confidence' WHEN predicted THEN 'accepted_classifier' ELSE 'rejected_classifier' END AS outcome
 FROM documents d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id) GROUP BY outcome""")
 def classifier_admission(spark, sf):
     docs = table(spark, sf, "documents")
-    predictions = docs.filter("doc_id % 7 <> 0").select("doc_id", (F.length("text") > 1000).alias("predicted"), (F.col("doc_id") % 100 / 100).alias("confidence"))
+    predictions = docs.filter("lang <> 'es'").select("doc_id", (F.length("text") > 1000).alias("predicted"), (F.col("doc_id") % 100 / 100).alias("confidence"))
     gold = table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("truth"))
     return rel.admit(docs.select("doc_id"), predictions, gold, "doc_id", 0.9).groupBy("outcome").agg(F.count("*").alias("n"))
 
