@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from admill.operators.storage import shared_dir, stored
+
 #: ASCII white space that separates words everywhere in this subpackage.
 SPACE = r"[\x20\x09-\x0D]+"
 #: Most rows and bytes of a small table that may be broadcast; beyond them the join shuffles.
@@ -18,25 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Without one a local session gets a temporary folder; a cluster gets an error."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.conf.set("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='admill-')}")
-    return spark.conf.get("spark.checkpoint.dir").rstrip("/")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, grouped by application so that it can be cleared as a whole."""
     return f"{shared_dir(spark)}/admill-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends in files that outlive executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Writes a frame to the shared folder and reads it back: lineage ends in files that outlive executors.
+materialise = stored
 
 
 def is_small(df: DataFrame, most: int | None = None, most_bytes: int | None = None) -> bool:

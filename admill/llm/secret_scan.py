@@ -8,11 +8,16 @@ strings (mixed half and half with the uniform model), other runs of letters, few
 are ordinary; the rest has no label. Pairs back off to single characters. Counts cover every document; only the table of ratios, at most one number for each pair of characters, reaches the
 driver, which sends it back as a constant.
 
+Texts are scanned once: the spans, with the tokens that the models learn from and judge, are written and reread, and the
+texts aren't. A run has at least `RUN_LEAST` characters and no dots, so a token with dots is judged in parts, and a
+shorter secret is found by its pattern only.
+
 A text's match positions come from splitting it at the pattern: gaps and matches alternate, so
 running sums of their lengths are the spans, in code points, without a loop over the text.
 
 Cases: null text is empty; no match gives zero counts and the digest of an empty string; adjacent
-matches stay apart; repeated rows get equal results; an empty table trains a model that flags
+matches stay apart; ties of two kinds at one start stand in the kinds' order; repeated rows get equal results; of the columns of docs
+only those named in `keep` go on, so others may have any name, and a kept column named as a result is an error; an empty table trains a model that flags
 nothing; texts are read whole.
 """
 
@@ -22,7 +27,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from admill.llm.common import require
+from admill.llm.common import materialise, require
 
 #: The patterns of the three base kinds.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -30,7 +35,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN_LEAST = 20
+RUN = rf"[A-Za-z0-9+/_=-]{{{RUN_LEAST},}}"
 #: Natural-log units that the average transition must favour the random model by.
 MARGIN = 0.5
 #: Pseudo-count of the single-character model behind each character's row.
@@ -74,11 +80,15 @@ def _cut(text: Column, span: Column) -> Column:
     return F.substring(text, span["start"] + 1, span["stop"] - span["start"])
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """docs with _text, _base (spans of the patterns) and _runs (other runs of token characters)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = require(docs, "text").withColumn("_text", text).withColumn("_base", base_spans(F.col("_text")))
-    return found.withColumn("_runs", F.filter(spans(F.col("_text"), RUN, 3), lambda s: _free(s, F.col("_base"))))
+def scanned(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns of docs with base (spans of the patterns), values (the last token of each) and runs (other runs of token characters: span and token)."""
+    if clash := {"base", "values", "runs", "spans"} & set(keep):
+        raise ValueError(f"kept columns have names of results: {sorted(clash)}")
+    rows = require(docs, "text", *keep).select(*keep, F.coalesce("text", F.lit("")).alias("_text")).withColumn("base", base_spans(F.col("_text")))
+    values = F.transform("base", lambda s: F.element_at(F.split(_cut(F.col("_text"), s), "[^A-Za-z0-9+/_-]+"), -1))
+    free = F.filter(spans(F.col("_text"), RUN, 3), lambda s: _free(s, F.col("base")))
+    runs = F.transform(free, lambda s: F.struct(s.alias("span"), _cut(F.col("_text"), s).alias("token")))
+    return rows.select(*keep, "base", values.alias("values"), runs.alias("runs"))
 
 
 def _transitions(token: Column) -> Column:
@@ -90,10 +100,9 @@ def _transitions(token: Column) -> Column:
 
 def train(found: DataFrame) -> list[int]:
     """Thousandths of the log ratio for each pair of characters, from the scanned documents."""
-    random = F.transform("_base", lambda s: F.element_at(F.split(_cut(F.col("_text"), s), "[^A-Za-z0-9+/_-]+"), -1))
     letters = lambda t: t.rlike("^[A-Za-z_-]+$") & (4 * F.regexp_count(t, F.lit("[A-Z]")) <= F.length(t))
-    ordinary = F.filter(F.transform("_runs", lambda s: _cut(F.col("_text"), s)), letters)
-    labelled = F.concat(F.transform(random, lambda t: F.struct(F.lit(1).alias("random"), t.alias("token"))), F.transform(ordinary, lambda t: F.struct(F.lit(0).alias("random"), t.alias("token"))))
+    ordinary = F.filter(F.transform("runs", lambda r: r["token"]), letters)
+    labelled = F.concat(F.transform("values", lambda t: F.struct(F.lit(1).alias("random"), t.alias("token"))), F.transform(ordinary, lambda t: F.struct(F.lit(0).alias("random"), t.alias("token"))))
     tokens = found.select(F.explode(labelled).alias("x"))
     pairs = tokens.select("x.random", F.explode(_transitions(F.col("x.token"))).alias("pair"))
     size = len(ALPHABET)
@@ -116,15 +125,15 @@ def log_ratios(random: list[int], ordinary: list[int]) -> list[int]:
     return [round(1000 * math.log((uniform + p) / 2 / q)) for p, q in zip(transition_model(random), transition_model(ordinary))]
 
 
-def secrets(docs: DataFrame) -> DataFrame:
-    """docs with spans: array of (start, stop, kind number) in order, base and method spans together."""
-    ratios = train(scanned(docs))
+def secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns of docs with spans: array of (start, kind number, stop) in order, base and method spans together."""
+    found = materialise(scanned(docs, keep), "secrets")
+    ratios = train(found)
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<int>")
-    token = lambda s: _transitions(_cut(F.col("_text"), s))
-    score = lambda s: F.aggregate(token(s), F.lit(0).cast("long"), lambda acc, p: acc + F.get(table, p))
-    random = lambda s: score(s) > F.lit(int(1000 * MARGIN)) * F.size(token(s))
-    found = scanned(docs)
-    return found.withColumn("spans", F.array_sort(_by_start(F.concat("_base", F.filter("_runs", random))))).drop("_text", "_base", "_runs")
+    score = lambda t: F.aggregate(_transitions(t), F.lit(0).cast("long"), lambda acc, p: acc + F.get(table, p))
+    random = lambda r: score(r["token"]) > F.lit(int(1000 * MARGIN)) * F.size(_transitions(r["token"]))
+    told = F.transform(F.filter("runs", random), lambda r: r["span"])
+    return found.select(*keep, F.array_sort(_by_start(F.concat("base", told))).alias("spans"))
 
 
 def _by_start(found: Column) -> Column:
@@ -138,7 +147,7 @@ def _spelt(found: Column) -> Column:
 
 def secret_report(docs: DataFrame) -> DataFrame:
     """A row per document: counts of the base kinds, the digest of base spans, and all spans."""
-    found = secrets(require(docs, "doc_id", "text").select("doc_id", "text"))
+    found = secrets(require(docs, "doc_id"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     base = F.filter("spans", lambda s: s["kind"] < 3)
     return found.select(

@@ -3,14 +3,16 @@
 Categories are predicted one after the other. A document's features are the presence of the words
 that the labels associate with any category, and a few shares over the whole text; each later model
 also gets the earlier categories' probabilities. In training, those come from out-of-fold
-predictions, so a later model never learns from a probability that saw the row's own label.
+predictions, so a later model never learns from a probability that saw the row's own label; a text's hash
+decides its fold, so copies of a text stay together.
 
-The models are fitted on at most `MAX_ROWS` labelled rows (those whose ids hash lowest); every
+The models are fitted on at most `MAX_ROWS` labelled rows (those whose ids hash lowest, each with one text); every
 document is scored. Words, counts and models are handled by Spark; scoring stays in the JVM.
 
 Cases: null text counts as empty; rows without labels are only scored; several label rows of a
 document each count; a category without both classes in the sample gets its base rate; repeated
-rows get equal scores; empty tables give an empty result; texts are read whole.
+rows and ties get equal scores; of several texts under a labelled id the one whose hash is least is learned from; extra columns are
+left out whatever their names; empty tables give an empty result; texts are read whole.
 """
 
 from __future__ import annotations
@@ -97,13 +99,14 @@ def telling_words(rows: DataFrame, categories: list[str], most: int = MAX_WORDS,
     return [r["word"] for r in best.select("word").collect()]  # at most `most` words
 
 
-def fit_chain(rows: DataFrame, categories: list[str], key: str = "doc_id", folds: int = FOLDS) -> Chain:
-    """rows: text, a 0/1 (or null) column for each category, and a key that decides the fold."""
-    sample = materialise(prepared(rows).select(key, "_words", *_SHARES, *[F.col(c).cast("double").alias(c) for c in categories]), "labelled")
+def fit_chain(rows: DataFrame, categories: list[str], folds: int = FOLDS) -> Chain:
+    """rows: text, and a 0/1 (or null) column for each category."""
+    fold = F.pmod(F.xxhash64(F.lit("fold"), F.coalesce("text", F.lit(""))), F.lit(folds)).alias("_fold")
+    sample = materialise(prepared(rows).select(fold, "_words", *_SHARES, *[F.col(c).cast("double").alias(c) for c in categories]), "labelled")
     words = telling_words(sample, categories) or [""]
     vocabulary = CountVectorizerModel.from_vocabulary(words, inputCol="_words", outputCol="_counts").setBinary(True)
     chain = Chain(vocabulary)
-    held = materialise(vocabulary.transform(sample).drop("_words").withColumn("_fold", F.pmod(F.xxhash64(F.lit("fold"), key), F.lit(folds))), "chain")
+    held = materialise(vocabulary.transform(sample).drop("_words"), "chain")
     for i, category in enumerate(categories):
         earlier = [f"p_{k}" for k in categories[:i]]
         chain.steps.append((category, fit_step(held, category, earlier)))
@@ -117,9 +120,11 @@ def fit_chain(rows: DataFrame, categories: list[str], key: str = "doc_id", folds
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> DataFrame:
-    """At most `most` labelled rows with their texts: those whose ids hash lowest."""
+    """At most `most` labelled rows with a text each: those whose ids hash lowest."""
     chosen = labels.filter(F.col("doc_id").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(materialise(chosen, "labels"), "doc_id")
+    numbered = materialise(chosen.withColumn("_label", F.monotonically_increasing_id()), "labels")
+    met = docs.select("doc_id", "text").join(F.broadcast(numbered), "doc_id")  # `most` rows of numbers
+    return met.groupBy("_label", *labels.columns).agg(F.min_by("text", F.xxhash64("text")).alias("text")).drop("_label")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_ROWS, threshold: float = THRESHOLD) -> DataFrame:

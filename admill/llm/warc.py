@@ -7,7 +7,8 @@ reads seek to single records. Equal payloads of at least `min_bytes` bytes are s
 smallest page_id is a response, the others are revisits that refer to it. Only digests that occur
 twice are joined to the pages, and they are broadcast only while counted to be few.
 
-Cases: a null html is an empty payload and a null url is left out; a null page_id sorts after all
+Cases: a null html is an empty payload and a null url is left out; line ends are taken out of URLs; extra columns of
+pages are left out whatever their names; a null page_id sorts after all
 others and is written as an empty id; rows that repeat the smallest page_id with the same payload
 are all responses; an empty table gives an empty result.
 """
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from admill.llm.common import join_checked, materialise, require, scratch
 from admill.llm.files import opened, written
@@ -53,7 +54,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
         "WARC-Type": "revisit" if revisit else "response",
         "WARC-Record-ID": _urn(page_id),
         "WARC-Date": "1970-01-01T00:00:00Z",
-        "WARC-Target-URI": None if url is None else "".join(url.splitlines()),
+        "WARC-Target-URI": None if url is None else url.replace("\r", "").replace("\n", ""),
         "WARC-Payload-Digest": f"sha1:{digest(payload)}",
         "WARC-Payload-Length": str(len(payload)),
         "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if revisit else None,
@@ -97,15 +98,20 @@ def split_records(chunks: Iterator[bytes]) -> Iterator[bytes]:
 
 
 def inflated(uri: str) -> Iterator[bytes]:
-    """A gzip file front to back; its members, one or many, join into one stream."""
+    """A gzip file front to back, at most `CHUNK` bytes at a time however well they are compressed; its members, one or many, join into one stream."""
     with opened(uri) as f:
         stream = zlib.decompressobj(_GZIP)
         while data := f.read(CHUNK):
-            while data:
-                yield stream.decompress(data)
-                data = stream.unused_data if stream.eof else b""
+            more = True
+            while more:
+                out = stream.decompress(data, CHUNK)
+                if out:
+                    yield out
+                data = stream.unused_data if stream.eof else stream.unconsumed_tail
+                more = bool(data) or (not stream.eof and len(out) == CHUNK)
                 if stream.eof:
                     stream = zlib.decompressobj(_GZIP)
+        yield stream.flush()
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -196,6 +202,13 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
     return rows.withColumns({c: F.expr(f"try_cast({c} AS long)") for c in ("page_id", "refers_to")})
 
 
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The index of all archives in a folder, from their sidecars alone."""
+    rows = spark.read.schema("position long, size long, page_id string, record_type string").option("header", True).csv(f"{folder}/*.idx")
+    archive = F.regexp_replace(F.regexp_replace(F.input_file_name(), "^file:/+", "file:///"), r"\.idx$", "")
+    return rows.select(archive.alias("archive"), "position", "size", F.expr("try_cast(page_id AS long)").alias("page_id"), "record_type")
+
+
 def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
     """Writes pages as archives below folder and returns the normalised archives' index."""
     folder = folder or scratch(pages.sparkSession, "warc")

@@ -1,5 +1,6 @@
 """Operators against brute force, on literal rows with nulls, ties, repeats, odd white space and clashing column names."""
 
+import gzip
 import hashlib
 import itertools
 import re
@@ -279,6 +280,13 @@ def test_token_shards_read_back(spark, odd, tokenizer, tmp_path):
             assert got.tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, token_shards.END]
 
 
+def test_inflation_is_bounded(tmp_path):
+    data = [b"\0" * 50_000_000, b"", bytes(range(256)) * 5000]
+    (tmp_path / "a.gz").write_bytes(b"".join(map(gzip.compress, data)))
+    parts = list(warc.inflated(f"file://{tmp_path}/a.gz"))
+    assert max(map(len, parts)) <= warc.CHUNK and b"".join(parts) == b"".join(data)
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a\r\nX: y", "<p>é</p>"), (2, "http://b", "<p>é</p>"), (3, None, None), (4, "c", ""), (5, "d", "WARC/1.1\r\n\r\ncontent-length: 5"), (None, "e", "<p>é</p>"), (6, "f", "z" * 300_000), (1, "g", "<p>é</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
@@ -289,6 +297,10 @@ def test_warc_round_trip(spark, tmp_path):
     bodies = {r["page_id"]: bytes(r["payload"]) for r in found if r["record_type"] == "response"}
     assert bodies[5] == rows[4][2].encode() and len(bodies[6]) == 300_000
     assert {(r["page_id"], r["payload_bytes"], r["payload_digest"]) for r in found} == {(p, len((h or "").encode()), warc.digest((h or "").encode())) for p, _, h in rows}
+    # the sidecars alone lead to every record
+    again = warc.read_records(warc.read_index(spark, f"file://{tmp_path}/records")).collect()
+    assert sorted((str(r["page_id"]), r["payload_digest"], r["record_type"]) for r in again) == sorted((str(r["page_id"]), r["payload_digest"], r["record_type"]) for r in found)
+    assert {r["url"] for r in again if r["page_id"] == 1} == {"http://aX: y", "g"}
     assert all(warc.split_records(iter([b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"[i : i + 1] for i in range(43)])))
 
 
@@ -320,6 +332,44 @@ def test_secret_spans(spark, odd, corpus):
         assert got == expected
 
 
+def plain_markov(texts):
+    """Spans by the two models, trained and applied in plain Python."""
+    at = {c: i for i, c in enumerate(secret_scan.ALPHABET)}
+    pairs = lambda t: [at[a] * len(at) + at[b] for a, b in itertools.pairwise(t) if a in at and b in at]
+    counts, runs = [[0] * len(at) ** 2, [0] * len(at) ** 2], {}
+    for d, text in texts.items():
+        base = base_spans(text)
+        for a, _, b in base:
+            for p in pairs(re.split("[^A-Za-z0-9+/_-]+", text[a:b])[-1]):
+                counts[1][p] += 1
+        runs[d] = [m for m in re.finditer(secret_scan.RUN, text or "") if not any(a < m.end() and b > m.start() for a, _, b in base)]
+        for m in runs[d]:
+            if re.fullmatch("[A-Za-z_-]+", m[0]) and 4 * sum(c.isupper() for c in m[0]) <= len(m[0]):
+                for p in pairs(m[0]):
+                    counts[0][p] += 1
+    ratios = secret_scan.log_ratios(counts[1], counts[0])
+    return {d: [(m.start(), m.end()) for m in ms if sum(ratios[p] for p in pairs(m[0])) > 1000 * secret_scan.MARGIN * len(pairs(m[0]))] for d, ms in runs.items()}
+
+
+def test_markov_spans_equal_the_plain_scorer(spark, corpus):
+    rng = np.random.default_rng(6)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    texts = {r["doc_id"]: r["text"] or "" for r in corpus.collect()}
+    planted = {}
+    for i, d in enumerate(sorted(texts)):
+        if i % 4 == 0:
+            planted[d] = len(texts[d]) + 6
+            texts[d] += " seen " + "".join(rng.choice(letters, 24 + i % 20)) + " there"
+        elif i % 4 == 1:
+            texts[d] += " call internal_customer_order_handler and process-record-session-manager here"
+    out = secret_scan.secret_report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = {r["doc_id"]: [tuple(map(int, x.split(":")[1:])) for x in r["spans"].split(",") if x.startswith("markov:")] for r in out}
+    assert got == plain_markov(texts)
+    found = sum(any(a == planted[d] for a, _ in got[d]) for d in planted)
+    others = sum(len(v) for v in got.values()) - found
+    assert found >= 0.95 * len(planted) and others <= 0.02 * len(texts)
+
+
 def test_markov_model_finds_random_strings(spark):
     rng = np.random.default_rng(3)
     draw = lambda n: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), n))
@@ -562,6 +612,43 @@ def test_toxicity_on_held_out_rows(spark):
     assert not any(r["toxic"] for r in toxicity.toxicity(docs.select("doc_id", "text"), nothing).collect())
 
 
+def test_toxicity_scores_equal_the_models_by_hand(spark):
+    rows = [(i, " ".join(["vile"] * (i % 3 == 0) + [f"w{i % 11}", f"v{i % 7}"] * 9), int(i % 5 == 0), int(i % 3 == 0)) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, low_quality int, toxic int")
+    chain = toxicity.fit_chain(docs, ["low_quality", "toxic"])
+    features = chain.features(docs).collect()
+    scored = {r["doc_id"]: r for r in chain.score(docs).collect()}
+    for r in features:
+        x = [*r["_counts"].toArray(), r["_upper"], r["_symbols"], r["_long"]]
+        for name, model in chain.steps:
+            p = 1 / (1 + np.exp(-(float(np.dot(model.coefficients.toArray(), x)) + model.intercept)))
+            assert abs(p - scored[r["doc_id"]][f"p_{name}"]) < 1e-9
+            x.append(p)
+
+
+def test_labelled_sample_is_bounded_and_keeps_copies_together(spark):
+    docs = spark.createDataFrame([(i % 10, f"text {i % 20}", "x") for i in range(200)], "doc_id long, text string, toxic string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(10)] + [(None, 1, 1)], "doc_id long, low_quality int, toxic int")
+    assert toxicity.labelled_sample(docs, labels, 6).count() == 6 and toxicity.labelled_sample(docs, labels).count() == 10
+
+
+def test_clashing_names(spark):
+    """Extra columns may have the names that operators use inside."""
+    names = ["start", "length", "ids", "doc_tokens", "_row", "sequence_id", "offset", "spans", "base", "runs", "_text", "_words", "p_toxic", "_counts", "_fp", "component_id", "number", "slot", "docs", "line", "item", "item_id", "license", "dice", "_quality", "kept", "html_"]
+    texts = [f"{w} " + " ".join(f"{w}{j}" for j in range(30)) + " password=abcdef12345" for w in ("ash", "birch", "cedar")]
+    docs = spark.createDataFrame([(i, t, "en", "s", *["c"] * len(names)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    bench = spark.createDataFrame([(1, texts[0], "q", "q")], "item_id long, text string, words string, gram string")
+    labels = spark.createDataFrame([(0, 1, 1, "t"), (1, 0, 0, "t")], "doc_id long, quality int, toxic int, text string")
+    pages = spark.createDataFrame([(1, "u", "h", "x", "y")], "page_id long, url string, html string, refers_to string, payload string")
+    one = [quality.quality_report, simhash.near_duplicates, secret_scan.secret_report, line_templates.line_report]
+    assert all(f(docs).count() == 3 for f in one) and packing.packed_pieces(docs).count() >= 3 and token_shards.sharded_documents(docs).count() >= 3
+    assert license_scan.license_report(docs).count() == 0 and decontam.leaks(docs, bench).count() == 1 and toxicity.toxicity(docs, labels).count() == 3
+    assert warc.archived_pages(pages).count() == 1
+    for public in (packing.pieces, secret_scan.secrets):
+        with pytest.raises(ValueError):
+            public(docs, keep=("start", "spans"))
+
+
 @pytest.mark.parametrize(
     "operator",
     [quality.quality_report, simhash.near_duplicates, simhash.one_of_each, packing.packed_pieces, token_shards.sharded_documents, secret_scan.secret_report, license_scan.license_report, line_templates.line_report, line_templates.drop_lines],
