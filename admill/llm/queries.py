@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admill.llm import decontam, license_scan, line_templates, packing, quality, secret_scan, simhash, token_shards, toxicity, warc
+from admill.llm import decontam, hard_negatives, language, license_scan, line_templates, packing, quality, resampling, secret_scan, simhash, token_shards, toxicity, warc
 from admill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +53,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_license_scan, op2_toxicity, op3_token_shards, op4_packing, op5_simhash, op6_warc, op7_quality_rules, op8_secret_scan, op9_line_dedup, op10_decontamination)}
+    fs = (op1_license_scan, op2_toxicity, op3_token_shards, op4_packing, op5_simhash, op6_warc, op7_quality_rules, op8_secret_scan, op9_line_dedup, op10_decontamination)
+    return {f.__name__: f for f in (*fs, op11_language_id, op12_hard_negatives, op13_resampling)}
 
 
 #: base32 of a hex SHA-1, five bits at a time, spelt out because DuckDB has no such function.
@@ -73,4 +86,4 @@ FROM p JOIN b USING (sha)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan.report_sql(), "op6_warc": _OP6_SQL, "op7_quality_rules": quality.report_sql()}
+    return {"op1_license_scan": license_scan.report_sql(), "op6_warc": _OP6_SQL, "op7_quality_rules": quality.report_sql(), "op12_hard_negatives": hard_negatives.report_sql()}

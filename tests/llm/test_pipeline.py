@@ -21,12 +21,12 @@ def test_stages_keep_columns_and_shrink(spark, tiny, tmp_path):
 
 def test_registered(spark):
     names = __spark_entry__.queries()
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
 
 
 def test_oracles(spark, tiny):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tiny}/{t}.parquet')")
     for name, sql in queries.oracle_sql().items():
         df = queries.queries()[name](spark, tiny)
