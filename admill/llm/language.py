@@ -3,8 +3,8 @@
 Each learned language has a raw-content zstandard dictionary of whole labelled texts. Texts are lower-cased and all
 but their letters becomes single spaces. A text is cut into pieces of `PIECE` bytes, all of them are compressed with every
 dictionary, and the sizes are added up: the language with the smallest sum is the prediction. Short pieces keep a text from
-being its own dictionary, so a long text is judged by the language throughout. A text whose two smallest sums lie within `MARGIN` of each other is marked as rejected: it keeps
-its best language, with the score its narrow margin gives, for the caller to set aside.
+being its own dictionary, so a long text is judged by the language throughout. A text whose two smallest sums lie within `MARGIN` of each other is marked as rejected: it keeps its
+best language, with the score its narrow margin gives, for the caller to set aside.
 
 The dictionaries are fitted on a bounded sample: the `LANGUAGES` most frequent values of lang, of each at most `ROWS` different
 texts chosen by hash, whole texts until they hold `DICTIONARY` bytes. Rows whose CRC-32 of the decimal doc_id is divisible by
@@ -12,8 +12,8 @@ texts chosen by hash, whole texts until they hold `DICTIONARY` bytes. Rows whose
 
 Cases: null texts and texts without a letter are `und` with score 0, as is everything where no language was learned; null labels
 and null doc_ids are never learned from and a null doc_id isn't held out; repeated rows count once in the sample and get
-equal results; equal sums go to the language learned from most rows, then the first by name; one learned language takes every text with letters; an empty table
-gives an empty result; very long texts are read whole, piece by piece; extra columns are ignored.
+equal results; equal sums go to the language learned from most rows, then the first by name; one learned language takes
+every text with letters; an empty table gives an empty result; very long texts are read whole, piece by piece; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,12 +47,15 @@ def letters_only(text: Column) -> Column:
 def training_texts(docs: DataFrame, languages: int = LANGUAGES, rows: int = ROWS) -> DataFrame:
     """(lang, n, text, place): the bounded sample of labelled rows that aren't held out, letters only; shorter texts than a dictionary first, then by hash. n counts a language's rows."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    common = known.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(languages)
-    bulky = F.octet_length("text") > DICTIONARY
-    order = Window.partitionBy("lang").orderBy(bulky, F.xxhash64("text"), "text")
-    some = known.select("lang", letters_only(F.col("text")).alias("text")).withColumn("_r", F.dense_rank().over(order)).filter(F.col("_r") <= rows).dropDuplicates(["lang", "text"])
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("text")).alias("_texts"))
+    common = F.broadcast(counts.orderBy(F.desc("n"), "lang").limit(languages))
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    near = known.withColumn("_p", place).join(common, "lang").filter(F.col("_p") * F.col("_texts") < F.lit(8.0 * rows * (1 << 40)))  # some 8 * rows texts
+    some = near.select("lang", "n", letters_only(F.col("text")).alias("text"), "_p").dropDuplicates(["lang", "text"])
+    order = Window.partitionBy("lang").orderBy(F.octet_length("text") > DICTIONARY, "_p", "text")
+    chosen = some.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows)
     before = F.coalesce(F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return some.withColumn("_before", before).filter(F.col("_before") < DICTIONARY).join(F.broadcast(common), "lang").select("lang", F.col("_n").alias("n"), "text", F.col("_r").alias("place"))
+    return chosen.withColumn("_before", before).filter(F.col("_before") < DICTIONARY).select("lang", "n", "text", "place")
 
 
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
