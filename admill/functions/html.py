@@ -181,27 +181,3 @@ def has_min_fields(description: Column, variants: Column, rating: Column, count:
 
 def image_addresses(html: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text_or_empty(html), F.lit(r'(?i)<img[^>]*\bsrc="([^"]+)"'), F.lit(1)))
-
-
-# Where zones of a product page are recognised, and how they are bounded.
-CURRENCY, PROOF, TOKEN_CHARS, HERO_LEAST = r"[$€£]\s?[0-9]", r"(?i)reviews?|ratings?|[0-9]+\s*stars", 4, 100
-
-
-def zones(html: Column) -> Column:
-    """Struct of hero, social_proof and specs: the first blocks of text (between block-level tags) that hold a price, a rating, or a list; null where there is none."""
-    body = F.regexp_replace(text_or_empty(html), _BLOCKS, " ")
-    body = F.regexp_replace(body, r"(?is)<(nav|header|footer|aside)\b[^>]*>.*?</\1\s*>", " ")
-    blocks = F.transform(F.split(body, r"(?i)</?(?:div|section|article|form|main|table|ul|ol|h[1-6])\b[^>]*>"), lambda b: F.trim(F.regexp_replace(F.regexp_replace(b, "(?s)<[^>]+>", " "), r"\s+", " ")))
-    lists = F.regexp_extract(body, r"(?is)<(ul|ol|table|dl)\b[^>]*>(.*?)</\1\s*>", 2)
-    first = lambda p: F.get(F.filter(blocks, lambda b: b.rlike(p)), F.lit(0))
-    return F.struct(first(CURRENCY).alias("hero"), first(PROOF).alias("social_proof"), F.nullif(F.trim(F.regexp_replace(F.regexp_replace(lists, "(?s)<[^>]+>", " "), r"\s+", " ")), F.lit("")).alias("specs"))
-
-
-def pruned(html: Column, most_tokens: int = 4000) -> Column:
-    """Title and zones of a page as text for a language model; the whole visible text at twice the budget where the zones say too little."""
-    z = zones(html)
-    parts = F.array_join(F.filter(F.array(z["hero"], z["social_proof"], z["specs"]), lambda x: F.coalesce(x, F.lit("")) != ""), "\n\n")
-    enough = z["hero"].isNotNull() & (F.length(parts) >= HERO_LEAST)
-    text = F.when(enough, F.substring(parts, 1, most_tokens * TOKEN_CHARS)).otherwise(F.substring(visible_text(html), 1, 2 * most_tokens * TOKEN_CHARS))
-    name = F.substring(title(html), 1, 200)
-    return F.concat(F.when(name != "", F.concat(F.lit("Page title: "), name, F.lit("\n\n"))).otherwise(""), text)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from admill.functions import color, dates, geometry, html, money, text, url
+from admill.functions import color, dates, geometry, html, money, text, tree, url
 from admill.operators import modelling, normalize, relational as rel, splits
 from admill.plans.registry import query
 from admill.plans.scalar import _TEXT
@@ -33,9 +33,9 @@ def page_descriptions(spark, sf):
 
 @query()
 def page_zones(spark, sf):
-    """Zones need patterns that refer back to a tag, which DuckDB's lack; tests hold literal pages against them."""
-    z = html.zones(F.col("html"))
-    return table(spark, sf, "pages").select("page_id", *[z[c].alias(c) for c in ("hero", "social_proof", "specs")], html.pruned(F.col("html")).alias("pruned"))
+    """Zones need an element tree, which SQL lacks; tests hold all pages against a plain version by another parser of nesting."""
+    found = table(spark, sf, "pages").select("page_id", tree.zones(F.col("html")).alias("z"))
+    return found.select("page_id", "z.hero", "z.social_proof", "z.specs", "z.from_zones", tree.pruned(F.col("z")).alias("pruned"))
 
 
 _NAMED = ", ".join([f"CASE WHEN regexp_matches(text, '{p}') THEN '{k}' END" for k, p in text.RISKS.items()] + [f"CASE WHEN regexp_matches(text, '{p}') THEN 'candidate:{k}' END" for k, p in text.CANDIDATES.items()])

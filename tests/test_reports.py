@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from admill.functions import distributions, html, money, text
+from admill.functions import distributions, html, money, text, tree
 from admill.operators import evaluation, graph, ordering, similarity, statistics, survival
 
 
@@ -85,11 +85,11 @@ PAGE = """<html><head><title>Rosa Beet – Shop</title><script>window.ShopifyAna
 
 def test_page_functions(spark):
     row = spark.createDataFrame([(PAGE,)], "h string").select(
-        html.title(F.col("h")).alias("t"), html.product_name(html.title(F.col("h"))).alias("n"), html.window_product(F.col("h")).alias("w"), html.zones(F.col("h")).alias("z"), html.pruned(F.col("h")).alias("p")
-    ).first()
+        html.title(F.col("h")).alias("t"), html.product_name(html.title(F.col("h"))).alias("n"), html.window_product(F.col("h")).alias("w"), tree.zones(F.col("h")).alias("z")
+    ).withColumn("p", tree.pruned(F.col("z"))).first()
     assert (row["t"], row["n"]) == ("Rosa Beet – Shop", "Rosa Beet")
     assert tuple(row["w"]) == ("Rosa Labs", 49.99, ["1 bottle", "3 bottles"])
-    assert "$49.99" in row["z"]["hero"] and "134 reviews" in row["z"]["social_proof"] and row["z"]["specs"] == "60 capsules Vegan"
+    assert "$49.99" in row["z"]["hero"] and "134 reviews" in row["z"]["social_proof"] and row["z"]["specs"] == "<ul><li>60 capsules</li><li>Vegan</li></ul>"
     assert row["p"].startswith("Page title: Rosa Beet") and "$1 off" not in row["p"]
     names = spark.createDataFrame([("A | B – C",), ("no separator",), (" | x",), ("y" * 60 + " | z",), (None,)], "t string")
     assert [r[0] for r in names.select(html.product_name(F.col("t"))).collect()] == ["A", None, None, None, None]
