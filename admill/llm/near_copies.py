@@ -1,15 +1,16 @@
-"""Near copies: exact Jaccard similarity of word shingles, linked into connected components.
+"""Near copies: Jaccard similarity of word shingles of at least `LEAST`, linked into connected components.
 
-A text is the set of its shingles of `WORDS` words, as 64-bit hashes. Texts with equal sets collapse
-first. Two sets that share at least `LEAST` of their union must share one of the first
-n - ceil(LEAST * n) + 1 shingles of either in any order that all texts agree on, so texts meet in those
-prefixes only and no pair is missed. The order puts shingles that recur in a sample last: a passage
-that many texts share then rarely brings them together, while what the sample holds never changes
-the result.
+A text is the set of its shingles of `WORDS` words, as 64-bit hashes; texts with equal sets collapse first. Links come
+in two passes, and each is checked on the whole sets before it counts:
 
-The texts that share a prefix shingle form a group. Each is compared with its group's smallest first,
-then pairs of different components with each other, likeliest first and only while these are apart, so a large
-group of copies costs about one comparison a text. Every link is checked on the whole sets.
+1. SimHash: fingerprints of the sets, linked within `RADIUS` bits by BK-trees (see simhash), find the almost exact copies.
+2. MinHash: sets meet where one of `BANDS` bands of `ROWS` minhashes is equal. Fingerprints at a similarity of `LEAST`
+   differ in some 10 of 64 bits, up to 17, where no tree prunes; bands miss a pair of exactly that similarity once in
+   ten thousand times, and rarer the more similar it is.
+
+The sets of a band's group are compared with one of them, then, where the group still holds several components,
+with others chosen by hash in further rounds, so a large group of copies costs a few comparisons a text. What is
+apart after `ROUNDS` rounds is compared pair by pair, likeliest first and only while the two are in different components.
 
 Cases: null and empty texts are copies of each other; fewer than `WORDS` words make one shingle; null
 doc_ids are kept only where no other row of the component has one; repeated rows are copies; an empty
@@ -18,7 +19,6 @@ table gives an empty result; texts are read whole.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,57 +27,50 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from admill.llm import simhash
 from admill.llm.common import join_checked, materialise, require, shielded
 from admill.operators.graph import components
 
 WORDS, SEED, LEAST = 5, 42, 0.8
-#: Texts sampled for recurring shingles, and how many of these are put last.
-SAMPLE, RECURRING = 20_000, 100_000
+#: Bits that fingerprints of the first pass may differ in; bands and minhashes of a band of the second; its rounds of stars.
+RADIUS, BANDS, ROWS, ROUNDS = 2, 24, 5, 3
 #: Pairs of two components that are verified before the rest, and up to how many pairs in all are verified at once.
 FIRST, AT_ONCE = 4, 10_000
-#: Binary logarithm of the bits of the map of shared shingles: 16 MB, whatever the corpus.
-BITS = 27
+_rng = np.random.default_rng(SEED)
+_TIMES, _MIX = _rng.integers(1 << 62, size=BANDS * ROWS, dtype=np.uint64) * 2 + 1, _rng.integers(1 << 63, size=BANDS * ROWS, dtype=np.uint64)
 
 
 def shingles(text: str | None, size: int = WORDS, seed: int = SEED) -> np.ndarray:
-    """Sorted signed 64-bit hashes of a whole text's distinct shingles."""
+    """Sorted unsigned 64-bit hashes of a whole text's distinct shingles."""
     words = (text or "").encode().lower().split()
     parts = zip(*(words[i:] for i in range(size))) if len(words) > size else (words,)
     h, join = xxhash.xxh64_intdigest, b" ".join
-    return np.unique(np.fromiter((h(join(s), seed) for s in parts), dtype="<u8").view("<i8"))
-
-
-def add_shingles(docs: DataFrame, into: str, size: int = WORDS) -> DataFrame:
-    def split(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([shingles(x, size) for x in batch], dtype=object)
+    return np.unique(np.fromiter((h(join(s), seed) for s in parts), dtype="<u8"))
 
-    return docs.withColumn(into, F.pandas_udf(split, "array<long>")(F.col("text")))
 
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A 64-bit key of each band of minhashes."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(hashes), 2048):
+        least = np.minimum(least, ((hashes[i : i + 2048, None] ^ _MIX) * _TIMES).min(axis=0))
+    keys = [xxhash.xxh64_intdigest(band.tobytes(), b) for b, band in enumerate(least.reshape(BANDS, ROWS))]
+    return np.array(keys, dtype="<u8").view("<i8").tolist()
 
-def recurring(docs: DataFrame, size: int = WORDS, sample: int = SAMPLE, most: int = RECURRING) -> np.ndarray:
-    """Sorted hashes of the shingles that most of the sampled texts share, at most so many."""
-    part = docs.filter(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // sample))) == 0).select("text").distinct()
-    counts = add_shingles(part, "_s", size).select(F.explode("_s").alias("h")).groupBy("h").agg(F.count("*").alias("df"))
-    top = counts.filter("df > 2").orderBy(F.desc("df"), "h").limit(most)
-    return np.sort(np.array([r["h"] for r in top.select("h").collect()], dtype=np.int64))
 
+def add_signatures(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """docs with _s: number of shingles, two hashes of their set, its fingerprint and its band keys."""
 
-def add_prefixes(docs: DataFrame, last: np.ndarray, size: int = WORDS, least: float = LEAST) -> DataFrame:
-    """docs with _s: number of shingles, two hashes of their set, and its prefix with the given shingles ordered last."""
-    shared = docs.sparkSession.sparkContext.broadcast(last)
-
-    def prefix(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             rows = []
             for text in batch:
                 s = shingles(text, size)
-                order = np.lexsort((s, np.isin(s, shared.value, assume_unique=True, kind="sort"))) if len(shared.value) else slice(None)
                 key = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), dtype="<i8")
-                rows.append((len(s), int(key[0]), int(key[1]), s[order][: len(s) - math.ceil(least * len(s) - 1e-9) + 1]))
-            yield pd.DataFrame(rows, columns=["n", "k1", "k2", "prefix"])
+                fp = int(np.array([simhash.majority(s)], dtype="<u8").view("<i8")[0])
+                rows.append((len(s), int(key[0]), int(key[1]), fp, band_keys(s)))
+            yield pd.DataFrame(rows, columns=["n", "k1", "k2", "fp", "bands"])
 
-    return docs.withColumn("_s", F.pandas_udf(prefix, "n int, k1 long, k2 long, prefix array<long>")(F.col("text")))
+    return docs.withColumn("_s", F.pandas_udf(sign, "n int, k1 long, k2 long, fp long, bands array<long>")(F.col("text")))
 
 
 def similar_size(a: Column, b: Column, least: float) -> Column:
@@ -85,7 +78,7 @@ def similar_size(a: Column, b: Column, least: float) -> Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """Those of the stored pairs (a, b) whose sets are similar enough. Texts move and are split again; they take less room than their sets."""
+    """Those of the stored pairs (a, b) whose sets are similar enough, stored. Texts move and are split again; they take less room than their sets."""
 
     def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         split = lru_cache(maxsize=64)(lambda text: shingles(text, size))
@@ -100,80 +93,55 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> Dat
     some = join_checked(texts, ends, "id", "left_semi")
     left, right = (some.select(F.col("id").alias(c), F.col("text").alias(t)) for c, t in (("a", "x"), ("b", "y")))
     met = join_checked(left, pairs, "a").join(right, "b")
-    return met.filter(F.pandas_udf(similar, "boolean")("x", "y")).select("a", "b")
+    return materialise(met.filter(F.pandas_udf(similar, "boolean")("x", "y")).select("a", "b"), "verified")
 
 
-def shared_bits(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
-    """A bitmap of 2**bits bits, so of fixed size, in which the bit of every hash (column h) is set. It is made in pieces of 512 bytes."""
+def fingerprint_pairs(kinds: DataFrame, least: float) -> DataFrame:
+    """Candidate pairs (a, b) of kinds whose fingerprints are equal or linked by BK-trees, each with the smallest id of a fingerprint."""
+    firsts = materialise(kinds.groupBy("fp").agg(F.min(F.struct("id", "n")).alias("first")), "fingerprints")
+    alike = kinds.join(firsts, "fp").filter(F.col("id") != F.col("first.id")).select(F.col("first.id").alias("a"), F.col("id").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb"))
+    links = simhash.fingerprint_links(firsts.select("fp"), RADIUS)
+    ends = [firsts.select(F.col("fp").alias(c), F.col("first.id").alias(f"i{c}"), F.col("first.n").alias(f"n{c}")) for c in ("a", "b")]
+    across = links.join(ends[0], "a").join(ends[1], "b").select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "na", "nb")
+    pairs = alike.unionByName(across).filter(similar_size(F.col("na"), F.col("nb"), least)).select("a", "b").distinct()
+    return materialise(pairs, "fingerprint-pairs")
 
-    def packed(groups: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in groups:
-            out = []
-            for places in batch:
-                piece = np.zeros(4096, dtype=np.uint8)
-                piece[np.asarray(places, dtype=np.int64)] = 1
-                out.append(np.packbits(piece, bitorder="little").tobytes())
-            yield pd.Series(out, dtype=object)
-
-    place = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
-    pieces = hashes.groupBy(F.shiftright(place, 12).alias("piece")).agg(F.collect_set(place.bitwiseAND(F.lit(4095))).alias("places"))
-    whole = np.zeros(1 << (bits - 3), dtype=np.uint8).reshape(-1, 512)
-    for r in pieces.select("piece", F.pandas_udf(packed, "binary")("places").alias("data")).collect():  # 2**(bits - 12) rows at most
-        whole[r["piece"]] = np.frombuffer(r["data"], dtype=np.uint8)
-    return whole.ravel()
-
-
-def shared_places(kinds: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """(id, n, at, h) of the prefix shingles whose bit is set: all that two texts share, and a few others."""
-    sent = kinds.sparkSession.sparkContext.broadcast(bitmap)
-
-    def kept(prefixes: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bits = sent.value
-        for batch in prefixes:
-            out = []
-            for prefix in batch:
-                h = np.asarray(prefix, dtype=np.int64)
-                place = h & (len(bits) * 8 - 1)
-                at = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-                out.append([{"at": int(i), "h": int(x)} for i, x in zip(at, h[at])])
-            yield pd.Series(out, dtype=object)
 
-    found = kinds.select("id", "n", F.explode(F.pandas_udf(kept, "array<struct<at: int, h: bigint>>")("prefix")).alias("_p"))
-    return found.select("id", "n", "_p.at", "_p.h")
+def rooted_in_mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Stored members (h, id, n) of the groups that hold several components of links, with their root."""
+    roots = components(links)
+    rooted = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rooted.groupBy("h").agg(F.min("root").alias("_l"), F.max("root").alias("_m")).filter("_l <> _m").select("h")
+    return materialise(rooted.join(mixed, "h", "left_semi"), "mixed-groups")
 
 
 def similar_links(kinds: DataFrame, texts: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:
-    """Links (a, b) that connect all similar kinds. kinds: (id, n, prefix), one row per set; texts: (id, text) of at least these ids.
-
-    Most prefix shingles occur once. The low halves of hashes alone are counted first, and a bitmap of those that recur
-    decides which places are moved at all.
-    """
-    low = kinds.select(F.explode("prefix").alias("h")).select(F.col("h").bitwiseAND(F.lit((1 << 32) - 1)).alias("h"))
-    shared = low.groupBy("h").agg(F.count("*").alias("_c")).filter("_c > 1").select("h")
-    placed = materialise(shared_places(kinds, shared_bits(shared)), "prefixes")
-    groups = placed.groupBy("h").agg(F.count("*").alias("_c"), F.min(F.struct("id", "n")).alias("first")).filter("_c > 1")
-    members = materialise(placed.join(groups.drop("_c"), "h"), "prefix-groups")
-    near = similar_size(F.col("n"), F.col("first.n"), least)
-    stars = materialise(members.filter((F.col("id") != F.col("first.id")) & near).select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct(), "stars")
-    links = materialise(verified(stars, texts, size, least), "star-links")
-    roots = components(links)
-    rooted = members.select("h", "id", "n", "at").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = rooted.groupBy("h").agg(F.min("root").alias("_l"), F.max("root").alias("_m")).filter("_l <> _m").select("h")
-    rest = materialise(rooted.join(mixed, "h", "left_semi"), "mixed-groups")
-    other = rest.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("at").alias("bt"))
+    """Links (a, b) that connect similar kinds. kinds: (id, n, fp, bands), one row per set; texts: (id, text) of at least these ids."""
+    links = verified(fingerprint_pairs(kinds, least), texts, size, least)
+    placed = kinds.select("id", "n", F.explode("bands").alias("h"))
+    shared = placed.groupBy("h").agg(F.count("*").alias("_c")).filter("_c > 1").select("h")
+    members = materialise(placed.join(shared, "h", "left_semi").select("h", "id", "n"), "bands")
+    done = None
+    for salt in range(ROUNDS):
+        members = rooted_in_mixed(members.select("h", "id", "n"), links)
+        order = F.xxhash64(F.lit(salt), "h", "id") if salt else F.lit(0)
+        reps = members.groupBy("h").agg(F.min(F.struct(order.alias("o"), "id", "n", "root")).alias("rep"))
+        far = (F.col("root") != F.col("rep.root")) & similar_size(F.col("n"), F.col("rep.n"), least)
+        stars = members.join(reps, "h").filter(far).select(F.least("id", "rep.id").alias("a"), F.greatest("id", "rep.id").alias("b")).distinct()
+        stars = materialise(stars if done is None else stars.join(done, ["a", "b"], "left_anti"), "stars")
+        done = stars if done is None else materialise(done.unionByName(stars), "compared")
+        links = materialise(links.unionByName(verified(stars, texts, size, least)), "links-so-far")
+    rest = rooted_in_mixed(members.select("h", "id", "n"), links)
+    other = rest.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     apart = (F.col("id") < F.col("b")) & (F.col("root") != F.col("rb")) & similar_size(F.col("n"), F.col("nb"), least)
-    met = rest.join(other, "h").filter(apart).groupBy(F.col("id").alias("a"), "b", "n", "nb").agg(F.count("*").alias("c"), F.max("at").alias("at"), F.max("bt").alias("bt"))
-    # what follows the last shared prefix shingle is all that the sets can share beyond those counted
-    most = F.col("c") + F.least(F.col("n") - F.col("at") - 1, F.col("nb") - F.col("bt") - 1)
-    enough = most >= least * (F.col("n") + F.col("nb") - most) - 1e-9
-    crossing = materialise(met.filter(enough).select("a", "b", "c").join(stars, ["a", "b"], "left_anti"), "crossing")
-    return joined(crossing, links, texts, size, least)
+    met = rest.join(other, "h").filter(apart).groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("c"))
+    return joined(materialise(met.join(done, ["a", "b"], "left_anti"), "crossing"), links, texts, size, least)
 
 
 def joined(pairs: DataFrame, links: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
     """links with those of the stored pairs (a, b, c) that connect their components.
 
-    Two components need one link, so the pairs that share most (c) are verified first. Pairs within a component that has
+    Two components need one link, so the pairs that share most bands (c) are verified first. Pairs within a component that has
     formed since then drop out, and all others are verified in turn.
     """
     if pairs.count() > AT_ONCE:
@@ -197,11 +165,10 @@ def apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
 def one_of_near_copies(docs: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:
     """docs with one row of every component of near copies: the smallest doc_id, and of repeated rows the first stored."""
     hidden, restore = shielded(require(docs, "doc_id", "text"), "doc_id", "text")
-    numbered = hidden.withColumn("_row", F.monotonically_increasing_id())
-    rows = materialise(add_prefixes(numbered, recurring(hidden, size), size, least), "shingled")
+    rows = materialise(add_signatures(hidden.withColumn("_row", F.monotonically_increasing_id()), size), "signed")
     keys = rows.select("_row", "doc_id", "_s.k1", "_s.k2")
     firsts = materialise(keys.groupBy("k1", "k2").agg(F.min("_row").alias("id")), "shingle-sets")
-    kinds = rows.join(firsts.select(F.col("id").alias("_row")), "_row", "left_semi").select(F.col("_row").alias("id"), "_s.n", "_s.prefix")
+    kinds = rows.join(firsts.select(F.col("id").alias("_row")), "_row", "left_semi").select(F.col("_row").alias("id"), "_s.n", "_s.fp", "_s.bands")
     roots = components(similar_links(kinds, rows.select(F.col("_row").alias("id"), "text"), size, least))
     rooted = firsts.join(roots.withColumnRenamed("node", "id"), "id", "left").select("k1", "k2", F.coalesce("root", "id").alias("root"))
     keyed = materialise(keys.join(rooted, ["k1", "k2"]).select("_row", "doc_id", "root"), "near-copies")

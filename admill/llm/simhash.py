@@ -45,7 +45,11 @@ def fingerprint(text: str | None, size: int = WORDS, seed: int = SEED) -> int:
         return 0
     shingles = zip(*(words[i:] for i in range(size))) if len(words) > size else (words,)
     h, join = xxhash.xxh64_intdigest, b" ".join
-    hashes = np.fromiter((h(join(s), seed) for s in shingles), dtype="<u8")
+    return majority(np.fromiter((h(join(s), seed) for s in shingles), dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are set in over half of unsigned 64-bit hashes."""
     if len(hashes) == 1:
         return int(hashes[0])
     counts = np.zeros((8, 8), dtype=np.int64)

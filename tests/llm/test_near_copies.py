@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from admill.llm import near_copies
 
@@ -58,3 +59,21 @@ def test_against_all_pairs(spark, monkeypatch, at_once):
     kept = near_copies.one_of_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
     found = [r["doc_id"] for r in kept.collect()]
     assert sorted(found) == sorted(brute(rows)) and len(found) < len(rows) - 100
+
+
+def test_against_all_pairs_of_documents(spark, tiny):
+    docs = spark.read.parquet(f"{tiny.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = {r["doc_id"] for r in near_copies.one_of_near_copies(docs).collect()}
+    want = brute(rows)
+    assert found == want and len(want) < len(rows)
+
+
+def test_bands_find_pairs_at_the_bound():
+    rng = random.Random(6)
+    met = 0
+    for _ in range(300):
+        common, a, b = ([rng.randrange(1 << 64) for _ in range(n)] for n in (80, 10, 10))
+        x, y = (near_copies.band_keys(np.unique(np.array(common + own, dtype=np.uint64))) for own in (a, b))
+        met += any(p == q for p, q in zip(x, y))
+    assert met >= 299
