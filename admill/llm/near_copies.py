@@ -8,9 +8,10 @@ in two passes, and each is checked on the whole sets before it counts:
    differ in some 10 of 64 bits, up to 17, where no tree prunes; bands miss a pair of exactly that similarity once in
    ten thousand times, and rarer the more similar it is.
 
-The sets of a band's group are compared with one of them, then, where the group still holds several components,
-with others chosen by hash in further rounds, so a large group of copies costs a few comparisons a text. What is
-apart after `ROUNDS` rounds is compared pair by pair, likeliest first and only while the two are in different components.
+The sets of a band's group are compared with its smallest first. Where the group still holds several components, the sets
+outside of its largest component are compared with all others of the group in tasks of their own, in chunks of bounded size, and a
+task sends on only the links that join components: no list of pairs exists, and a large group of copies costs about one
+comparison a text. Groups of the same sets, which similar sets have in many bands, are compared once.
 
 Cases: null and empty texts are copies of each other; fewer than `WORDS` words make one shingle; null
 doc_ids are kept only where no other row of the component has one; repeated rows are copies; an empty
@@ -25,17 +26,17 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from admill.llm import simhash
 from admill.llm.common import join_checked, materialise, require, shielded
 from admill.operators.graph import components
 
 WORDS, SEED, LEAST = 5, 42, 0.8
-#: Bits that fingerprints of the first pass may differ in; bands and minhashes of a band of the second; its rounds of stars.
-RADIUS, BANDS, ROWS, ROUNDS = 2, 24, 5, 3
-#: Pairs of two components that are verified before the rest, and up to how many pairs in all are verified at once.
-FIRST, AT_ONCE = 4, 10_000
+#: Bits that fingerprints of the first pass may differ in; bands and minhashes of a band of the second.
+RADIUS, BANDS, ROWS = 2, 24, 5
+#: About how many sets, and shingles of these, one chunk of a group holds; columns of a matrix block.
+CHUNK, CHUNK_SHINGLES, COLUMNS = 1_000, 1_500_000, 4_096
 _rng = np.random.default_rng(SEED)
 _TIMES, _MIX = _rng.integers(1 << 62, size=BANDS * ROWS, dtype=np.uint64) * 2 + 1, _rng.integers(1 << 63, size=BANDS * ROWS, dtype=np.uint64)
 
@@ -107,59 +108,109 @@ def fingerprint_pairs(kinds: DataFrame, least: float) -> DataFrame:
     return materialise(pairs, "fingerprint-pairs")
 
 
-def rooted_in_mixed(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Stored members (h, id, n) of the groups that hold several components of links, with their root."""
+def common_counts(sets: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """How many shingles each chosen set shares with every set."""
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, columns, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = df[columns] > 1
+    rows, columns = rows[shared], (np.cumsum(df > 1) - 1)[columns[shared]]
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
+    out = np.zeros((len(chosen), len(sets)), dtype=np.float32)
+    for first in range(0, int(columns[-1]) + 1 if len(columns) else 0, COLUMNS):
+        part = slice(*np.searchsorted(columns, [first, first + COLUMNS]))
+        block = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        block[rows[part], columns[part] - first] = 1
+        out += block[chosen] @ block.T
+    return out
+
+
+def joining_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], asks: np.ndarray, answers: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links between similar sets that join components: of those that ask with those that answer."""
+    root = {r: r for r in roots.tolist()}
+
+    def find(r: int) -> int:
+        while root[r] != r:
+            root[r] = root[root[r]]
+            r = root[r]
+        return r
+
+    sizes, found = np.array([len(s) for s in sets]), []
+    common = common_counts(sets, asks)
+    for i, a in enumerate(asks):
+        near = np.flatnonzero((common[i] >= least * (sizes[a] + sizes - common[i]) - 1e-6) & answers & (roots != roots[a]))
+        for b in near:
+            x, y = find(int(roots[a])), find(int(roots[b]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                found.append((int(ids[a]), int(ids[b])))
+    return found
+
+
+TASK = ["h", "kind", "low", "high"]
+
+
+def _compared(size: int, least: float):
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by task. Main sets (chunk kind 0) only answer."""
+        held: list[pd.DataFrame] = []
+
+        def links() -> pd.DataFrame:
+            rows = pd.concat(held, ignore_index=True)
+            main = rows["main"].to_numpy()
+            sets = [shingles(t, size) for t in rows["text"]]
+            answers = main if rows["kind"].iloc[0] == 0 else np.ones(len(rows), dtype=bool)
+            return pd.DataFrame(joining_links(rows["id"].to_numpy(), rows["root"].to_numpy(), sets, np.flatnonzero(~main), answers, least), columns=["a", "b"])
+
+        for batch in batches:
+            keys = batch[TASK].to_numpy()
+            cuts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1), True])
+            for start, stop in zip(cuts, cuts[1:]):
+                if held and (held[0][TASK].iloc[0].to_numpy() != keys[start]).any():
+                    yield links()
+                    held = []
+                held.append(batch[start:stop])
+        if held:
+            yield links()
+
+    return compare
+
+
+def group_links(members: DataFrame, links: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """Links (a, b) that join the components of links within the groups of stored members (h, id, n)."""
     roots = components(links)
     rooted = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = rooted.groupBy("h").agg(F.min("root").alias("_l"), F.max("root").alias("_m")).filter("_l <> _m").select("h")
-    return materialise(rooted.join(mixed, "h", "left_semi"), "mixed-groups")
+    parts = rooted.groupBy("h", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x"))
+    whole = parts.groupBy("h").agg(F.max(F.struct("c", "root", "s")).alias("m"), F.sum("c").alias("c"), F.sum("s").alias("s"), F.sum("x").alias("x"), F.count("*").alias("p")).filter("p > 1")
+    chunks = lambda c, s: F.greatest(F.ceil(c / CHUNK), F.ceil(s / CHUNK_SHINGLES), F.lit(1)).cast("int")
+    once = whole.groupBy("c", "x").agg(F.min(F.struct("h", F.col("m.root").alias("main_root"), chunks(F.col("m.c"), F.col("m.s")).alias("mains"), chunks(F.col("c") - F.col("m.c"), F.col("s") - F.col("m.s")).alias("others"), chunks(F.col("c"), F.col("s")).alias("all"))).alias("g"))
+    mixed = materialise(once.select("g.*"), "mixed-groups")
+    rows = members.join(mixed, "h").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")).withColumn("main", F.col("root") == F.col("main_root"))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
+    rows = rows.withColumn("own", own)
+    task = lambda kind, low, high: F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    against = F.transform(upto("mains"), lambda v: task(0, F.col("own"), v))  # an outside chunk with every main chunk
+    among = F.transform(upto("others"), lambda v: task(1, F.least("own", v), F.greatest("own", v)))
+    answer = F.transform(upto("others"), lambda u: task(0, u, F.col("own")))
+    tasks = F.when(F.col("all") == 1, F.array(task(2, F.lit(0), F.lit(0)))).when(F.col("main"), answer).otherwise(F.concat(against, among))
+    dealt = materialise(rows.select("h", "id", "root", "main", F.explode(tasks).alias("t")).select("h", "t.*", "id", "root", "main"), "group-tasks")
+    needed = materialise(dealt.select("id").distinct(), "group-ids")
+    placed = join_checked(texts, needed, "id", "left_semi").join(dealt, "id").select(*TASK, "id", "root", "main", "text")
+    found = placed.repartition(*TASK).sortWithinPartitions(*TASK).mapInPandas(_compared(size, least), "a long, b long")
+    return materialise(found.distinct(), "group-links")
 
 
 def similar_links(kinds: DataFrame, texts: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:
     """Links (a, b) that connect similar kinds. kinds: (id, n, fp, bands), one row per set; texts: (id, text) of at least these ids."""
     links = verified(fingerprint_pairs(kinds, least), texts, size, least)
     placed = kinds.select("id", "n", F.explode("bands").alias("h"))
-    shared = placed.groupBy("h").agg(F.count("*").alias("_c")).filter("_c > 1").select("h")
-    members = materialise(placed.join(shared, "h", "left_semi").select("h", "id", "n"), "bands")
-    done = None
-    for salt in range(ROUNDS):
-        members = rooted_in_mixed(members.select("h", "id", "n"), links)
-        order = F.xxhash64(F.lit(salt), "h", "id") if salt else F.lit(0)
-        reps = members.groupBy("h").agg(F.min(F.struct(order.alias("o"), "id", "n", "root")).alias("rep"))
-        far = (F.col("root") != F.col("rep.root")) & similar_size(F.col("n"), F.col("rep.n"), least)
-        stars = members.join(reps, "h").filter(far).select(F.least("id", "rep.id").alias("a"), F.greatest("id", "rep.id").alias("b")).distinct()
-        stars = materialise(stars if done is None else stars.join(done, ["a", "b"], "left_anti"), "stars")
-        done = stars if done is None else materialise(done.unionByName(stars), "compared")
-        links = materialise(links.unionByName(verified(stars, texts, size, least)), "links-so-far")
-    rest = rooted_in_mixed(members.select("h", "id", "n"), links)
-    other = rest.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    apart = (F.col("id") < F.col("b")) & (F.col("root") != F.col("rb")) & similar_size(F.col("n"), F.col("nb"), least)
-    met = rest.join(other, "h").filter(apart).groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("c"))
-    return joined(materialise(met.join(done, ["a", "b"], "left_anti"), "crossing"), links, texts, size, least)
-
-
-def joined(pairs: DataFrame, links: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """links with those of the stored pairs (a, b, c) that connect their components.
-
-    Two components need one link, so the pairs that share most bands (c) are verified first. Pairs within a component that has
-    formed since then drop out, and all others are verified in turn.
-    """
-    if pairs.count() > AT_ONCE:
-        pairs = apart(pairs, links)
-        first = Window.partitionBy(F.least("ra", "rb"), F.greatest("ra", "rb")).orderBy(F.desc("c"), "a", "b")
-        chosen = materialise(pairs.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= FIRST).select("a", "b"), "likeliest")
-        links = materialise(links.unionByName(verified(chosen, texts, size, least)), "links-so-far")
-        pairs = materialise(apart(pairs.join(chosen, ["a", "b"], "left_anti").select("a", "b"), links), "crossing-rest")
-    return links.unionByName(verified(pairs.select("a", "b"), texts, size, least))
-
-
-def apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
-    """Those of pairs whose ends lie in different components, with these as ra and rb."""
-    roots = components(links)
-    for end in ("a", "b"):
-        named = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
-        pairs = pairs.join(named, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
-    return pairs.filter("ra <> rb")
+    firsts = placed.groupBy("h").agg(F.count("*").alias("_c"), F.min(F.struct("id", "n")).alias("first")).filter("_c > 1").drop("_c")
+    members = materialise(placed.join(firsts, "h"), "bands")
+    near = (F.col("id") != F.col("first.id")) & similar_size(F.col("n"), F.col("first.n"), least)
+    stars = members.filter(near).select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
+    links = materialise(links.unionByName(verified(materialise(stars, "stars"), texts, size, least)), "star-links")
+    return links.unionByName(group_links(members.select("h", "id", "n"), links, texts, size, least))
 
 
 def one_of_near_copies(docs: DataFrame, size: int = WORDS, least: float = LEAST) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Near copies against all-pairs Jaccard, with pairs verified at once and likeliest first."""
+"""Near copies against all-pairs Jaccard, with groups compared whole and in chunks."""
 
 import random
 
@@ -51,10 +51,10 @@ def corpus():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("at_once", [10_000, 0])
-def test_against_all_pairs(spark, monkeypatch, at_once):
-    monkeypatch.setattr(near_copies, "AT_ONCE", at_once)
-    monkeypatch.setattr(near_copies, "FIRST", 1)
+@pytest.mark.parametrize("chunk", [1_000, 7])
+def test_against_all_pairs(spark, monkeypatch, chunk):
+    monkeypatch.setattr(near_copies, "CHUNK", chunk)
+    monkeypatch.setattr(near_copies, "COLUMNS", 64)
     rows = corpus()
     kept = near_copies.one_of_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
     found = [r["doc_id"] for r in kept.collect()]
