@@ -7,7 +7,8 @@ bigrams of the template in it, o other bigrams, n distinct bigrams of the templa
 the size of a matching stretch to between d / (2 - d) and (2 - d) / d times n, and s to at least
 d / (2 - d) times n: a template stays a candidate for a text only if the text shares that many
 bigrams with it, and stretches run from one shared bigram to another within the size bound. Both prunings
-lose nothing.
+lose nothing. Candidates' places become rows, so that the place before of the same bigram comes from one sort, and each
+place starts stretches of no more places than the size bound: work grows with a text's shared bigrams, not with their powers.
 
 Cases: null and empty texts match nothing; a text of one word has no bigram; ties of templates are
 all reported, as are templates that differ in a few words; of equal stretches the first counts; repeated
@@ -21,7 +22,7 @@ import json
 import math
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from admill.llm.common import require
 
@@ -119,11 +120,14 @@ def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, min_
     found = found.withColumn("_grams", F.array_distinct(F.transform("_at", lambda x: x["gram"]))).filter(F.size("_grams") >= fewest)
     fits = lambda t: (F.size("_grams") >= t["least"]) & (F.size(F.array_intersect("_grams", t["grams"])) >= t["least"])
     candidates = found.withColumn("t", F.explode(F.filter(table, fits)))
-    own = candidates.withColumn("_at", F.filter("_at", lambda x: F.array_contains("t.grams", x["gram"])))
-    earlier = lambda x: F.array_max(F.transform(F.filter("_at", lambda y: (y["gram"] == x["gram"]) & (y["at"] < x["at"])), lambda y: y["at"]))
-    placed = own.withColumn("_at", F.transform("_at", lambda x: F.struct(x["at"].alias("at"), earlier(x).alias("before"))))
-    best = placed.withColumn("_best", best_stretch(F.col("_at"), F.col("t.n"), F.col("t.widest"))).filter(F.col("_best.dice") >= min_dice)
-    return best.select("_row", "doc_id", "t.license", "_best.dice", (-F.col("_best.first")).cast("long").alias("first_word"))
+    shown = F.filter("_at", lambda x: F.array_contains("t.grams", x["gram"]))
+    own = candidates.select("_row", "doc_id", "t.license", "t.n", "t.widest", F.explode(shown).alias("_p")).select("_row", "doc_id", "license", "n", "widest", "_p.at", "_p.gram")
+    keys = ["_row", "doc_id", "license", "n", "widest"]
+    order = Window.partitionBy(*keys).orderBy("gram", "at")
+    before = F.when(F.lag("gram").over(order) == F.col("gram"), F.lag("at").over(order))
+    placed = own.withColumn("before", before).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", "before"))).alias("_at"))
+    best = placed.withColumn("_best", best_stretch(F.col("_at"), F.col("n"), F.col("widest"))).filter(F.col("_best.dice") >= min_dice)
+    return best.select("_row", "doc_id", "license", "_best.dice", (-F.col("_best.first")).cast("long").alias("first_word"))
 
 
 def license_report(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import re
 import string
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -412,6 +413,30 @@ def test_license_scan(spark, odd):
     assert license_scan.license_report(odd).count() == 0
 
 
+def test_license_scan_of_long_texts(spark):
+    mit = license_scan.TEMPLATES["MIT"]
+    texts = ["\n\n".join(f"file {i}\n{mit}" for i in range(10)), "all rights reserved " * 3000 + "permission is hereby granted", "free of charge to any person " * 2000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    license_scan.license_report(docs.limit(1)).collect()
+    start = time.perf_counter()
+    out = {(r["doc_id"], r["license"]): r for r in license_scan.license_report(docs).collect()}
+    assert time.perf_counter() - start < 15
+    assert out[0, "MIT"]["dice"] == 1.0 and out[0, "MIT"]["first_word"] in (2, 3) and out[1, "All-rights-reserved"]["dice"] == 1.0 and (2, "MIT") not in out
+
+
+def test_quality_zero_width(spark):
+    """One doubled word or repeated line in a clean group isn't junk, a group's first junk is."""
+    rng = np.random.default_rng(9)
+    text = lambda i: "\n".join(" ".join(f"w{j}" for j in rng.integers(0, 10**6, 15)) for _ in range(10))
+    rows = [(i, text(i), "en" if i < 300 else "fr", "s", 0) for i in range(600)]
+    rows[5] = (5, rows[5][1] + " that that", "en", "s", 0)
+    rows[6] = (6, rows[6][1] + "\n" + rows[6][1].split("\n")[0], "en", "s", 0)
+    for i in range(590, 600):
+        rows[i] = (i, rows[i][1] + " so so", "fr", "s", 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert all(r["kept"] for r in quality.quality_report(docs).filter("doc_id < 590").collect())
+
+
 def test_line_templates(spark):
     spelt = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
     unique = lambda i: f"{spelt(i)} own words of document number {i} " + " ".join(f"w{i}x{j}" for j in range(12))
