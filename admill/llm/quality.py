@@ -8,7 +8,8 @@ lower edge of one bin to the upper edge of the other, so it is never narrower th
 quantiles of bulk measures leave room for a quarter of junk in a group; measures that are mostly
 zero use the 99th. Sketches are plain bin counts, so partial sketches merge by addition: a group
 with fewer than `MIN_GROUP` documents uses the merged sketch of its language, and failing that of the
-corpus. There are no bounds on a cutoff: a group's own distribution decides.
+corpus. A group whose upper quantile of a measure is zero has no range for it and takes the wider group's cutoff; where that holds
+for the corpus too, the quantiles of its other values count. There are no bounds on a cutoff: a group's own distribution decides.
 
 Cases: a null text counts as empty (no words, base_failed); null language or source form
 groups of their own; an empty table gives an empty result; repeated rows are judged alike; ties at a
@@ -118,22 +119,28 @@ def merge_sketches(bins: DataFrame, by: list[str]) -> DataFrame:
 
 
 def fences(bins: DataFrame, by: list[str]) -> DataFrame:
-    """(by..., rule, n, fence): the rule's cutoff in each group, from its bins."""
+    """(by..., rule, n, fence): the rule's cutoff in each group, from its bins.
+
+    Where the high quantile is zero there is no range to go by: a group's fence is null then, and the whole corpus's comes from its other values.
+    """
     group = Window.partitionBy(*by, "rule")
     below = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     value = F.when(F.col("bin") < 0, 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bin"))) / _SCALE
     low, high, times = (F.create_map(*[F.lit(y) for k, v in RULES.items() for y in (k, v[i])])[F.col("rule")] for i in (2, 3, 4))
 
-    def quantile(q: Column) -> Column:
-        return F.min(F.when(F.col("_below") >= F.ceil(F.col("_all") * q), value))
+    def quantile(q: Column, zeros: Column) -> Column:
+        return F.min(F.when((F.col("_below") > zeros) & (F.col("_below") - zeros >= F.ceil((F.col("_all") - zeros) * q)), value))
 
+    none, zeros = F.lit(0), F.col("_zeros")
     out = (
         bins.withColumn("_below", below)
-        .withColumn("_all", F.sum("n").over(group))
+        .withColumns({"_all": F.sum("n").over(group), "_zeros": F.coalesce(F.sum(F.when(F.col("bin") < 0, F.col("n"))).over(group), none)})
         .groupBy(*by, "rule")
-        .agg(F.first("_all").alias("n"), quantile(low).alias("low"), quantile(high).alias("high"))
+        .agg(F.first("_all").alias("n"), quantile(low, none).alias("low"), quantile(high, none).alias("high"), quantile(low, zeros).alias("low_1"), quantile(high, zeros).alias("high_1"))
     )
-    return out.select(*by, "rule", "n", (F.col("high") + times * (F.col("high") - F.col("low") / GAMMA)).alias("fence"))
+    fence = lambda a, b: b + times * (b - a / GAMMA)
+    alone = F.lit(None).cast("double") if by else fence(F.col("low_1"), F.col("high_1"))
+    return out.select(*by, "rule", "n", F.when(F.col("high") > 0, fence(F.col("low"), F.col("high"))).otherwise(alone).alias("fence"))
 
 
 def fit_thresholds(measured: DataFrame, into: str = "_quality") -> DataFrame:
@@ -150,7 +157,7 @@ def fit_thresholds(measured: DataFrame, into: str = "_quality") -> DataFrame:
     lang = lang.select(F.col("lang").alias("_lang"), F.col("n").alias("_lang_n"), *[F.col(c).alias(f"_lang_{c}") for c in names])
     every = every.select(*[F.col(c).alias(f"_every_{c}") for c in names])  # one row
     joined = join_checked(own, lang, own["lang"].eqNullSafe(F.col("_lang")), "left").join(F.broadcast(every), F.lit(True), "left")
-    pick = lambda c: F.when(F.col("n") >= MIN_GROUP, F.col(c)).when(F.col("_lang_n") >= MIN_GROUP, F.col(f"_lang_{c}")).otherwise(F.col(f"_every_{c}"))
+    pick = lambda c: F.coalesce(F.when(F.col("n") >= MIN_GROUP, F.col(c)), F.when(F.col("_lang_n") >= MIN_GROUP, F.col(f"_lang_{c}")), F.col(f"_every_{c}"))
     return joined.select(*by, *[pick(c).alias(c) for c in names])
 
 
@@ -186,16 +193,19 @@ def _fence_sql(name: str, keys: list[str]) -> str:
     wide = ", ".join(f"max(CASE WHEN rule = '{k}' THEN fence END) AS max_{k}" for k in RULES)
     return f"""{name}_b AS (SELECT {by}rule, bin, sum(n) AS n FROM bins GROUP BY ALL),
 {name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {by}rule ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS below, sum(n) OVER (PARTITION BY {by}rule) AS total,
+  coalesce(sum(n) FILTER (bin < 0) OVER (PARTITION BY {by}rule), 0) AS zeros,
   CASE WHEN bin < 0 THEN 0.0 ELSE pow(CAST({GAMMA} AS DOUBLE), bin) END / {_SCALE} AS v FROM {name}_b),
-{name}_q AS (SELECT {by}rule, max(total) AS n, min(CASE WHEN below >= ceil(total * CASE rule {low} END) THEN v END) AS low, min(CASE WHEN below >= ceil(total * CASE rule {high} END) THEN v END) AS high FROM {name}_c GROUP BY ALL),
-{name}_f AS (SELECT {by}rule, n, high + CASE rule {times} END * (high - low / {GAMMA}) AS fence FROM {name}_q),
+{name}_q AS (SELECT {by}rule, max(total) AS n, min(CASE WHEN below >= ceil(total * CASE rule {low} END) THEN v END) AS low, min(CASE WHEN below >= ceil(total * CASE rule {high} END) THEN v END) AS high,
+  min(CASE WHEN below > zeros AND below - zeros >= ceil((total - zeros) * CASE rule {low} END) THEN v END) AS low_1, min(CASE WHEN below > zeros AND below - zeros >= ceil((total - zeros) * CASE rule {high} END) THEN v END) AS high_1
+  FROM {name}_c GROUP BY ALL),
+{name}_f AS (SELECT {by}rule, n, CASE WHEN high > 0 THEN high + CASE rule {times} END * (high - low / {GAMMA}) {"" if keys else f"ELSE high_1 + CASE rule {times} END * (high_1 - low_1 / {GAMMA})"} END AS fence FROM {name}_q),
 {name} AS (SELECT {by}max(n) AS n, {wide} FROM {name}_f GROUP BY {", ".join(keys) or "()"})"""
 
 
 def report_sql() -> str:
     """The report in SQL: the same counts, sketches and fences."""
     x = {k: f"CAST(floor({a} * {_SCALE} / greatest({b}, 1)) AS BIGINT)" for k, (a, b, *_) in RULES.items()}
-    pick = "CASE WHEN own.n >= {m} THEN own.max_{k} WHEN lang.n >= {m} THEN lang.max_{k} ELSE every_doc.max_{k} END"
+    pick = "coalesce(CASE WHEN own.n >= {m} THEN own.max_{k} END, CASE WHEN lang.n >= {m} THEN lang.max_{k} END, every_doc.max_{k})"
     fine = " AND ".join(f"coalesce({x[k]} / {_SCALE} <= {pick.format(m=MIN_GROUP, k=k)}, true)" for k in RULES)
     rules = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS rule, {v} AS x FROM m WHERE NOT base_failed" for k, v in x.items())
     return f"""
