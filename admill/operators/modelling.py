@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
+
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from admill.operators.ordering import quantiles
+from admill.operators.ordering import quantiles, with_row_number
 
 RARE = "infrequent"
 
@@ -28,22 +31,34 @@ def constant_columns(rows: DataFrame, columns: list[str]) -> list[str]:
 
 
 def preprocessor(numeric: list[str], categorical: list[str]) -> Pipeline:
-    """Median imputation with indicators for missing numbers, one-hot levels; unseen levels encode as none."""
+    """Median imputation with indicators for missing numbers, both standardised, and one-hot levels; unseen levels encode as none. All of it is fitted on the training rows."""
     stages = [Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_i" for c in numeric])] if numeric else []
     for c in categorical:
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_x", handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCol=f"{c}_x", outputCol=f"{c}_o", handleInvalid="keep"))
-    inputs = [f"{c}_i" for c in numeric] + [f"{c}_m" for c in numeric] + [f"{c}_o" for c in categorical]
+    if numeric:
+        stages.append(VectorAssembler(inputCols=[f"{c}_{kind}" for kind in ("i", "m") for c in numeric], outputCol="numbers"))
+        stages.append(StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True))
+    inputs = (["scaled"] if numeric else []) + [f"{c}_o" for c in categorical]
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
 
 
+def encoded_names(transformed: DataFrame, numeric: list[str], categorical: list[str]) -> list[str]:
+    """Names of the feature vector's places: numeric__column, numeric__missingindicator_column, categorical__column_level."""
+    names = [f"numeric__{c}" for c in numeric] + [f"numeric__missingindicator_{c}" for c in numeric]
+    for c in categorical:
+        attrs = transformed.schema[f"{c}_o"].metadata["ml_attr"]["attrs"]
+        names += [f"categorical__{c}_{x['name']}" for x in sorted((x for kind in attrs.values() for x in kind), key=lambda x: x["idx"])]
+    return names
+
+
 def with_indicators(rows: DataFrame, numeric: list[str]) -> DataFrame:
     out = rows.withColumns({c: F.col(c).cast("double") for c in numeric})
     return out.withColumns({f"{c}_m": F.col(c).isNull().cast("double") for c in numeric})
 
 
-def train_boosted(train: DataFrame, target: str, numeric: list[str], categorical: list[str], seed: int = 7, rounds: int = 20, depth: int = 3) -> PipelineModel:
-    trees = GBTRegressor(featuresCol="features", labelCol=target, maxIter=rounds, maxDepth=depth, seed=seed)
+def train_boosted(train: DataFrame, target: str, numeric: list[str], categorical: list[str], seed: int = 7, rounds: int = 20, depth: int = 3, step: float = 0.1) -> PipelineModel:
+    trees = GBTRegressor(featuresCol="features", labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=0.8, seed=seed)
     return Pipeline(stages=[preprocessor(numeric, categorical), trees]).fit(with_indicators(train, numeric))
 
 
@@ -57,6 +72,54 @@ def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame, target: st
     return scored.agg(F.count("*").alias("n_test"), F.avg(F.abs(F.col(target) - F.col("prediction"))).alias("mae"), F.avg(F.abs(F.col(target) - F.lit(median))).alias("baseline_mae"), (1 - F.try_divide(residual, total)).alias("r2"))
 
 
+#: Rounds, depth and step of the models that a search tries.
+GRID = [{"rounds": 10, "depth": 2, "step": 0.1}, {"rounds": 10, "depth": 3, "step": 0.1}, {"rounds": 20, "depth": 2, "step": 0.05}, {"rounds": 20, "depth": 3, "step": 0.05}]
+
+
+def time_folds(rows: DataFrame, time: str, key: str, folds: int = 5, into: str = "fold") -> DataFrame:
+    """rows with the number of the expanding time fold that tests them, from 0, oldest first by a time column, then key; -1 for the oldest, which only train.
+
+    The newest folds * (n // (folds + 1)) rows are dealt to folds of n // (folds + 1) rows. Fold f trains on all rows of lower numbers.
+    Places come from value ranges, so no task sorts all rows. Too few rows for that many folds are an error.
+    """
+    seconds = F.when(F.col(time).isNotNull(), F.unix_timestamp(F.col(time).cast("timestamp"))).otherwise(-(1 << 62))
+    placed = with_row_number(rows.withColumn("_t", seconds), "_t", [F.col(key)], "_place")
+    n = rows.count()
+    if (size := n // (folds + 1)) == 0:
+        raise ValueError(f"{n} rows for {folds} folds")
+    block = F.floor((F.col("_place") - 1 - (n - folds * size)) / size).cast("int")
+    return placed.withColumn(into, F.greatest(block, F.lit(-1))).drop("_t", "_place")
+
+
+def time_search(rows: DataFrame, target: str, numeric: list[str], categorical: list[str], grid: list[dict] = GRID, fold: str = "fold", at_once: int = 4) -> DataFrame:
+    """(point, rounds, depth, step, fold, n_train, n_test, mae, baseline_mae, r2): every grid point tested on every fold of stored rows, trained on the folds before.
+
+    Preprocessing is fitted anew on each fold's training rows. Fits are independent, so some of them run side by side.
+    """
+    numbers = sorted(r[fold] for r in rows.select(fold).distinct().collect() if r[fold] >= 0)  # as many as there are folds
+
+    def run(task: tuple[int, int]) -> DataFrame:
+        point, f = task
+        train, test = rows.filter(F.col(fold) < f), rows.filter(F.col(fold) == f)
+        model = train_boosted(train, target, numeric, categorical, **grid[point])
+        out = evaluate(model, train, test, target, numeric)
+        told = {"point": point, **grid[point], "fold": f, "n_train": train.count()}
+        return out.select(*[F.lit(v).alias(k) for k, v in told.items()], *out.columns)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        parts = list(pool.map(run, product(range(len(grid)), numbers)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def best_point(searched: DataFrame) -> DataFrame:
+    """searched's grid points by mean error over the folds, best first, with the spread over folds: as many rows as points."""
+    by = searched.groupBy("point", "rounds", "depth", "step").agg(F.avg("mae").alias("mae_mean"), F.stddev_pop("mae").alias("mae_std"), F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"))
+    return by.orderBy("mae_mean", "point")
+
+
 def proportional_hazards(rows: DataFrame, duration: str, observed: str, features: list[str], ridge: float = 1.0, rounds: int = 15) -> dict[str, float]:
     """Coefficients of a ridge Cox model (Breslow ties) on standardised features, by Newton steps.
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from admill.functions.distributions import f_probability, t_probability
 from admill.operators.ordering import quantiles, with_row_number
+from admill.operators.storage import stored
 
 NULLS, POINT_MASS, OUTLIERS, CARDINALITY = 0.30, 0.40, 0.05, 0.5
 Z95 = 1.959963984540054
@@ -170,24 +177,55 @@ def segment_metrics(rows: DataFrame, segment: str, actual: str, predicted: str,
     return out.withColumn("promotion_supported", promoted).withColumn("status", F.when(ok, "ok").otherwise("insufficient_sample"))
 
 
-def cluster_bootstrap(rows: DataFrame, group: str, actual: str, predicted: str, baseline: float, resamples: int = 2000, seed: int = 7) -> DataFrame:
-    """One row: error difference to a constant baseline with a 95 % interval over resampled groups.
+def poisson_weights(seed: int, group: str, resamples: int) -> np.ndarray:
+    """How often a group is drawn in each resample: Poisson(1) counts that depend on the seed and the group alone."""
+    key = int.from_bytes(hashlib.blake2b(f"{seed}:{group}".encode(), digest_size=16).digest())
+    return np.random.Generator(np.random.Philox(key=key)).poisson(1.0, resamples)
+
+
+def resampled_sums(groups: DataFrame, group: str, sums: list[str], resamples: int, seed: int) -> DataFrame:
+    """(r, sums...): the sums of each resample of rows of groups. A task adds its groups into one array per sum and sends those; nothing grows with groups times resamples."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(sums), resamples))
+        for batch in batches:
+            for key, *values in batch[[group, *sums]].itertuples(index=False):
+                total += np.outer(values, poisson_weights(seed, key, resamples))
+        yield pd.DataFrame({"r": range(resamples), **dict(zip(sums, total))})
+
+    flat = groups.select(F.col(group).cast("string").alias(group), *[F.col(c).cast("double").alias(c) for c in sums])
+    parts = flat.mapInPandas(add, "r int, " + ", ".join(f"{c} double" for c in sums))
+    return parts.groupBy("r").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def top_set_hits(rows: DataFrame, key: str, actual: str, predicted: str, share: float = 0.2) -> DataFrame:
+    """The rows of the predicted top share, with hit: whether they are in the actual top share too. Ties go by key."""
+    n = rows.count()
+    k = max(1, math.ceil(n * share))
+    ranked = with_row_number(with_row_number(rows, predicted, [F.asc(key)], "_p", descending=True), actual, [F.asc(key)], "_a", descending=True)
+    return ranked.filter(F.col("_p") <= k).withColumn("hit", (F.col("_a") <= k).cast("int")).drop("_p", "_a")
+
+
+def cluster_bootstrap(rows: DataFrame, group: str, actual: str, predicted: str, baseline: float, resamples: int = 2000, seed: int = 7, key: str | None = None) -> DataFrame:
+    """One row of paired evidence over resampled groups, each figure with its 95 % interval: the error's difference to a constant baseline's,
+    the calibration gap and, where a key column orders ties, the precision of the predicted top fifth within that fixed set.
 
-    Groups are reduced to sums first. Each resample weighs each group by a Poisson(1) count drawn from
-    a hash, which stands for sampling groups with replacement and needs no order of rows.
+    Groups are reduced to sums first. Each resample weighs each group by a Poisson(1) count, which stands for sampling groups with replacement
+    and needs no order of rows. Rows without a group are an error; resamples that draw no group don't count.
     """
+    if not rows.filter(F.col(group).isNull() | (F.trim(F.col(group).cast("string")) == "")).isEmpty():
+        raise ValueError(f"rows without {group}")
     a, p = F.col(actual), F.col(predicted)
-    sums = rows.groupBy(group).agg(F.count("*").alias("n"), F.sum(F.abs(a - p)).alias("e"), F.sum(F.abs(a - baseline)).alias("b"))
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(group), F.col("r")), F.lit(1_000_000)) / 1_000_000
-    cut, mass, weight = 0.0, 0.36787944117144233, F.lit(0)
-    for k in range(8):
-        cut += mass
-        mass /= k + 1
-        weight = weight + (u >= cut).cast("int")
-    drawn = sums.withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("w", weight)
-    each = drawn.groupBy("r").agg(F.try_divide(F.sum(F.col("w") * (F.col("e") - F.col("b"))), F.sum(F.col("w") * F.col("n"))).alias("d"))
-    whole = sums.agg(F.count("*").alias("clusters"), (F.sum(F.col("e") - F.col("b")) / F.sum("n")).alias("difference"))
-    return each.agg(F.percentile("d", 0.025).alias("lower_95"), F.percentile("d", 0.975).alias("upper_95")).join(F.broadcast(whole)).select("clusters", "difference", "lower_95", "upper_95")
+    sums = stored(rows.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("n"), F.sum(F.abs(a - p)).alias("e"), F.sum(F.abs(a - baseline)).alias("b"), F.sum(p - a).alias("g")), "group-sums")
+    interval = lambda v, name: [F.percentile(v, q).alias(f"{name}_{side}_95") for q, side in ((0.025, "lower"), (0.975, "upper"))]
+    ratio = lambda top, bottom: F.try_divide(F.col(top), F.col(bottom))
+    spread = resampled_sums(sums, "_group", ["n", "e", "b", "g"], resamples, seed).agg(*interval(F.try_divide(F.col("e") - F.col("b"), F.col("n")), "difference"), *interval(ratio("g", "n"), "calibration"))
+    out = sums.agg(F.count("*").alias("clusters"), (F.sum(F.col("e") - F.col("b")) / F.sum("n")).alias("difference"), (F.sum("g") / F.sum("n")).alias("calibration_gap")).join(F.broadcast(spread))
+    if key is None:
+        return out
+    hits = stored(top_set_hits(rows, key, actual, predicted).groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("n"), F.sum("hit").alias("h")), "top-set")
+    within = resampled_sums(hits, "_group", ["n", "h"], resamples, seed + 1).agg(*interval(ratio("h", "n"), "precision"))
+    return out.join(F.broadcast(hits.agg(F.count("*").alias("top_clusters"), (F.sum("h") / F.sum("n")).alias("precision")))).join(F.broadcast(within))
 
 
 def promotion(evidence: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from admill.functions import url
-from admill.operators import guide, modelling, products, splits
+from admill.operators import guide, modelling, products, shap, splits
 from admill.operators.storage import stored
 from admill.plans.registry import query
 from admill.plans.views import ADS, AS_OF, ads, table
@@ -28,6 +28,42 @@ def boosted_regression(spark, sf):
     return modelling.evaluate(model, train, test, "target", numeric)
 
 
+_FOLDS = 3
+
+
+@query(f"""WITH {ADS}, p AS (SELECT ad_id, start_date, row_number() OVER (ORDER BY start_date, ad_id) - 1 AS place, count(*) OVER () AS n FROM ads),
+f AS (SELECT *, CAST(greatest(-1, floor((place - (n - {_FOLDS} * (n // {_FOLDS + 1}))) / (n // {_FOLDS + 1}))) AS INT) AS fold FROM p)
+SELECT fold, count(*) AS n, min(start_date) AS first_day, max(start_date) AS last_day, sum(ad_id) AS ids FROM f GROUP BY fold""")
+def time_folds(spark, sf):
+    rows = modelling.time_folds(ads(spark, sf), "start_date", "ad_id", _FOLDS)
+    return rows.groupBy("fold").agg(F.count("*").alias("n"), F.min("start_date").alias("first_day"), F.max("start_date").alias("last_day"), F.sum("ad_id").alias("ids"))
+
+
+def _model_rows(spark, sf):
+    return ads(spark, sf).withColumn("target", F.col("days_active").cast("double"))
+
+
+@query()
+def boosted_search(spark, sf):
+    """Errors of four models on expanding time folds; trees depend on the library, so rows only. The folds have an SQL twin of their own."""
+    rows = stored(modelling.time_folds(_model_rows(spark, sf), "start_date", "ad_id", 2), "folds")
+    grid = [{"rounds": r, "depth": d, "step": 0.1} for r in (2, 4) for d in (2, 3)]
+    return modelling.time_search(rows, "target", ["price", "collation_count"], ["hook", "segment"], grid)
+
+
+@query()
+def shap_ranking(spark, sf):
+    """Shapley values of a model fitted on older ads over the newest, with the direction that a guide reads from them; rows only, since trees depend on the library."""
+    rows = stored(modelling.time_folds(_model_rows(spark, sf), "start_date", "ad_id", 1), "folds")
+    numeric, categorical = ["price", "collation_count"], ["hook", "segment"]
+    model = modelling.train_boosted(rows.filter("fold < 0"), "target", numeric, categorical, rounds=5)
+    test = model.transform(modelling.with_indicators(rows.filter("fold = 0"), numeric))
+    names = modelling.encoded_names(test, numeric, categorical)
+    ranked = shap.ranking(test, model.stages[-1], names).withColumn("source", F.lit("shap:days_active"))
+    buckets = spark.createDataFrame([("hook", "text"), ("segment", "audience"), ("price", "offer"), ("collation_count", "variants")], "dimension string, bucket string")
+    return guide.directives(guide.parse_features(ranked, ["hook", "segment"]), buckets)
+
+
 @query()
 def cox_coefficients(spark, sf):
     """Newton steps over daily sums; checked in tests against a direct solution."""

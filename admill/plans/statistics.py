@@ -130,11 +130,23 @@ def segment_metrics(spark, sf):
     return rounded(st.segment_metrics(rows, "segment", "price", "p", F.col("page_id")), 5)
 
 
+def _evidence(spark, sf):
+    rows = ads(spark, sf).select("ad_id", "page_id", "price", (20 + F.col("collation_count") * 5.0).alias("p"))
+    return st.cluster_bootstrap(rows, "page_id", "price", "p", 50.0, resamples=500, key="ad_id")
+
+
 @query()
 def bootstrap_ci(spark, sf):
-    """Resampling weights come from our own hash, so only the point estimate has an SQL twin."""
-    rows = ads(spark, sf).select("page_id", "price", (20 + F.col("collation_count") * 5.0).alias("p"))
-    return st.cluster_bootstrap(rows, "page_id", "price", "p", 50.0, resamples=200)
+    """Resampling weights come from our own generator: tests hold the intervals against a plain resampler, bootstrap_points has the figures that SQL can give."""
+    return _evidence(spark, sf)
+
+
+@query(f"""WITH {ADS}, r AS (SELECT page_id, ad_id, price AS a, 20 + collation_count * 5.0 AS p FROM ads),
+k AS (SELECT *, row_number() OVER (ORDER BY p DESC, ad_id) AS np, row_number() OVER (ORDER BY a DESC, ad_id) AS na, CAST(ceil(count(*) OVER () * 0.2) AS BIGINT) AS k FROM r)
+SELECT count(DISTINCT page_id) AS clusters, round(avg(abs(a - p) - abs(a - 50)), 7) AS difference, round(avg(p - a), 7) AS calibration_gap,
+count(DISTINCT page_id) FILTER (np <= k) AS top_clusters, round(count(*) FILTER (np <= k AND na <= k) / count(*) FILTER (np <= k), 7) AS precision FROM k""")
+def bootstrap_points(spark, sf):
+    return rounded(_evidence(spark, sf).select("clusters", "difference", "calibration_gap", "top_clusters", "precision"), 7)
 
 
 @query(f"""WITH {ADS}, e AS (SELECT hook, count(*) AS n_test, count(DISTINCT page_id) AS n_adv, avg(abs(price - 50)) AS mae, avg(abs(price - 40)) AS base FROM ads GROUP BY hook)

@@ -98,7 +98,7 @@ def test_kappa_without_variation_is_null(spark):
 def test_bootstrap_covers_the_difference(spark):
     rows = spark.range(3000).select((F.col("id") % 60).alias("g"), F.rand(1).alias("a"), F.lit(0.5).alias("p"))
     r = statistics.cluster_bootstrap(rows, "g", "a", "p", 2.0, resamples=300).first()
-    assert r["clusters"] == 60 and r["lower_95"] < r["difference"] < r["upper_95"] < 0
+    assert r["clusters"] == 60 and r["difference_lower_95"] < r["difference"] < r["difference_upper_95"] < 0
 
 
 def test_missing_evidence_blocks(spark):
