@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from admill.operators import evaluation as ev, modelling, relational as rel, scoring, statistics as st, windows
+from admill.operators.storage import shared_dir, stored
 from admill.plans.ordered import _SCORED
 from admill.plans.registry import query
 from admill.plans.statistics import halves, judged, rounded
 from admill.plans.views import ADS, AS_OF, ads, table
+from admill.sources import publishing
 
 _JUDGED = "j AS (SELECT d.doc_id, NOT contains(text, '&&&') AS predicted, length(text) > 300 AS longer, quality = 1 AS actual, toxic = 1 AS toxic FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"
 
@@ -123,12 +127,59 @@ def parts(spark, sf):
 
 @query(f"""WITH a AS (SELECT user_id AS ad_id, min(user_id) % 50 AS page_id, min(ts) AS seen FROM events WHERE ts >= {_DAY} GROUP BY 1), b AS (SELECT user_id AS ad_id, min(user_id) % 50 AS page_id, min(ts) AS seen FROM events WHERE ts < {_DAY} GROUP BY 1),
 o AS (SELECT count(*) AS n, count(*) FILTER (value > 10) AS c FROM events WHERE user_id IN (SELECT ad_id FROM a))
-SELECT count(*) AS n_ads, count(DISTINCT page_id) AS n_advertisers, max(o.n) AS n_observations, max(o.c) AS complete_observations, count(*) FILTER (ad_id NOT IN (SELECT ad_id FROM b)) AS n_new_ads, count(*) FILTER (ad_id IN (SELECT ad_id FROM b)) AS n_existing_ads,
+SELECT count(*) AS n_ads, count(DISTINCT page_id) AS n_advertisers, min(seen) AS observed_at_min, max(seen) AS observed_at_max, max(o.n) AS n_observations, max(o.c) AS complete_observations, count(*) FILTER (ad_id NOT IN (SELECT ad_id FROM b)) AS n_new_ads, count(*) FILTER (ad_id IN (SELECT ad_id FROM b)) AS n_existing_ads,
 count(DISTINCT page_id) FILTER (page_id NOT IN (SELECT page_id FROM b)) AS n_new_advertisers, CASE WHEN min(seen) > (SELECT max(seen) FROM b) THEN 'after_previous_window' ELSE 'not_proven_after_previous_window' END AS temporal_order,
 min(seen) > (SELECT max(seen) FROM b) AND count(*) FILTER (ad_id NOT IN (SELECT ad_id FROM b)) > 0 AS eligible FROM a, o""")
 def window_summary(spark, sf):
     now, before, polls = parts(spark, sf)
-    return windows.window_summary(now, polls, before).drop("observed_at_min", "observed_at_max")
+    return windows.window_summary(now, polls, before)
+
+
+def chained(spark, sf):
+    """The ads and polls of two windows, with times as whole microseconds."""
+    now, before, polls = parts(spark, sf)
+    timed = lambda rows: rows.withColumn("observed_at", F.unix_micros(F.col("observed_at").cast("timestamp")))
+    return timed(now), timed(before), polls.withColumn("poll_complete", F.col("poll_complete").cast("string"))
+
+
+_CHAIN = f"""WITH a AS (SELECT user_id AS ad_id, min(user_id) % 50 AS page_id, epoch_us(min(ts)) AS observed_at FROM events WHERE ts >= {_DAY} GROUP BY 1), b AS (SELECT user_id AS ad_id, min(user_id) % 50 AS page_id, epoch_us(min(ts)) AS observed_at FROM events WHERE ts < {_DAY} GROUP BY 1),
+o AS (SELECT user_id AS ad_id, value > 10 AS poll_complete FROM events),
+m AS (SELECT {windows.content_hash_sql("b", ["ad_id"])} AS ad_ids_sha256, {windows.content_hash_sql("b", ["ad_id", "page_id", "observed_at"])} AS ads_sha256, NULL::VARCHAR AS observations_sha256, NULL::VARCHAR AS previous_window_id, 'baseline' AS role),
+n AS (SELECT *, sha256('{{"ad_ids_sha256":"' || ad_ids_sha256 || '","ads_sha256":"' || ads_sha256 || '","observations_sha256":null,"previous_window_id":null,"role":"' || role || '"}}') AS window_id FROM m),
+p AS (SELECT {windows.content_hash_sql("a", ["ad_id"])} AS ad_ids_sha256, {windows.content_hash_sql("a", ["ad_id", "page_id", "observed_at"])} AS ads_sha256, {windows.content_hash_sql("o", ["ad_id", "poll_complete"])} AS observations_sha256, window_id AS previous_window_id, 'future_holdout' AS role FROM n)
+SELECT *, sha256('{{"ad_ids_sha256":"' || ad_ids_sha256 || '","ads_sha256":"' || ads_sha256 || '","observations_sha256":"' || observations_sha256 || '","previous_window_id":"' || previous_window_id || '","role":"' || role || '"}}') AS window_id FROM p UNION ALL SELECT * FROM n"""
+
+
+@query(_CHAIN)
+def window_chain(spark, sf):
+    """Two frozen windows, the second bound to the first."""
+    now, before, polls = chained(spark, sf)
+    first = stored(windows.window_manifest(before), "window")
+    fields = [*windows.SOURCE, "window_id"]
+    return first.select(*fields).unionByName(windows.window_manifest(now, polls, first, before).select(*fields))
+
+
+@query("""SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'CHANGED' ELSE o_orderpriority END AS o_orderpriority FROM orders UNION ALL SELECT -o_orderkey, 'ADDED' FROM orders WHERE o_orderstatus = 'F' AND o_orderkey > 0""")
+def bucketed_upsert(spark, sf):
+    """Orders in buckets, with open ones changed and closed ones added again under new keys."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority", "o_orderstatus")
+    path = f"{shared_dir(spark)}/admill-{spark.sparkContext.applicationId}/upserted-{uuid.uuid4().hex}"
+    changed = orders.filter("o_orderstatus = 'O'").withColumn("o_orderpriority", F.lit("CHANGED"))
+    added = orders.filter("o_orderstatus = 'F' AND o_orderkey > 0").withColumn("o_orderkey", -F.col("o_orderkey")).withColumn("o_orderpriority", F.lit("ADDED"))
+    publishing.upsert_buckets(orders, path, "o_orderkey")
+    publishing.upsert_buckets(changed.unionByName(added), path, "o_orderkey")
+    return spark.read.parquet(path).select("o_orderkey", "o_orderpriority")
+
+
+@query("SELECT 'observations' AS role, count(*) AS n, 0 AS problems FROM events UNION ALL SELECT 'orders', count(*), 0 FROM orders")
+def handoff_bundle(spark, sf):
+    """Two tables published as one bundle, verified and read back."""
+    path = f"{shared_dir(spark)}/admill-{spark.sparkContext.applicationId}/bundle-{uuid.uuid4().hex}"
+    tables = {"orders": table(spark, sf, "orders"), "observations": table(spark, sf, "events")}
+    publishing.publish_bundle(tables, path, "v1")
+    problems = publishing.verify_bundle(spark, path, list(tables)).agg(F.count("*").cast("int").alias("problems"))
+    read = [spark.read.parquet(f"{path}/{r}").agg(F.lit(r).alias("role"), F.count("*").alias("n")) for r in tables]
+    return read[0].unionByName(read[1]).join(F.broadcast(problems))
 
 
 @query(f"""WITH a AS (SELECT count(DISTINCT user_id) AS n FROM events WHERE ts >= {_DAY}), b AS (SELECT count(DISTINCT user_id) AS n FROM events) SELECT 'n_ids' AS field, CAST(a.n AS VARCHAR) AS recorded, CAST(b.n AS VARCHAR) AS rebuilt FROM a, b WHERE a.n <> b.n""")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from admill.functions import dates
 from admill.operators import lifecycle as lc, survival as sv
+from admill.operators.storage import shared_dir
 from admill.plans.registry import query
 from admill.plans.views import ADS, AS_OF, OBS, ads, observations, table
+from admill.streaming import lifecycle_stream as stream
 
 #: The fold spelt out as a recursion over each ad's n-th observation.
 _FOLD = f"""{OBS}, o AS (SELECT *, row_number() OVER (PARTITION BY ad_id ORDER BY observed_at, observation_id) AS rn FROM obs),
@@ -27,11 +31,26 @@ f AS (SELECT ad_id, CAST(0 AS BIGINT) AS rn, 'unknown' AS state, CAST(NULL AS TI
 resolved AS (SELECT f.* FROM f JOIN (SELECT ad_id, max(rn) AS rn FROM o GROUP BY ad_id) m ON m.ad_id = f.ad_id AND m.rn = f.rn)"""
 
 
-@query(f"""WITH RECURSIVE {_FOLD} SELECT ad_id, state, last_active_at, first_missing_at, event_at, CAST(reported_stop_date AS VARCHAR) AS reported_stop_date, misses AS consecutive_complete_misses, rn AS observation_count FROM resolved""")
+_STATES = f"""WITH RECURSIVE {_FOLD} SELECT ad_id, state, last_active_at, first_missing_at, event_at, CAST(reported_stop_date AS VARCHAR) AS reported_stop_date, misses AS consecutive_complete_misses, rn AS observation_count FROM resolved"""
+
+
+@query(_STATES)
 def lifecycle_state(spark, sf):
     return lc.resolve(observations(spark, sf)).withColumn("reported_stop_date", F.col("reported_stop_date").cast("string"))
 
 
+@query(_STATES)
+def lifecycle_stream(spark, sf):
+    """The same states from a stream whose later half comes first, with every tenth observation twice."""
+    folder = f"{shared_dir(spark)}/admill-{spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
+    rows = observations(spark, sf)
+    middle = F.lit("2024-01-03").cast("timestamp")
+    for part in (rows.filter(F.col("observed_at") >= middle), rows.filter((F.col("observed_at") < middle) | (F.col("observation_id") % 10 == 0))):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream.run(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), f"{folder}/log", f"{folder}/states", f"{folder}/checkpoint").awaitTermination()
+    return stream.current_states(spark, f"{folder}/states").withColumn("reported_stop_date", F.col("reported_stop_date").cast("string"))
+
+
 @query("""WITH k AS (SELECT o_orderkey AS ad_id, o_custkey AS page_id, o_orderstatus FROM orders),
 r AS (SELECT l_orderkey AS ad_id, min(l_linestatus) <> 'F' AS r_active, CASE WHEN min(l_returnflag) = 'R' THEN CAST(max(l_shipdate) AS DATE) END AS r_stop FROM lineitem WHERE l_quantity >= 40 GROUP BY l_orderkey),
 c AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')
@@ -84,7 +103,10 @@ def longevity_benchmarks(spark, sf):
     return out.withColumns({f"s{h}": F.round(f"s{h}", 9) for h in sv.HORIZONS})
 
 
-_H = """SELECT {h} AS horizon, round(coalesce((SELECT min(survival) FROM km WHERE t <= {h}), 1.0), 9) AS survival, count(*) FILTER (duration >= {h}) AS observed_through,
+_S = "coalesce((SELECT min(survival) FROM km WHERE t <= {h}), 1.0)"
+_HALF = "1.959963984540054 * sqrt(coalesce((SELECT sum(d / (at_risk * (at_risk - d))) FROM km WHERE t <= {h} AND d < at_risk), 0.0)) / abs(ln(" + _S + "))"
+_BOUND = "CASE WHEN " + _S + " > 0 AND " + _S + " < 1 THEN exp(-exp(ln(-ln(" + _S + ")) {sign} " + _HALF + ")) ELSE " + _S + " END"
+_H = "SELECT {h} AS horizon, round(" + _S + ", 9) AS survival, round(" + _BOUND.replace("{sign}", "+") + ", 7) AS lower_95, round(" + _BOUND.replace("{sign}", "-") + """, 7) AS upper_95, count(*) FILTER (duration >= {h}) AS observed_through,
 count(*) FILTER ((ended AND duration <= {h}) OR duration >= {h}) AS eligible, count(*) FILTER (ended AND duration <= {h}) AS endings,
 round(count(*) FILTER ((ended AND duration <= {h}) OR duration >= {h}) / count(*), 9) AS outcome_coverage,
 CASE WHEN count(*) FILTER (ended AND duration <= {h}) >= 5 AND count(*) FILTER ((ended AND duration <= {h}) OR duration >= {h}) >= 20 THEN 'ok' ELSE 'insufficient_evidence' END AS status FROM lives"""
@@ -92,8 +114,8 @@ CASE WHEN count(*) FILTER (ended AND duration <= {h}) >= 5 AND count(*) FILTER (
 
 @query(f"WITH {_LIVES}, {_KM.format(by='', part='1')} " + " UNION ALL ".join(_H.format(h=h) for h in sv.HORIZONS))
 def survival_horizons(spark, sf):
-    out = sv.horizons(lifetimes(spark, sf), "duration", "ended").drop("lower_95", "upper_95")
-    return out.withColumns({c: F.round(c, 9) for c in ("survival", "outcome_coverage")})
+    out = sv.horizons(lifetimes(spark, sf), "duration", "ended")
+    return out.withColumns({c: F.round(c, 9) for c in ("survival", "outcome_coverage")} | {c: F.round(c, 7) for c in ("lower_95", "upper_95")})
 
 
 @query(f"""WITH {_LIVES}, k AS (SELECT duration AS t, ended AS e, collation_count AS r, count(*) AS n FROM lives GROUP BY ALL)

@@ -185,11 +185,11 @@ def semantic_merge(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", rel.merged_semantics(F.lit("base"), told).alias("merged"))
 
 
-@query("""WITH o AS (SELECT l_orderkey, l_linenumber AS n, l_extendedprice AS total, CASE WHEN l_quantity > 10 THEN l_extendedprice / l_quantity END AS unit, l_quantity, l_returnflag = 'R' AS best, l_linestatus AS label FROM lineitem WHERE l_linenumber <= 4),
+@query("""WITH o AS (SELECT l_orderkey, l_linenumber AS n, l_extendedprice AS total, CASE WHEN l_quantity > 10 THEN l_extendedprice / l_quantity END AS unit, l_quantity, l_returnflag = 'R' AS best, l_linestatus AS label FROM lineitem),
 r AS (SELECT l_orderkey, coalesce(unit, total) AS price, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN best THEN 0 WHEN l_quantity = 1 THEN 1 WHEN unit IS NOT NULL THEN 2 ELSE 3 END, CASE WHEN NOT best AND l_quantity <> 1 THEN unit END, n, total) AS rn FROM o),
 l AS (SELECT l_orderkey, count(*) AS labels FROM o GROUP BY 1) SELECT r.l_orderkey, round(price, 6) AS price, labels FROM r JOIN l ON l.l_orderkey = r.l_orderkey WHERE rn = 1""")
 def direct_response(spark, sf):
-    l = table(spark, sf, "lineitem").filter("l_linenumber <= 4")
+    l = table(spark, sf, "lineitem")
     offer = F.struct(
         F.col("l_linenumber").alias("n"), F.col("l_extendedprice").alias("total_price"), F.when(F.col("l_quantity") > 10, F.col("l_extendedprice") / F.col("l_quantity")).alias("price_per_unit"),
         F.col("l_quantity").alias("quantity"), (F.col("l_returnflag") == "R").alias("is_best_value"), F.col("l_linestatus").alias("tier_label"),

@@ -44,11 +44,6 @@ def publish_immutable(rows: DataFrame, path: str) -> bool:
     return False
 
 
-def upsert(current: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """current with changed rows in place of old ones, and new ones added."""
-    return current.join(changes.select(key), key, "left_anti").unionByName(changes)
-
-
 def export_messages(rows: DataFrame, path: str) -> None:
     """(system, user, assistant) rows as chat JSON lines."""
     turns = F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("content")) for r in ("system", "user", "assistant")])
