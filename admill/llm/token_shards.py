@@ -3,17 +3,21 @@
 Each input partition is one token stream (its documents, an end id after each) cut into sequences
 of `LENGTH` ids; only a stream's last sequence is padded. A sequence's number, partition and place
 in it, enters a keyed Feistel permutation that walks its cycles until it falls into the domain of
-all possible numbers (a fixed domain, so nothing is counted or run beforehand): its place in the order is known
-while the stream is still being read, and texts are encoded once. Storing the sequences first, so as to number them without
-gaps before they are permuted, would take 3.3 times the input on disk of 3. Shards are equal ranges of the permuted domain; a shard's
-task sorts its sequences and writes them as 16-bit ids with the same stride. The counts of the
-shards then turn into each shard's first slot, which makes slots dense: sequence s is at
+all possible numbers: as many partitions as there are, times the most sequences that one of them can hold. That bound comes from
+one count of text bytes, of which an id has at least one, so the place in the order is known while the stream is still being read, and texts
+are encoded once. Storing the sequences first, so as to number them without
+gaps before they are permuted, would take 3.3 times the input on disk of 3. Shards are equal ranges of the permuted domain, as many as keep
+one near `SHARD_BYTES`; a shard's task sorts its sequences and writes them as 16-bit ids with the same stride. The counts of the
+shards then turn into each shard's first slot, which makes slots dense: a slot is the rank of a permuted number. Sequence s is at
 stride * (s - first slot) of its shard, so a reader can stop and resume at any slot.
 
+The order depends on how docs are partitioned, which has to be the same when texts are counted and when they are read: so it is for files and
+stored tables. Where a partition turns out to hold more than was counted, writing stops with an error.
+
 Cases: null and empty texts contribute their end id; null and repeated doc_ids are carried along, as are ties; extra
 columns of docs are left out whatever their names; an empty table writes no shard; texts are encoded whole. The end id also
 pads a stream's last sequence, whose n_tokens tells where it ends. A vocabulary of more than 2**16 ids is an error, since
-ids are stored in 16 bits. There are at most 2**20 partitions of 2**32 sequences each.
+ids are stored in 16 bits.
 """
 
 from __future__ import annotations
@@ -33,7 +37,8 @@ from admill.llm.files import opened, written
 from admill.llm.tokens import default_ranks, encode
 
 LENGTH, END, PAD, KEY, ROUNDS = 1024, 50256, 50256, 2024, 6
-_PLACES, _PARTITIONS = 1 << 32, 1 << 20
+#: About how many bytes of ids one shard holds where the input is large; a byte of text makes a quarter of an id, two bytes each.
+SHARD_BYTES, _BYTES_PER_BYTE = 256_000_000, 0.5
 SPANS = "array<struct<doc_id: string, start: bigint, length: bigint, offset: bigint>>"
 SHARDED = f"shard long, place long, n_tokens long, ids_crc32 long, docs {SPANS}, file string"
 
@@ -66,17 +71,28 @@ def permute(numbers: np.ndarray, domain: int, key: int = KEY) -> np.ndarray:
     return out
 
 
-def streams(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> DataFrame:
-    """(number, n_tokens, ids, docs) of each sequence; ids are little-endian and 16 bits wide."""
+def bounds(docs: DataFrame, length: int = LENGTH) -> tuple[int, int, int]:
+    """Number of partitions of docs, the most sequences that one of them can hold, and bytes of all texts."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    each = docs.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(size).alias("bytes"), F.count("*").alias("n"))
+    last, most, total = each.agg(F.max("p"), F.max(F.col("bytes") + F.col("n")), F.sum("bytes")).first()
+    return (0, 0, 0) if last is None else (last + 1, most // length + 1, total)
+
+
+def streams(docs: DataFrame, places: int, length: int = LENGTH, path: str | None = None) -> DataFrame:
+    """(number, n_tokens, ids, docs) of each sequence; ids are little-endian and 16 bits wide. places: the most sequences of a partition."""
     ranks = path or default_ranks()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = TaskContext.get().partitionId() * _PLACES
+        number = TaskContext.get().partitionId() * places
+        end = number + places
         held, size, spans = [], 0, []
 
         def sequence(ids: np.ndarray, spans: list, real: int) -> tuple:
             nonlocal number
             number += 1
+            if number > end:
+                raise ValueError("docs came in other partitions than they were counted in; store them first")
             if ids.max() >> 16:
                 raise ValueError(f"id {ids.max()} needs more than 16 bits")
             return number - 1, real, ids.astype("<u2").tobytes(), spans
@@ -99,7 +115,7 @@ def streams(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> D
             ids = np.concatenate([*held, np.full(length - size, PAD, dtype=np.uint32)])
             yield pd.DataFrame([sequence(ids, spans, size)], columns=["number", "n_tokens", "ids", "docs"])
 
-    rows = require(docs, "doc_id", "text").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     return rows.mapInPandas(cut, f"number long, n_tokens long, ids binary, docs {SPANS}")
 
 
@@ -115,8 +131,10 @@ def write_shards(docs: DataFrame, folder: str | None = None, length: int = LENGT
     """Writes the shards and returns a row per sequence: slot, shard, byte_offset, n_tokens, ids_crc32, docs, file."""
     spark = docs.sparkSession
     folder = folder or scratch(spark, "shards")
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    domain = _PARTITIONS * _PLACES
+    docs = require(docs, "doc_id", "text").select("doc_id", "text")
+    partitions, places, total = bounds(docs, length)
+    domain = max(1, partitions * places)
+    shards = min(domain, shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), round(total * _BYTES_PER_BYTE / SHARD_BYTES)))
     width = -(-domain // shards)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,7 +153,7 @@ def write_shards(docs: DataFrame, folder: str | None = None, length: int = LENGT
                     place += 1
                 yield pd.DataFrame(rows, columns=["shard", "place", "n_tokens", "ids_crc32", "docs", "file"])
 
-    placed = streams(docs, length).withColumn("_slot", slots(F.col("number"), domain, key)).withColumn("shard", F.floor(F.col("_slot") / width).cast("int"))
+    placed = streams(docs, places, length).withColumn("_slot", slots(F.col("number"), domain, key)).withColumn("shard", F.floor(F.col("_slot") / width).cast("int"))
     dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "_slot").select("shard", "n_tokens", "ids", "docs")
     stored = materialise(dealt.mapInPandas(write, SHARDED), "shard-rows")
     counts = stored.groupBy("shard", "file").agg(F.count("*").alias("sequences"))

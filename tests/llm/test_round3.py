@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from admill.llm import hard_negatives, language, resampling
+from admill.llm import hard_negatives, language, resampling, token_shards
 
 LONG = 2**63 - 1
 
@@ -185,3 +185,28 @@ def test_language_takes_the_smallest(spark, tiny):
     for r in language.identified(docs, contents).collect():
         sizes = plain_sizes(contents, texts[r["doc_id"]])
         assert r["lang_pred"] == min(sizes, key=sizes.get)
+
+
+def test_token_shards_walk_cycles(spark, tmp_path):
+    """The slots are the ranks of the permuted numbers, in a domain that no power of four fills."""
+    texts = [f"word{i} " * (i % 40) for i in range(90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3, "doc_id")
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    partitions, places, _ = token_shards.bounds(docs, 16)
+    domain = partitions * places
+    assert domain & (domain - 1) and places * 16 >= 40 * 4
+    numbers = {}
+    for r in token_shards.streams(docs, places, 16).collect():
+        numbers[r["docs"][0]["doc_id"], r["docs"][0]["start"]] = r["number"]
+    assert max(numbers.values()) < domain
+    image = dict(zip(numbers.values(), token_shards.permute(np.array(list(numbers.values())), domain).tolist()))
+    assert len(set(image.values())) == len(numbers) and max(image.values()) < domain
+    rows = token_shards.write_shards(docs, f"file://{tmp_path}/shards", length=16, shards=4).collect()
+    by_slot = [numbers[r["docs"][0]["doc_id"], r["docs"][0]["start"]] for r in sorted(rows, key=lambda r: r["slot"])]
+    assert by_slot == sorted(numbers.values(), key=image.get) and [r["slot"] for r in sorted(rows, key=lambda r: r["slot"])] == list(range(len(rows)))
+    again = token_shards.write_shards(docs.repartition(5, "doc_id"), f"file://{tmp_path}/other", length=16, shards=4).collect()
+    pieces = lambda rows: sorted((d["doc_id"], sum(x["length"] for r in rows for x in r["docs"] if x["doc_id"] == d["doc_id"])) for d in {d["doc_id"]: d for r in rows for d in r["docs"]}.values())
+    assert pieces(again) == pieces(rows)  # another partitioning, another order, the same ids
+    with pytest.raises(Exception, match="store them first"):
+        token_shards.streams(docs, 1, 16).collect()
