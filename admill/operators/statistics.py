@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from admill.functions.distributions import f_probability, t_probability
-from admill.operators.ordering import quantiles, with_row_number
+from admill.operators.ordering import grouped_quantiles, quantiles, with_row_number
 from admill.operators.storage import stored
 
 NULLS, POINT_MASS, OUTLIERS, CARDINALITY = 0.30, 0.40, 0.05, 0.5
@@ -40,14 +40,15 @@ def profile(rows: DataFrame, numeric: list[str]) -> DataFrame:
     """A row per numeric column: counts, moments, point mass, and flags. One pass for the moments, one for the values."""
     long = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in numeric])).alias("v")).select("v.*")
     stats = long.groupBy("column").agg(
-        F.count("*").alias("n"), (1 - F.count("x") / F.count("*")).alias("null_rate"), F.avg("x").alias("mean"), F.median("x").alias("median"),
+        F.count("*").alias("n"), (1 - F.count("x") / F.count("*")).alias("null_rate"), F.avg("x").alias("mean"),
         F.min("x").alias("min"), F.max("x").alias("max"), F.stddev_pop("x").alias("stdev"),
     )
     counts = long.filter(F.col("x").isNotNull()).groupBy("column", "x").agg(F.count("*").alias("k"))
     modes = counts.groupBy("column").agg(F.max_by("x", F.struct("k", -F.col("x"))).alias("point_mass_value"), (F.max("k") / F.sum("k")).alias("point_mass_fraction"))
     flat = F.round("stdev", 4) == 0
     flags = F.filter(F.array(F.when(F.col("null_rate") >= NULLS, "high_null_rate"), F.when(flat & (F.col("n") > 1), "zero_variance"), F.when(~flat & (F.col("point_mass_fraction") >= POINT_MASS), "high_point_mass")), lambda f: f.isNotNull())
-    return stats.join(modes, "column", "left").withColumn("flags", F.array_join(flags, ","))
+    medians = grouped_quantiles(long, "column", "x", [0.5]).select("column", F.get("quantiles", F.lit(0)).alias("median"))
+    return stats.join(modes, "column", "left").join(medians, "column", "left").withColumn("flags", F.array_join(flags, ","))
 
 
 def thin_categories(rows: DataFrame, column: str, least: int = 30) -> DataFrame:
@@ -165,8 +166,8 @@ def segment_metrics(rows: DataFrame, segment: str, actual: str, predicted: str,
     """A row per segment: error, error of the segment's own median, means, gap, and whether the segment may be promoted."""
     a, p = F.col(actual), F.col(predicted)
     kept = rows.filter(F.col(segment).isNotNull())
-    medians = kept.groupBy(segment).agg(F.median(actual).alias("_median"))
-    out = kept.join(medians, segment).groupBy(F.col(segment).alias("segment")).agg(
+    medians = grouped_quantiles(kept, segment, actual, [0.5]).select(segment, F.get("quantiles", F.lit(0)).alias("_median"))
+    out = kept.join(medians, segment, "left").groupBy(F.col(segment).alias("segment")).agg(
         F.count("*").alias("n"), F.count_distinct(advertiser).alias("n_advertisers"), F.avg(F.abs(a - p)).alias("mae"), F.avg(F.abs(a - F.col("_median"))).alias("median_mae"),
         F.avg(a).alias("actual_mean"), F.avg(p).alias("predicted_mean"),
     )

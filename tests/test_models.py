@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
-from admill.operators import modelling, shap, statistics
+from admill.operators import modelling, ordering, shap, statistics
 
 
 @pytest.fixture(scope="module")
@@ -139,3 +139,15 @@ def test_bootstrap_against_a_plain_resampler(spark):
     assert 0.9 < np.mean([drawn[3][g].mean() for g in groups]) < 1.1
     with pytest.raises(ValueError):
         statistics.cluster_bootstrap(frame.withColumn("g", F.lit(" ")), "g", "a", "p", 0.1)
+
+
+def test_grouped_quantiles(spark):
+    rng = np.random.default_rng(6)
+    rows = [(["a", "b", None][int(g)], float(v)) for g, v in zip(rng.integers(0, 3, 900), rng.integers(0, 200, 900) ** 2)] + [("c", 5.0), ("d", None), ("e", 1.0), ("e", 2.0)] + [("a", 7.0)] * 400
+    frame = spark.createDataFrame(rows, "g string, x double").repartition(6)
+    points = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r["g"]: r["q"] for r in ordering.grouped_quantiles(frame, "g", "x", points, "q").collect()}
+    assert set(got) == {"a", "b", "c", "e", None}
+    for g, q in got.items():
+        assert q == pytest.approx(np.quantile([x for k, x in rows if k == g and x is not None], points).tolist())
+    assert ordering.grouped_quantiles(frame.limit(0), "g", "x", points).count() == 0
