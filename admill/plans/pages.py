@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from admill.functions import color, dates, geometry, html, money, text, tree, url
+from admill.functions import color, dates, geometry, html, money, pixels, text, tree, url
 from admill.operators import modelling, normalize, relational as rel, splits
 from admill.plans.registry import query
 from admill.plans.scalar import _TEXT
@@ -88,6 +88,15 @@ def otsu_thresholds(spark, sf):
     return levels.select("l_returnflag", color.otsu_threshold(histogram).alias("threshold"))
 
 
+@query()
+def pixel_colors(spark, sf):
+    """Components of vectors stand for pixels; tests hold text colour and border against plain loops."""
+    vectors = table(spark, sf, "embeddings").filter("size(embedding) >= 63")
+    values = F.transform(F.slice("embedding", 1, 63), lambda v: F.pmod((F.abs(v) * 700).cast("int"), F.lit(256)))
+    found = vectors.select("vec_id", pixels.colours(values, F.lit(7)).alias("c"))
+    return found.select("vec_id", "c.text_color", F.array_join("c.palette", ",").alias("palette"), "c.border_color", color.background_style(F.col("c.border_deviation")).alias("style"))
+
+
 @query("""SELECT l_returnflag, CASE WHEN stddev_pop(l_quantity) < 12 THEN 'Studio' WHEN stddev_pop(l_quantity) < 40 THEN 'Gradient' ELSE 'Busy' END AS style,
 CASE WHEN max(l_quantity * 5) - min(l_quantity * 5) >= 140 THEN 'High' WHEN max(l_quantity * 5) - min(l_quantity * 5) <= 50 THEN 'Low' ELSE 'Medium' END AS contrast FROM lineitem GROUP BY 1""")
 def background_styles(spark, sf):
