@@ -46,6 +46,7 @@ class Elements(HTMLParser):
         self.last, self.text_span, self.mark_span = [0], [[0, 0]], [[0, 0]]
         self.strings: list[str] = []
         self.marks: list[tuple[str, object]] = []
+        self.closed: set[int] = set()  # elements with an end tag of their own
         self._open, self._counts, self._data = [0], {}, []
         self.feed(page or "")
         self.close()
@@ -98,6 +99,7 @@ class Elements(HTMLParser):
             return
         while self.tag[self._open[-1]] != tag:
             self._end()
+        self.closed.add(self._open[-1])
         self._end()
 
     def handle_startendtag(self, tag, attrs):
@@ -320,3 +322,49 @@ def pruned(found: Column, most_tokens: int = 4000) -> Column:
     budget = most_tokens * TOKEN_CHARS
     text = F.when(found["from_zones"], cut_at_paragraph(found["markdown"], budget)).otherwise(cut_at_paragraph(found["markdown"], 2 * budget))
     return F.concat(F.when(found["title"].isNotNull(), F.concat(F.lit("Page title: "), F.substring(found["title"], 1, 200), F.lit("\n\n"))).otherwise(""), text)
+
+
+# Elements that hold a block's paragraphs, and their emphasis.
+PARAGRAPHS = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
+BOLD, ITALIC = {"b", "strong"}, {"i", "em"}
+
+
+def style_of(declared: str | None) -> dict[str, str]:
+    """Declarations of an inline style; names in lower case, the last of equals counts."""
+    pairs = [d.partition(":") for d in (declared or "").split(";") if ":" in d]
+    return {k.strip().lower(): v.strip() for k, _, v in pairs}
+
+
+def block_content(block: str | None) -> tuple[list[dict], str | None, str | None]:
+    """Visible runs of a block's HTML, its first image's alt text, and the text of its hidden paragraphs.
+
+    A run is the text of a closed paragraph that holds no other, lines kept where br breaks them.
+    """
+    e = Elements(block)
+    runs, told = [], []
+    for i in e.below(0, PARAGRAPHS):
+        inner = {e.tag[j] for j in e.below(i)}
+        if i not in e.closed or inner & PARAGRAPHS:
+            continue
+        parts = [v if kind == "text" else "\n" for kind, v in e.marks[slice(*e.mark_span[i])] if kind == "text" or (kind == "start" and e.tag[v] == "br")]
+        text = "\n".join(" ".join(line.split()) for line in "".join(parts).split("\n")).strip()
+        style = style_of(e.attrs[i].get("style"))
+        if text and style.get("display") == "none":
+            told.append(text)
+        elif text:
+            runs.append({"text": text, "tag": e.tag[i], "color": style.get("color"), "text_align": style.get("text-align"), "bold": bool(inner & BOLD), "italic": bool(inner & ITALIC)})
+    alts = (e.attrs[i].get("alt", "").strip() for i in e.below(0, {"img"}))
+    return runs, next((a for a in alts if a), None), " ".join(told) or None
+
+
+RUNS = "array<struct<text: string, tag: string, color: string, text_align: string, bold: boolean, italic: boolean>>"
+
+
+def _blocks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame([block_content(x) for x in batch], columns=["runs", "image_alt", "image_description"])
+
+
+def block_runs(block: Column) -> Column:
+    """Struct of runs, image_alt and image_description of a block's HTML."""
+    return F.pandas_udf(_blocks, f"runs {RUNS}, image_alt string, image_description string")(block)

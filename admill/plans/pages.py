@@ -38,6 +38,13 @@ def page_zones(spark, sf):
     return found.select("page_id", "z.hero", "z.social_proof", "z.specs", "z.from_zones", tree.pruned(F.col("z")).alias("pruned"))
 
 
+@query()
+def block_runs(spark, sf):
+    """Paragraph runs of every page; they need an element tree, so tests hold all pages against a plain parser."""
+    found = table(spark, sf, "pages").select("page_id", tree.block_runs(F.col("html")).alias("b"))
+    return found.select("page_id", F.posexplode("b.runs").alias("place", "r")).select("page_id", "place", "r.*")
+
+
 _NAMED = ", ".join([f"CASE WHEN regexp_matches(text, '{p}') THEN '{k}' END" for k, p in text.RISKS.items()] + [f"CASE WHEN regexp_matches(text, '{p}') THEN 'candidate:{k}' END" for k, p in text.CANDIDATES.items()])
 
 

@@ -56,10 +56,11 @@ def image_folder(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1)).isin(IMAGES)).select("path", "length", "content")
 
 
-def block_tree(blocks: DataFrame, root: str = "blocks") -> DataFrame:
+def block_tree(blocks: DataFrame) -> DataFrame:
     """(doc, id, block_type, depth) of a block tree given as rows (doc, id, parent, block_type): those with a type and an id."""
-    blocks.createOrReplaceTempView(f"_{root}")
-    sql = f"""WITH RECURSIVE t AS (SELECT doc, id, block_type, 0 AS depth FROM _{root} WHERE parent IS NULL
-      UNION ALL SELECT b.doc, b.id, b.block_type, t.depth + 1 FROM _{root} b JOIN t ON b.doc = t.doc AND b.parent = t.id)
-      SELECT doc, id, block_type, depth FROM t WHERE block_type IS NOT NULL AND id <> ''"""
-    return blocks.sparkSession.sql(sql)
+    return blocks.sparkSession.sql(
+        """WITH RECURSIVE t AS (SELECT doc, id, block_type, 0 AS depth FROM {blocks} WHERE parent IS NULL
+      UNION ALL SELECT b.doc, b.id, b.block_type, t.depth + 1 FROM {blocks} b JOIN t ON b.doc = t.doc AND b.parent = t.id)
+      SELECT doc, id, block_type, depth FROM t WHERE block_type IS NOT NULL AND id <> ''""",
+        blocks=blocks,
+    )

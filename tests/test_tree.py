@@ -164,3 +164,38 @@ def test_all_pages(spark, tiny):
             assert (r["f"][zone] is None) == (text is None) and (text is None or tree.Elements(r["f"][zone]).text(0) == text)
         assert r["f"]["title"] == next((e.text(i) for i, t in enumerate(e.tag) if t == "title"), None)
         assert len(r["p"]) <= (400 if r["f"]["from_zones"] else 800) + 220
+
+
+class Paragraphs(HTMLParser):
+    """Closed paragraphs as they end, by plain events; a paragraph that starts another is given up."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.at, self.found = None, []
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in tree.PARAGRAPHS:
+            self.at = [tag, ""]
+        elif tag == "br" and self.at:
+            self.at[1] += "\n"
+
+    def handle_endtag(self, tag):
+        if self.at and self.at[0] == tag:
+            text = "\n".join(" ".join(x.split()) for x in self.at[1].split("\n")).strip()
+            self.found += [(tag, text)] if text else []
+            self.at = None
+
+    def handle_data(self, data):
+        if self.at:
+            self.at[1] += data
+
+
+def test_block_runs(spark, tiny):
+    block = '<p style="COLOR: #fff; text-align:center">Big <b>sale</b><br/>now</p><h2><i>Half</i>  price</h2><p style="display:none">A dog.</p><img alt=" "><img alt="Dog"><p>open<p> </p><p style="display:none">It runs.</p>'
+    runs, alt, told = tree.block_content(block)
+    assert [tuple(r.values()) for r in runs] == [("Big sale\nnow", "p", "#fff", "center", True, False), ("Half price", "h2", None, None, False, True)]
+    assert (alt, told) == ("Dog", "A dog. It runs.") and tree.block_content(None) == ([], None, None)
+    pages = spark.read.parquet(f"{tiny}/pages.parquet")
+    for r in pages.select("html", tree.block_runs(F.col("html")).alias("b")).collect():
+        assert [(x["tag"], x["text"]) for x in r["b"]["runs"]] == Paragraphs(r["html"]).found
