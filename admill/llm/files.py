@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -10,7 +11,7 @@ from pyarrow import fs
 
 
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))  # Hadoop's names of that store
 
 
 @contextmanager

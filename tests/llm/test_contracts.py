@@ -684,6 +684,14 @@ def test_odd_and_empty_tables(odd, none, operator):
         assert operator(odd).count() > 0
 
 
+def test_odd_texts_in_toxicity_and_decontamination(spark, odd):
+    labels = spark.createDataFrame([(i, i % 2, int(i % 3 == 0)) for i in range(len(ODD))] + [(None, 1, 1), (0, 0, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(odd, labels).count() == odd.count()
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)] + [(None, "a b c a b c a b c"), (7, ODD[7])], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(odd, bench).collect()}
+    assert {(7, 7), (7, None)} <= found and not {d for d, _ in found} & {1, 2, 3}
+
+
 def test_empty_pages_and_benchmarks(spark, none, odd):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archived_pages(pages).count() == 0
