@@ -203,7 +203,7 @@ def semantic_merge(spark, sf):
 
 @query("""WITH o AS (SELECT l_orderkey, l_linenumber AS n, l_extendedprice AS total, CASE WHEN l_quantity > 10 THEN l_extendedprice / l_quantity END AS unit, l_quantity, l_returnflag = 'R' AS best, l_linestatus AS label FROM lineitem),
 r AS (SELECT l_orderkey, coalesce(unit, total) AS price, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN best THEN 0 WHEN l_quantity = 1 THEN 1 WHEN unit IS NOT NULL THEN 2 ELSE 3 END, CASE WHEN NOT best AND l_quantity <> 1 THEN unit END, n, total) AS rn FROM o),
-l AS (SELECT l_orderkey, count(*) AS labels FROM o GROUP BY 1) SELECT r.l_orderkey, round(price, 6) AS price, labels FROM r JOIN l ON l.l_orderkey = r.l_orderkey WHERE rn = 1""")
+l AS (SELECT l_orderkey, count(*) AS labels FROM o GROUP BY 1) SELECT r.l_orderkey, round(price, 9) AS price, labels FROM r JOIN l ON l.l_orderkey = r.l_orderkey WHERE rn = 1""")
 def direct_response(spark, sf):
     l = table(spark, sf, "lineitem")
     offer = F.struct(
@@ -212,4 +212,4 @@ def direct_response(spark, sf):
     )
     rows = l.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(offer)).alias("offers"))
     got = rel.direct_response({"price": F.lit(None).cast("double"), "variants": F.lit(None).cast("array<string>")}, F.col("offers"), {})
-    return rows.select("l_orderkey", F.round(got["price"], 6).alias("price"), F.size(got["variants"]).cast("long").alias("labels"))
+    return rows.select("l_orderkey", F.round(got["price"], 9).alias("price"), F.size(got["variants"]).cast("long").alias("labels"))
