@@ -1,15 +1,18 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Every n-gram of a benchmark item is a seed, however rare or common: an edit breaks the n-grams
-around it, and no choice made beforehand can tell which ones a copy keeps. A document that holds
-`MIN_HITS` seeds of an item becomes a candidate; the seeds' positions bound the stretches of the
+A copy is looked for where a document holds `MIN_HITS` places of an item's n-grams. Of an item with p places, the
+p - MIN_HITS + 1 whose n-grams are in the fewest documents are its seeds: whoever holds MIN_HITS places holds one of
+them, so the commonest n-grams bring no candidates and nothing is lost. Frequencies are counted over all documents.
+A document that holds a seed has the item's other places counted too; their positions bound the stretches of the
 document that are aligned. A stretch that shares too few words with the item to score enough in
 any order is left out, which loses nothing; a local alignment (match 2, mismatch -1, gap -1 on
 words) scores the rest. The score is the share of the item's words that the best alignment
 matches; `MIN_SCORE` of them mark a copy, edited or not.
 
 Items with the same text are searched once. The distinct items are broadcast while their words are counted to
-be within `BROADCAST_SEEDS`; beyond that, documents send their n-grams through a join instead.
+be within `BROADCAST_SEEDS`; beyond that, documents send the n-grams that a bitmap of the items' n-grams lets pass
+through a join, split for n-grams of more than `HOT` documents. Beyond some 10^8 n-grams of items the bitmap lets
+more pass, which the join then drops.
 
 Cases: null and empty texts match nothing, nor do items shorter than an n-gram; items with the
 same text are reported each; of stretches with equal scores the first in the document is reported; extra
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from admill.llm.common import is_small, join_checked, materialise, require, shielded
 
@@ -35,6 +38,8 @@ N, MIN_HITS, MIN_SCORE, MIN_MATCHES = 3, 3, 0.5, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Most words of items that are broadcast, and pairs aligned at once.
 BROADCAST_SEEDS, _PAIRS = 200_000, 512
+#: Documents of an n-gram that one task joins, and the most bits of the bitmap (16 MB).
+HOT, MOST_BITS = 100_000, 1 << 27
 _WORD = re.compile(r"\w+")
 
 
@@ -192,30 +197,59 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     return join_checked(found, ids, "item").drop("item")
 
 
+def rarest(seeds: list[int], frequency: dict[int, int], min_hits: int) -> set[int]:
+    """n-grams of which a text must hold one to hold min_hits of an item's places: all places but the commonest."""
+    kept = len(seeds) - min(min_hits, len(seeds)) + 1
+    return set(sorted(seeds, key=lambda g: (frequency.get(g, 0), g))[:kept])
+
+
+def _frequencies(docs: DataFrame, known) -> dict[int, int]:
+    """Documents that hold each of a broadcast index's n-grams; at most BROADCAST_SEEDS of them."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                seen.update(set(known.value.find(words_of(text))[1].tolist()))
+        yield pd.DataFrame({"gram": list(seen), "n": list(seen.values())}, dtype="int64")
+
+    counted = docs.select("text").mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return {r["gram"]: r["n"] for r in counted.collect()}
+
+
 def _search_broadcast(docs: DataFrame, few_items: DataFrame, min_score: float, min_hits: int) -> DataFrame:
-    """One pass over the documents with the items in every task; their words were counted to be within BROADCAST_SEEDS."""
+    """Two passes over the documents with the items in every task; their words were counted to be within BROADCAST_SEEDS."""
     items = {r["item"]: list(r["words"]) for r in few_items.collect()}
+    context = docs.sparkSession.sparkContext
+    index = context.broadcast(GramIndex(list(items.values())))
+    frequency = _frequencies(docs, index)
     at: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    rare: dict[int, list[int]] = defaultdict(list)
     for item, words in items.items():
-        for i, gram in enumerate(grams(words)):
+        seeds = grams(words)
+        for i, gram in enumerate(seeds):
             at[gram].append((item, i))
-    shared = docs.sparkSession.sparkContext.broadcast((GramIndex(list(items.values())), dict(at), items))
+        for gram in rarest(seeds, frequency, min_hits):
+            rare[gram].append(item)
+    shared = context.broadcast((dict(at), dict(rare), items))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, places, texts = shared.value
+        known, (places, seeds, texts) = index.value, shared.value
         tasks = []
         for batch in batches:
             for row, doc_id, text in zip(batch["_row"], batch["doc_id"], batch["text"]):
                 words = words_of(text)
+                where, found = (x.tolist() for x in known.find(words))
+                near = {item for gram in set(found) for item in seeds.get(gram, ())}
+                if not near:
+                    continue
                 hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-                for d, gram in zip(*(x.tolist() for x in known.find(words))):
-                    for item, position in places.get(gram, ()):
-                        hits[item].append((d, position))
-                for item, found in hits.items():
-                    if len({p for _, p in found}) >= min(min_hits, len(texts[item]) - N + 1):
-                        for low, high in stretches(found, len(texts[item]), len(words)):
-                            if worth_aligning(texts[item], words[low:high], min_score):
-                                tasks.append(((row, doc_id, item), texts[item], words[low:high], low))
+                for d, gram in zip(where, found):
+                    for item, position in places[gram]:
+                        if item in near:
+                            hits[item].append((d, position))
+                for item, held in hits.items():
+                    tasks += _tasks((row, doc_id, item), texts[item], words, held, min_score, min_hits)
             if len(tasks) >= 4 * _PAIRS:
                 yield _frame(align(tasks, min_score))
                 tasks = []
@@ -225,6 +259,14 @@ def _search_broadcast(docs: DataFrame, few_items: DataFrame, min_score: float, m
     return materialise(_named(docs).mapInPandas(search, FOUND), "leaks")
 
 
+def _tasks(key: tuple, item: list[str], words: list[str], hits: list[tuple[int, int]], min_score: float, min_hits: int) -> Iterator[tuple]:
+    """Stretches of a document to be aligned with an item, from its hits (document position, item position)."""
+    if len({p for _, p in hits}) >= min(min_hits, len(item) - N + 1):
+        for low, high in stretches(hits, len(item), len(words)):
+            if worth_aligning(item, words[low:high], min_score):
+                yield key, item, words[low:high], low
+
+
 def _named(docs: DataFrame) -> DataFrame:
     return docs.select("_row", F.col("doc_id").cast("string").alias("doc_id"), "text")
 
@@ -233,31 +275,69 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[x.split()[0] for x in FOUND.split(", ")])
 
 
+def _bitmap(seeds: DataFrame) -> np.ndarray:
+    """One bit for each of the seeds' n-grams, at its remainder; some sixteen bits a seed, within MOST_BITS."""
+    size = min(MOST_BITS, 1 << max(15, (16 * seeds.count()).bit_length()))
+    place = F.pmod("gram", F.lit(size)) + 1
+    parts = seeds.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(size // 8, dtype=np.uint8)
+    for r in parts.collect():  # at most MOST_BITS in all
+        held = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+        out[(r["part"] - 1) * 4096 : r["part"] * 4096] = held
+    return out
+
+
+def _rare(seeds: DataFrame, placed: DataFrame, min_hits: int) -> DataFrame:
+    """(gram, item, parts): each item's places but the commonest, with the parts that the n-gram's documents are joined in."""
+    counted = placed.groupBy("gram").agg(F.count("*").alias("n"))
+    known = seeds.join(counted, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    of_item = Window.partitionBy("item")
+    places = F.count("*").over(of_item)
+    ranked = known.select("*", places.alias("p"), F.row_number().over(of_item.orderBy("n", "gram", "at")).alias("rank"))
+    kept = ranked.filter((F.col("rank") <= F.col("p") - F.least(F.lit(min_hits), "p") + 1) & (F.col("n") > 0))
+    return kept.select("gram", "item", F.ceil(F.col("n") / HOT).cast("int").alias("parts")).distinct()
+
+
 def _search_joined(docs: DataFrame, items: DataFrame, min_score: float, min_hits: int) -> DataFrame:
-    """For items beyond the bound: n-grams of stored docs meet the seeds in a join, candidates meet their texts again."""
+    """For items beyond the bound: n-grams of stored docs meet the rare seeds in a join, candidates meet their texts again."""
     seeds = materialise(item_seeds(items), "benchmark-seeds")
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = bits.value
         for batch in batches:
-            rows = [(row, g, d) for row, text in zip(batch["_row"], batch["text"]) for d, g in enumerate(grams(words_of(text)))]
-            yield pd.DataFrame(rows, columns=["_row", "gram", "d"], dtype="int64")
-
-    placed = docs.select("_row", "text").mapInPandas(split, "_row long, gram long, d long").join(seeds, "gram")
-    hits = placed.groupBy("_row", "item").agg(F.collect_list(F.struct("d", "at")).alias("hits"), F.count_distinct("at").alias("n"))
-    candidates = hits.join(items, "item").filter(F.col("n") >= F.least(F.lit(min_hits), F.size("words") - N + 1))
+            for row, text in zip(batch["_row"], batch["text"]):
+                found = np.unique(np.array(grams(words_of(text)), dtype=np.int64))
+                place = found % (8 * len(known))
+                found = found[(known[place >> 3] >> (place & 7)) & 1 == 1]
+                if len(found):
+                    yield pd.DataFrame({"_row": row, "gram": found})
+
+    placed = docs.select("_row", "text").mapInPandas(split, "_row long, gram long")
+    rare = materialise(_rare(seeds, placed, min_hits), "benchmark-rare")
+    hot = rare.filter("parts > 1").select("gram", "parts").distinct()
+    part = F.coalesce(F.pmod(F.xxhash64("_row"), F.col("parts")), F.lit(0)).cast("int")
+    left = join_checked(placed, hot, "gram", "left").select("_row", "gram", part.alias("part"))
+    right = rare.select("gram", "item", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    pairs = left.join(right, ["gram", "part"]).select("_row", "item").distinct()
+    candidates = join_checked(pairs, items, "item").join(_named(docs), "_row")
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, words, held = None, [], {}
         for batch in batches:
             tasks = []
-            for row, doc_id, item, hits, item_words, text in batch[["_row", "doc_id", "item", "hits", "words", "text"]].itertuples(index=False):
-                words = words_of(text)
-                for low, high in stretches([(h["d"], h["at"]) for h in hits], len(item_words), len(words)):
-                    if worth_aligning(item_words, words[low:high], min_score):
-                        tasks.append(((row, doc_id, item), list(item_words), words[low:high], low))
+            for row, doc_id, item, item_words, text in batch[["_row", "doc_id", "item", "words", "text"]].itertuples(index=False):
+                if row != last:  # a row's candidates mostly come one after another
+                    last, words, held = row, words_of(text), defaultdict(list)
+                    for d, gram in enumerate(zip(*(words[i:] for i in range(N)))):
+                        held[gram].append(d)
+                item_words = list(item_words)
+                hits = [(d, p) for p, gram in enumerate(zip(*(item_words[i:] for i in range(N)))) for d in held.get(gram, ())]
+                tasks += _tasks((row, doc_id, item), item_words, words, hits, min_score, min_hits)
             if tasks:
                 yield _frame(align(tasks, min_score))
 
-    return materialise(candidates.drop("n").join(_named(docs), "_row").mapInPandas(score, FOUND), "leaks")
+    return materialise(candidates.mapInPandas(score, FOUND), "leaks")
 
 
 def stored(docs: DataFrame) -> DataFrame:

@@ -707,3 +707,27 @@ def test_extra_columns_come_back(spark):
     bench = spark.createDataFrame([(1, "something else entirely that nobody wrote before")], "item_id long, text string")
     for out in (quality.quality_filter(docs), line_templates.drop_lines(docs), simhash.one_of_each(docs), decontam.decontaminate(docs, bench)):
         assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == rows
+
+
+def test_decontamination_seeds_lose_no_candidate(spark, monkeypatch):
+    """Rare seeds find what all n-grams find, on both ways, with common n-grams split."""
+    rng = np.random.default_rng(31)
+    items = [[f"c{k}" for k in rng.integers(0, 12, n)] for n in (3, 4, 5, 12, 40, 60)]  # few words, so that n-grams recur everywhere
+    texts = [[*(f"c{k}" for k in rng.integers(0, 12, 40)), *edited(rng, items[i % 6], 0.1 * (i % 5))] for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    results = []
+    for kept in (decontam.rarest, lambda seeds, frequency, min_hits: set(seeds)):
+        monkeypatch.setattr(decontam, "rarest", kept)
+        results.append(sorted(map(tuple, decontam.leaks(docs, bench).collect())))
+    monkeypatch.setattr(decontam, "BROADCAST_SEEDS", 0)
+    monkeypatch.setattr(decontam, "HOT", 3)
+    results.append(sorted(map(tuple, decontam.leaks(docs, bench).collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) >= 40
+
+
+def test_decontamination_takes_the_rarest_places_as_seeds():
+    frequency = {1: 900, 2: 5, 3: 700, 4: 1}
+    assert decontam.rarest([1, 2, 3, 4], frequency, 3) == {2, 4}
+    assert decontam.rarest([1, 1, 1, 2], frequency, 3) == {1, 2}  # a place each
+    assert decontam.rarest([1], frequency, 3) == {1}
