@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from admill.functions import color, dates, geometry, html, money, pixels, text, tree, url
+from admill.functions import color, dates, geometry, html, money, pixels, text, tiers, tree, url
 from admill.operators import modelling, normalize, relational as rel, splits
 from admill.plans.registry import query
 from admill.plans.scalar import _TEXT
@@ -31,6 +31,29 @@ def page_descriptions(spark, sf):
     return table(spark, sf, "pages").select("page_id", html.description(F.col("html")).alias("description"))
 
 
+_CASCADED = f"""SELECT page_id, {_TITLE} AS title, page_id % 5 AS k, CAST(10 + page_id % 90 AS DOUBLE) AS price FROM pages"""
+
+
+@query(f"""WITH t AS ({_CASCADED}), s AS (SELECT *, regexp_split_to_array(title, '\\s+[–|]\\s+') AS parts FROM t)
+SELECT page_id, CASE WHEN k = 1 THEN 'P' || page_id WHEN len(parts) > 1 AND trim(parts[1]) <> '' AND length(trim(parts[1])) <= 50 THEN trim(parts[1]) END AS product_name, CASE WHEN k < 4 THEN price END AS product_price,
+CASE k WHEN 0 THEN 'xhr' WHEN 1 THEN 'json_ld' WHEN 2 THEN 'window' WHEN 3 THEN 'dom' END AS price_tier, CAST(CASE k WHEN 0 THEN 4.5 WHEN 1 THEN 4.25 WHEN 3 THEN 3.5 END AS DOUBLE) AS rating,
+CASE k WHEN 0 THEN page_id WHEN 1 THEN page_id + 1 WHEN 3 THEN page_id + 3 END AS rating_count, CASE k WHEN 0 THEN 'xhr' WHEN 1 THEN 'json_ld' WHEN 3 THEN 'dom' END AS count_tier FROM s""")
+def product_cascade(spark, sf):
+    """Pages with the same product told at different tiers, a lower tier repeated below with another price."""
+    k, n, price = F.col("page_id") % 5, F.col("page_id").cast("string"), (10 + F.col("page_id") % 90).cast("string")
+    said = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    answer = said('[{"url": "x"}, {"body": {"products": [{"variants": [{"title": "a", "price": "', price, '"}, {"price": 2000}]}], "average_rating": "4.5", "reviews_count": ', n, "}}]")
+    ld = said('<script type="application/ld+json">{"@type": ["Product"], "name": "P', n, '", "offers": [{"price": "', price, '"}], "aggregateRating": {"ratingValue": 4.25, "reviewCount": ', (F.col("page_id") + 1).cast("string"), "}}</script>")
+    script = said('<script>window.__INITIAL_STATE__ = {"price": ', (F.col("page_id") % 90 * 100 + 1000).cast("string"), "};</script>")
+    script = F.when(F.col("page_id") % 90 == 0, said('<script>window.__INITIAL_STATE__ = {"price": 10};</script>')).otherwise(script)
+    element = said('<s class="money"> </s><span class="x price">$', price, '</span><div class="jdgm-widget" data-average-rating="3.5" data-number-of-reviews="', (F.col("page_id") + 3).cast("string"), '"></div>')
+    lower = said('<span class="price">$5</span>')
+    before = F.when(k == 1, F.concat(ld, lower)).when(k == 2, F.concat(script, lower)).when(k == 3, element).otherwise(F.lit(""))
+    pages = table(spark, sf, "pages").select("page_id", "url", F.concat(before, F.col("html")).alias("html"), F.when(k == 0, answer).alias("fetched"))
+    out = tiers.cascade(pages, fetched="fetched")
+    return out.select("page_id", "product_name", "product_price", F.col("told_by")["product_price"].alias("price_tier"), "rating", "rating_count", F.col("told_by")["rating_count"].alias("count_tier"))
+
+
 @query()
 def page_zones(spark, sf):
     """Zones need an element tree, which SQL lacks; tests hold all pages against a plain version by another parser of nesting."""
