@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from admill.functions import url
-from admill.operators import guide, modelling, products, shap, splits
+from admill.operators import features, guide, modelling, products, shap, splits
 from admill.operators.storage import stored
 from admill.plans.registry import query
 from admill.plans.views import ADS, AS_OF, ads, table
@@ -111,3 +111,32 @@ def product_features(spark, sf):
     f = {k: v.cast("long") if k.endswith("_count") else v for k, v in f.items()}
     names = ["rating", "rating_count_log1p", "has_rating", "has_product_description", "product_description_word_count", "variants_featured_count"]
     return rows.select("p_partkey", *[f[n].alias(n) for n in names])
+
+
+@query(f"""WITH {ADS}, t AS (SELECT *, ad_id % 4 AS m, price > 20 AS paged, CASE WHEN segment <> 'P' THEN 'Try it' END AS body, CASE WHEN price > 20 THEN CASE WHEN segment = 'P' THEN 'Luxury ease' ELSE '' END END AS usp FROM ads),
+c AS (SELECT segment, median(price) AS middle FROM t WHERE paged GROUP BY 1),
+f AS (SELECT t.*, c.middle, lower(hook || coalesce(' ' || body, '') || coalesce(' ' || nullif(usp, ''), '')) AS said, CASE WHEN m = 1 THEN '#ff0000' WHEN m > 1 THEN '#102030' END AS hex FROM t LEFT JOIN c ON c.segment = t.segment)
+SELECT ad_id, length(hook) AS title_length, length(coalesce(body, '')) AS body_length, length(coalesce(usp, '')) AS usp_length, contains(said, 'urgent') AS urgency_language, segment = 'F' AS has_cta_text, CASE WHEN segment = 'F' THEN 'shop_now' ELSE 'none' END AS cta_type,
+contains(said, 'luxury') OR (paged AND price >= 1.5 * middle) AS premium_positioning, CASE WHEN hex IS NULL THEN 'unknown' WHEN m = 1 THEN 'red' ELSE 'blue' END AS dominant_color, CASE WHEN hex IS NULL THEN 0.5::DOUBLE ELSE round(2 / 3 / sqrt(2), 9) END AS palette_vibrancy,
+CASE WHEN m = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS psychological_warmth_index, CASE WHEN m = 0 THEN 'unknown' ELSE 'High' END AS contrast_ratio_type, 'unknown' AS background_style, paged AS has_product_page, m <> 0 AS has_step2_features,
+CASE WHEN usp <> '' THEN 2::BIGINT END AS product_usp_word_count, CASE WHEN ad_id % 2 = 0 THEN 2::BIGINT ELSE 0::BIGINT END AS publisher_count, CASE WHEN m <> 0 THEN collation_count END AS creative_total_word_count,
+CASE WHEN ad_id % 3 = 0 THEN 'likely_test' ELSE 'unknown' END AS campaign_role_signal, CASE WHEN ad_id % 3 = 0 THEN 2::BIGINT ELSE 0::BIGINT END AS utm_content_granularity_score,
+CASE WHEN NOT paged THEN 'unknown' WHEN price < 35 THEN 'mid' WHEN price < 60 THEN 'premium' ELSE 'luxury_bundle' END AS price_tier FROM f""")
+def feature_rows(spark, sf):
+    """Ads with pages and creatives as whole model rows; every column of them, the tests look at the rest."""
+    a = ads(spark, sf)
+    page = F.struct(
+        "price", F.when(F.col("segment") == "P", "Luxury ease").otherwise("").alias("usp"), (F.col("price") / 20).alias("rating"), F.col("collation_count").alias("rating_count"), F.lit("two words").alias("marketing_copy"),
+        F.lit("").alias("subscription_status"), F.lit(None).cast("boolean").alias("shows_all_variants"), F.array("hook").alias("variants_featured"), F.lit(None).cast("array<string>").alias("cultural_branding"),
+    )
+    rows = a.select(
+        "ad_id", "days_active", "collation_count", F.col("hook").alias("title"), F.when(F.col("segment") != "P", "Try it").alias("body"), F.when(F.col("segment") == "F", "Shop Now").alias("cta_text"), F.col("segment").alias("product_category"),
+        F.when(F.col("ad_id") % 3 == 0, "https://x.example/p?utm_content=ugc_video").otherwise("https://x.example/p").alias("link_url"), F.when(F.col("ad_id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).alias("publisher_platforms"), F.when(F.col("price") > 20, page).alias("product_page"),
+    )
+    creative = a.filter("ad_id % 4 <> 0").select(
+        "ad_id", F.col("collation_count").alias("total_word_count"), F.array(F.lit("#102030"), F.lit("#ffffff")).alias("dominant_hex_palette"), F.when(F.col("ad_id") % 4 == 1, "#ff0000").alias("background_hex"), F.lit("High").alias("contrast_ratio_type"),
+    )
+    out = features.feature_rows(rows, creative, features.price_medians(rows))
+    longs = ["product_usp_word_count", "publisher_count", "utm_content_granularity_score"]
+    names = ["ad_id", "title_length", "body_length", "usp_length", "urgency_language", "has_cta_text", "cta_type", "premium_positioning", "dominant_color", "psychological_warmth_index", "contrast_ratio_type", "background_style", "has_product_page", "has_step2_features"]
+    return out.select(*names, *[F.col(c).cast("long").alias(c) for c in longs], F.round("palette_vibrancy", 9).alias("palette_vibrancy"), "creative_total_word_count", "campaign_role_signal", "price_tier")

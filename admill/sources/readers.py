@@ -64,3 +64,41 @@ def block_tree(blocks: DataFrame) -> DataFrame:
       SELECT doc, id, block_type, depth FROM t WHERE block_type IS NOT NULL AND id <> ''""",
         blocks=blocks,
     )
+
+
+#: What an extraction document holds of the fields that predictions are judged by.
+PREDICTION = """ad_id string, typography_hierarchy struct<primary_headline: struct<text: string>, secondary_copy: array<struct<text: string>>>,
+  marketing_psychology struct<hook_framework: string>, human_model_analysis struct<human_presence: boolean, model_count: int>"""
+
+
+def predictions(spark: SparkSession, path: str) -> DataFrame:
+    """(ad_id, predicted_headline, predicted_secondary_copy, predicted_hook_framework, predicted_human_presence, predicted_model_count) of a folder of
+    extraction documents; documents that don't parse or lack an id are left out, missing parts take defaults."""
+    docs = document_folder(spark, path, PREDICTION).filter("ad_id <> ''")
+    or_ = lambda c, default: F.coalesce(F.col(c), F.lit(default))
+    copy = F.transform(F.coalesce("typography_hierarchy.secondary_copy", F.array().cast("array<struct<text: string>>")), lambda b: F.coalesce(b["text"], F.lit("")))
+    return docs.select(
+        "ad_id",
+        or_("typography_hierarchy.primary_headline.text", "").alias("predicted_headline"),
+        copy.alias("predicted_secondary_copy"),
+        or_("marketing_psychology.hook_framework", "Unknown").alias("predicted_hook_framework"),
+        or_("human_model_analysis.human_presence", False).alias("predicted_human_presence"),
+        or_("human_model_analysis.model_count", 0).alias("predicted_model_count"),
+    )
+
+
+def golden_set(spark: SparkSession, path: str, labels: str) -> DataFrame:
+    """Entries of a golden set (one JSON array) with the given label columns (`name type, ...`), null while not labelled."""
+    return json_corpus(spark, path, f"ad_id string, {labels}")
+
+
+def local_artifacts(spark: SparkSession, ads_path: str, documents_path: str, ads: str, documents: str, matrix_path: str | None = None, matrix: str = "ad_id string") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three artifacts of a run: its ads, its extraction documents, and its matrix with one row an id, the last in the file (empty without a path).
+
+    The schemas are given. Every document stays, two of one ad included; those that don't parse stop the load.
+    """
+    docs = spark.read.option("multiLine", True).option("mode", "FAILFAST").schema(documents).json(documents_path)
+    if matrix_path is None:
+        return json_corpus(spark, ads_path, ads), docs, spark.createDataFrame([], matrix)
+    rows = json_corpus(spark, matrix_path, matrix).withColumn("_place", F.monotonically_increasing_id())
+    return json_corpus(spark, ads_path, ads), docs, latest_per_key(rows, ["ad_id"], [F.desc("_place")]).drop("_place")
