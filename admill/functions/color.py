@@ -5,22 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def packed(hex_color: Column) -> Column:
+    """A colour as one whole number, red highest; null if the text isn't a colour."""
+    return F.conv(F.regexp_extract(hex_color, "^#*([0-9A-Fa-f]{6})", 1), 16, 10).cast("int")  # no digits, no number
+
+
+def _channel(number: Column, i: int) -> Column:
+    return F.shiftright(number, 16 - 8 * i).bitwiseAND(F.lit(255))
+
+
 def channel(hex_color: Column, i: int) -> Column:
     """Red, green or blue (i from 0) as 0 to 255; null if the text isn't a colour."""
-    plain = F.lower(F.regexp_replace(hex_color, "^#+", ""))
-    return F.when(plain.rlike("^[0-9a-f]{6}"), F.conv(F.substring(plain, 2 * i + 1, 2), 16, 10).cast("int"))
+    return _channel(packed(hex_color), i)
 
 
 def channels(hex_color: Column) -> tuple[Column, Column, Column]:
     return channel(hex_color, 0), channel(hex_color, 1), channel(hex_color, 2)
 
 
+def _parts(palette: Column) -> Column:
+    """Array of r, g, b of a palette's colours: each text is read once, however often its parts are used."""
+    return F.transform(F.transform(palette, packed), lambda v: F.struct(*[_channel(v, i).alias(c) for i, c in enumerate("rgb")]))
+
+
+def _ends(palette: Column) -> Column:
+    return F.transform(_parts(palette), lambda c: c.withField("high", F.greatest(c["r"], c["g"], c["b"])).withField("low", F.least(c["r"], c["g"], c["b"])))
+
+
 def bucket(hex_color: Column) -> Column:
-    r, g, b = channels(hex_color)
-    high, low = F.greatest(r, g, b), F.least(r, g, b)
-    gray = F.when(high > 200, "white").when(high < 50, "black").otherwise("gray")
-    named = F.when(r == high, "red").when(g == high, "green").otherwise("blue")
-    return F.when(high.isNull(), "unknown").when(high - low < 30, gray).otherwise(named)
+    def name(c: Column) -> Column:
+        gray = F.when(c["high"] > 200, "white").when(c["high"] < 50, "black").otherwise("gray")
+        named = F.when(c["r"] == c["high"], "red").when(c["g"] == c["high"], "green").otherwise("blue")
+        return F.when(c["high"].isNull(), "unknown").when(c["high"] - c["low"] < 30, gray).otherwise(named)
+
+    return F.get(F.transform(_ends(F.array(hex_color)), name), F.lit(0))
 
 
 def luminance(hex_color: Column) -> Column:
@@ -46,19 +64,30 @@ def is_warm(hex_color: Column) -> Column:
     return F.coalesce((r > 150) & (b < 150), F.lit(False))
 
 
+def saturations(palette: Column) -> Column:
+    """Of each colour of a palette; null where the text isn't a colour."""
+    return F.transform(_ends(palette), lambda c: F.when(c["high"] == 0, F.lit(0.0)).otherwise((c["high"] - c["low"]) / c["high"]))
+
+
 def saturation(hex_color: Column) -> Column:
-    r, g, b = channels(hex_color)
-    high, low = F.greatest(r, g, b), F.least(r, g, b)
-    return F.when(high == 0, F.lit(0.0)).otherwise((high - low) / high)
+    return F.get(saturations(F.array(hex_color)), F.lit(0))
 
 
 def vibrancy(palette: Column) -> Column:
-    """Sample deviation of the saturations of a palette's valid colours; null with fewer than two."""
-    found = F.filter(F.transform(palette, saturation), lambda s: s.isNotNull())
-    n = F.size(found)
-    mean = F.aggregate(found, F.lit(0.0), lambda acc, s: acc + s) / n
-    squares = F.aggregate(found, F.lit(0.0), lambda acc, s: acc + (s - mean) * (s - mean))
-    return F.when(n >= 2, F.sqrt(squares / (n - 1)))
+    """Sample deviation of the saturations of a palette's valid colours; null with fewer than two. One pass, each colour read once; equal saturations deviate by exactly 0."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+
+    def step(acc: Column, s: Column) -> Column:
+        n, off = acc["n"] + 1, s - acc["mean"]
+        mean = acc["mean"] + off / n
+        return F.when(s.isNull(), acc).otherwise(F.struct(n.alias("n"), mean.alias("mean"), (acc["squares"] + off * (s - mean)).alias("squares")))
+
+    return F.aggregate(saturations(palette), start, step, lambda acc: F.when(acc["n"] >= 2, F.sqrt(acc["squares"] / (acc["n"] - 1))))
+
+
+def group_vibrancy(hex_color: Column) -> Column:
+    """The same of a group's rows, as an aggregate: palettes of any size, none of them collected."""
+    return F.stddev_samp(saturation(hex_color))
 
 
 def vibrancy_or_default(palette: Column) -> Column:

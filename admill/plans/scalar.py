@@ -72,9 +72,8 @@ u AS (SELECT l_orderkey, CASE WHEN greatest(r, g, 40) = 0 THEN 0.0 ELSE (greates
 SELECT l_orderkey, CASE WHEN count(*) >= 2 THEN round(stddev_samp(sat), 6) END AS vibrancy FROM u GROUP BY l_orderkey""")
 def palette_vibrancy(spark, sf):
     two = lambda c: F.lpad(F.lower(F.hex(F.pmod(c, F.lit(256)))), 2, "0")
-    palette = F.collect_list(F.concat(F.lit("#"), two(F.col("l_partkey")), two(F.col("l_suppkey")), F.lit("28")))
-    rows = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(palette.alias("p"))
-    return rows.select("l_orderkey", F.round(color.vibrancy(F.col("p")), 6).alias("vibrancy"))
+    hex_color = F.concat(F.lit("#"), two(F.col("l_partkey")), two(F.col("l_suppkey")), F.lit("28"))
+    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.round(color.group_vibrancy(hex_color), 6).alias("vibrancy"))
 
 
 @query("""WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice / 5000 END AS price FROM orders)
