@@ -13,11 +13,29 @@ def zone(y: Column) -> Column:
     return F.when(y < 1 / 3, "top").when(y < 2 / 3, "middle").otherwise("bottom")
 
 
+#: Places are compared in billionths, so that sums are exact and a mean doesn't hang on the order of its terms.
+UNITS = 1_000_000_000
+
+
+def _units(x: Column) -> Column:
+    return F.round(x * UNITS).cast("long")
+
+
+def _aligned(n: Column, total: Column, farthest: Column) -> Column:
+    middle, left, right = (int(v * UNITS + 0.5) for v in (0.12, 0.4, 0.6))
+    return F.when(n == 0, "").when(farthest < middle, "center").when(total < n * left, "left").when(total > n * right, "right").otherwise("mixed")
+
+
 def alignment(centers: Column) -> Column:
-    """Of an array of normalised x centres."""
-    mean = F.aggregate(centers, F.lit(0.0), lambda acc, x: acc + x) / F.size(centers)
-    middle = F.forall(centers, lambda x: F.abs(x - 0.5) < 0.12)
-    return F.when(F.size(centers) == 0, "").when(middle, "center").when(mean < 0.4, "left").when(mean > 0.6, "right").otherwise("mixed")
+    """Of an array of normalised x centres: center if all lie within 0.12 of the middle, else by a mean under 0.4 or over 0.6, in billionths."""
+    places = F.transform(centers, _units)
+    farthest = F.array_max(F.transform(places, lambda x: F.abs(x - UNITS // 2)))
+    return _aligned(F.size(centers), F.aggregate(places, F.lit(0).cast("long"), lambda acc, x: acc + x), farthest)
+
+
+def group_alignment(center: Column) -> Column:
+    """The same of a group's rows, as an aggregate."""
+    return _aligned(F.count(center), F.sum(_units(center)), F.max(F.abs(_units(center) - UNITS // 2)))
 
 
 def gcd(a: Column, b: Column) -> Column:

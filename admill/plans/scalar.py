@@ -130,16 +130,17 @@ def content_hash(spark, sf):
     return table(spark, sf, "pages").select("page_id", html.content_hash(F.col("html")).alias("content_hash"))
 
 
-@query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_partkey % 97) / 100.0 AS x, (l_suppkey % 89) / 100.0 AS y FROM lineitem)
+@query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_partkey % 97 + 5 AS xc, (l_suppkey % 89) / 100.0 AS y FROM lineitem)
 SELECT l_orderkey, count(*) FILTER (y + 0.05 < 1.0/3) AS n_top, count(*) FILTER (y + 0.05 >= 1.0/3 AND y + 0.05 < 2.0/3) AS n_middle, count(*) FILTER (y + 0.05 >= 2.0/3) AS n_bottom,
-CASE WHEN bool_and(abs(x + 0.05 - 0.5) < 0.12) THEN 'center' WHEN avg(x + 0.05) < 0.4 THEN 'left' WHEN avg(x + 0.05) > 0.6 THEN 'right' ELSE 'mixed' END AS text_alignment, round(CAST(count(*) AS DOUBLE) * 0.01, 6) AS copy_canvas_coverage FROM b GROUP BY l_orderkey""")
+CASE WHEN bool_and(abs(xc - 50) < 12) THEN 'center' WHEN sum(xc) < 40 * count(*) THEN 'left' WHEN sum(xc) > 60 * count(*) THEN 'right' ELSE 'mixed' END AS text_alignment, round(CAST(count(*) AS DOUBLE) * 0.01, 6) AS copy_canvas_coverage FROM b GROUP BY l_orderkey""")
 def placement_zones(spark, sf):
+    """The SQL counts x in whole hundredths: means of exactly 0.4 or 0.6 hung on the order of a sum of doubles."""
     x, y = F.pmod("l_partkey", F.lit(97)) / 100, F.pmod("l_suppkey", F.lit(89)) / 100
     box = F.struct(x.alias("x0"), y.alias("y0"), (x + 0.1).alias("x1"), (y + 0.1).alias("y1"))
     rows = table(spark, sf, "lineitem").select("l_orderkey", (x + 0.05).alias("xc"), (y + 0.05).alias("yc"), geometry.box_metrics(box, F.lit(1.0), F.lit(1.0))["coverage"].alias("c"))
     zone = geometry.zone(F.col("yc"))
-    grouped = rows.groupBy("l_orderkey").agg(*[F.count_if(zone == z).alias(f"n_{z}") for z in ("top", "middle", "bottom")], F.collect_list("xc").alias("xs"), F.sum("c").alias("c"))
-    return grouped.select("l_orderkey", "n_top", "n_middle", "n_bottom", geometry.alignment(F.col("xs")).alias("text_alignment"), F.round("c", 6).alias("copy_canvas_coverage"))
+    grouped = rows.groupBy("l_orderkey").agg(*[F.count_if(zone == z).alias(f"n_{z}") for z in ("top", "middle", "bottom")], geometry.group_alignment(F.col("xc")).alias("text_alignment"), F.sum("c").alias("c"))
+    return grouped.select("l_orderkey", "n_top", "n_middle", "n_bottom", "text_alignment", F.round("c", 6).alias("copy_canvas_coverage"))
 
 
 @query("""WITH d AS (SELECT p_partkey, 100 + p_partkey % 1000 AS w, 100 + p_size * 20 AS h FROM part), r AS (SELECT *, w / h AS r FROM d)
