@@ -11,7 +11,13 @@ from admill.functions.dates import days_active, iso_date
 
 def truthy(*columns: Column) -> Column:
     """The first that is neither null nor empty, zero or false."""
-    return F.coalesce(*[F.when(~c.cast("string").isin("", "0", "0.0", "false"), c) for c in columns])
+
+    def nothing(c: Column) -> Column:
+        said = c.cast("string")
+        number = (F.typeof(c) != "string") & said.rlike(r"^-?0(\.0+)?(E[+-]?\d+)?$")  # a negative zero, or a decimal's
+        return said.isin("", "0", "0.0", "false") | number
+
+    return F.coalesce(*[F.when(~nothing(c), c) for c in columns])
 
 
 def present(column: Column) -> Column:
