@@ -30,7 +30,7 @@ def alignment(centers: Column) -> Column:
     """Of an array of normalised x centres: center if all lie within 0.12 of the middle, else by a mean under 0.4 or over 0.6, in billionths."""
     places = F.transform(centers, _units)
     farthest = F.array_max(F.transform(places, lambda x: F.abs(x - UNITS // 2)))
-    return _aligned(F.size(centers), F.aggregate(places, F.lit(0).cast("long"), lambda acc, x: acc + x), farthest)
+    return _aligned(F.size(centers).cast("long"), F.aggregate(places, F.lit(0).cast("long"), lambda acc, x: acc + x), farthest)
 
 
 def group_alignment(center: Column) -> Column:
