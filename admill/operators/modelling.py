@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from admill.operators.ordering import quantiles, with_row_number
 
 RARE = "infrequent"
+#: Training rows that one task of a fit holds.
+TASK_ROWS = 100_000
 
 
 def pool_rare(rows: DataFrame, column: str, least: int = 5, train: Column | None = None) -> DataFrame:
@@ -57,9 +59,15 @@ def with_indicators(rows: DataFrame, numeric: list[str]) -> DataFrame:
     return out.withColumns({f"{c}_m": F.col(c).isNull().cast("double") for c in numeric})
 
 
+def in_tasks(rows: DataFrame) -> DataFrame:
+    """rows in as many partitions as keep TASK_ROWS a task on average: files hold many small rows a megabyte, and trees read cached rows of a partition at once."""
+    parts = -(-rows.count() // TASK_ROWS)
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def train_boosted(train: DataFrame, target: str, numeric: list[str], categorical: list[str], seed: int = 7, rounds: int = 20, depth: int = 3, step: float = 0.1) -> PipelineModel:
     trees = GBTRegressor(featuresCol="features", labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=0.8, seed=seed)
-    return Pipeline(stages=[preprocessor(numeric, categorical), trees]).fit(with_indicators(train, numeric))
+    return Pipeline(stages=[preprocessor(numeric, categorical), trees]).fit(with_indicators(in_tasks(train.select(target, *numeric, *categorical)), numeric))
 
 
 def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame, target: str, numeric: list[str]) -> DataFrame:
