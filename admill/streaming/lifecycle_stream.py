@@ -1,8 +1,9 @@
 """Status observations as a stream: each ad's lifecycle is state, kept up to date row by row.
 
-An ad's state holds the six fields of its lifecycle and the place of its last observation, and a map of its observations by time and
-id. A row after the last one is one step; an id that is known changes nothing; a row that comes late is put in its place and only that
-ad is folded again from its map. So a batch costs what its rows and the ads with late rows hold, whatever the log has grown to. Lateness is
+An ad's state holds the six fields of its lifecycle and the place of its last observation, and a list of its observations. A row after
+the last one is one step; a row that comes late is looked up in the list: where its time and id are known it changes nothing, else only
+that ad is folded again from its list. So a batch costs what its rows and the ads with late or repeated rows hold, whatever the log has grown
+to. State is asked for by ad and batch, not by row: each question is a message between the Python worker and the JVM. Lateness is
 unbounded in the domain, so nothing expires.
 """
 
@@ -47,28 +48,31 @@ class Lifecycles(StatefulProcessor):
         at, number, stop = self.kinds["observed_at"], self.kinds["observation_id"], self.kinds["reported_stop_date"]
         fields = [("state", StringType()), ("active", at), ("missing", at), ("event", at), ("stopped", stop), ("run", IntegerType()), ("n", LongType()), ("last_at", at), ("last_id", number)]
         self.now = handle.getValueState("now", StructType([StructField(n, t) for n, t in fields]))
-        place = StructType([StructField("at", at), StructField("id", number)])
-        self.seen = handle.getMapState("seen", place, StructType([StructField("status", StringType()), StructField("complete", BooleanType()), StructField("stop", stop)]))
+        self.seen = handle.getListState("seen", StructType([StructField("at", at), StructField("id", number), StructField("status", StringType()), StructField("complete", BooleanType()), StructField("stop", stop)]))
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = tuple(self.now.get()) if self.now.exists() else (*NEW, None, None)
-        now, last, late, fresh = held[:7], held[7:], False, []
-        for r in sorted(rows, key=lambda r: (r.observed_at, r.observation_id)):  # of one ad in one batch
-            place = (r.observed_at, r.observation_id)
-            if self.seen.containsKey(place):
-                continue
-            self.seen.updateValue(place, (r.observed_status, r.poll_complete, r.reported_stop_date))
-            fresh.append(r)
-            if last[0] is not None and place < last:
-                late = True
-            else:
-                now, last = step(now, r.observed_at, r.observed_status, r.poll_complete, r.reported_stop_date, self.misses), place
-        if not fresh:
+        held = self.now.get()
+        held = (*NEW, None, None) if held is None else tuple(held)
+        now, last = held[:7], held[7:]
+        told: dict[tuple, Row] = {}
+        for r in rows:  # of one ad in one batch
+            told.setdefault((r.observed_at, r.observation_id), r)
+        places, seen = sorted(told), None
+        if last[0] is not None and places[0] <= last:
+            seen = [tuple(o) for o in self.seen.get()]
+            known = {o[:2] for o in seen}
+            places = [p for p in places if p not in known]
+        if not places:
             return
-        if late:
-            now = NEW
-            for place, value in sorted(self.seen.iterator(), key=lambda kv: tuple(kv[0])):
-                now = step(now, place[0], *value, self.misses)
+        fresh = [told[p] for p in places]
+        added = [(*p, r.observed_status, r.poll_complete, r.reported_stop_date) for p, r in zip(places, fresh)]
+        self.seen.appendList(added)
+        if seen is not None and places[0] < last:
+            now, last, added = NEW, max(last, places[-1]), sorted([*seen, *added], key=lambda o: o[:2])
+        else:
+            last = places[-1]
+        for o in added:
+            now = step(now, o[0], *o[2:], self.misses)
         self.now.update((*now, *last))
         yield Row(ad_id=key[0], fresh=[Row(**{c: r[c] for c in COLUMNS if c != "ad_id"}) for r in fresh], state=now[0], last_active_at=now[1], first_missing_at=now[2], event_at=now[3], reported_stop_date=now[4], consecutive_complete_misses=now[5], observation_count=now[6])
 
