@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from admill.operators.ordering import in_ranges, with_row_number
+from admill.operators.ordering import MOST_VALUES, RANGES, in_ranges, with_row_number
 from admill.operators.storage import stored
 
 HORIZONS = (30, 60, 90, 180)
+#: About how many rows of a concordance's blocks one task holds, and how many kinds one range of risk.
+TASK_ROWS, RANGE_ROWS = 250_000, 500_000
 
 
 def scrape_dates(ads: DataFrame, share: float = 0.01, least: int = 5) -> DataFrame:
@@ -75,22 +77,31 @@ def horizons(rows: DataFrame, duration: str, observed: str, at: tuple[int, ...]
     )
 
 
+def block_points(numbered: DataFrame, digits: int, rows: int) -> DataFrame:
+    """(digit, block, _range, r, sooner, later): events and later rows of each risk in a block, dealt by block and range into as many tasks as the rows need."""
+    level = numbered.withColumn("digit", F.explode(F.sequence(F.lit(0), F.lit(digits - 1))))
+    side = F.expr("shiftright(day, digit) % 2")
+    block = level.select("digit", F.expr("shiftright(day, digit + 1)").alias("block"), "_range", "r", F.when(side == 0, F.when(F.col("e"), F.col("n"))).alias("sooner"), F.when(side == 1, F.col("n")).alias("later"))
+    told = block.filter("sooner IS NOT NULL OR later IS NOT NULL")  # a censored row on the lower side meets nobody
+    dealt = told.repartition(max(1, -(-rows * digits // TASK_ROWS)), "digit", "block", "_range")
+    return dealt.groupBy("digit", "block", "_range", "r").agg(F.coalesce(F.sum("sooner"), F.lit(0)).alias("sooner"), F.coalesce(F.sum("later"), F.lit(0)).alias("later"))
+
+
 def concordance(rows: DataFrame, duration: str, observed: str, risk: str) -> DataFrame:
     """One row: the share of comparable pairs in which the higher risk ends sooner, ties of risk counting a half, and the number of pairs.
 
     Pairs are never formed. Days are numbered in order; two different days part at exactly one binary
     digit of their numbers, so for each digit the events on the lower side of a block meet the rows on its higher
-    side, as running sums along the risk. Blocks are summed by ranges of risk, so none has to fit one task.
+    side, as running sums along the risk. Blocks are summed by ranges of risk, so none has to fit one task; ranges and tasks grow with the kinds of rows.
     """
     kinds = stored(rows.groupBy(F.col(duration).cast("double").alias("t"), F.col(observed).alias("e"), F.col(risk).cast("double").alias("r")).agg(F.count("*").alias("n")), "risks")
     days = stored(with_row_number(kinds.select("t").distinct(), "t", [], "day"), "days")
-    digits = max(1, (days.count()).bit_length())
-    numbered = in_ranges(kinds.filter("t IS NOT NULL AND r IS NOT NULL"), "r").join(days, "t")
-    level = numbered.withColumn("digit", F.explode(F.sequence(F.lit(0), F.lit(digits - 1))))
-    side = F.expr("shiftright(day, digit) % 2")
-    block = level.select("digit", F.expr("shiftright(day, digit + 1)").alias("block"), "_range", "r", F.when(side == 0, F.when(F.col("e"), F.col("n"))).alias("sooner"), F.when(side == 1, F.col("n")).alias("later"))
+    n_days, n_kinds = days.count(), kinds.count()
+    digits = max(1, n_days.bit_length())
+    ranged = in_ranges(kinds.filter("t IS NOT NULL AND r IS NOT NULL"), "r", max(RANGES, -(-n_kinds // RANGE_ROWS)))
+    numbered = ranged.join(F.broadcast(days) if n_days <= MOST_VALUES else days, "t")
     keys = ["digit", "block"]
-    points = block.groupBy(*keys, "_range", "r").agg(F.coalesce(F.sum("sooner"), F.lit(0)).alias("sooner"), F.coalesce(F.sum("later"), F.lit(0)).alias("later"))
+    points = block_points(numbered, digits, n_kinds)
     sums = points.groupBy(*keys, "_range").agg(F.sum("later").alias("_s"))
     whole = Window.partitionBy(*keys)
     lower = sums.select(*keys, "_range", F.coalesce(F.sum("_s").over(whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_lower"), F.sum("_s").over(whole).alias("_all"))
