@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import product
+from operator import and_
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from admill.operators.ordering import quantiles, with_row_number
+from admill.operators.storage import shared_dir, stored
 
 RARE = "infrequent"
 #: Training rows that one task of a fit holds.
 TASK_ROWS = 100_000
+#: Value ranges of a number that a search's trees tell apart, as many as Spark's trees do by themselves.
+BINS = 32
 
 
 def pool_rare(rows: DataFrame, column: str, least: int = 5, train: Column | None = None) -> DataFrame:
@@ -70,18 +75,51 @@ def train_boosted(train: DataFrame, target: str, numeric: list[str], categorical
     return Pipeline(stages=[preprocessor(numeric, categorical), trees]).fit(with_indicators(in_tasks(train.select(target, *numeric, *categorical)), numeric))
 
 
+def errors(target: str, prediction: str, median: float | None) -> list[Column]:
+    """Aggregates n_test, mae, baseline_mae and r2 of predictions, with the error of a median beside them."""
+    mean = F.avg(target)
+    residual = F.sum(F.pow(F.col(target) - F.col(prediction), 2))
+    total = F.sum(F.pow(target, F.lit(2.0))) - F.count("*") * mean * mean
+    return [F.count("*").alias("n_test"), F.avg(F.abs(F.col(target) - F.col(prediction))).alias("mae"), F.avg(F.abs(F.col(target) - F.lit(median))).alias("baseline_mae"), (1 - F.try_divide(residual, total)).alias("r2")]
+
+
 def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame, target: str, numeric: list[str]) -> DataFrame:
     """One row: error and R2 on the test rows, and the error of the training median."""
     median = next(iter(quantiles(train, target, [0.5])), None)
-    scored = model.transform(with_indicators(test, numeric))
-    mean = F.avg(target)
-    residual = F.sum(F.pow(F.col(target) - F.col("prediction"), 2))
-    total = F.sum(F.pow(target, F.lit(2.0))) - F.count("*") * mean * mean
-    return scored.agg(F.count("*").alias("n_test"), F.avg(F.abs(F.col(target) - F.col("prediction"))).alias("mae"), F.avg(F.abs(F.col(target) - F.lit(median))).alias("baseline_mae"), (1 - F.try_divide(residual, total)).alias("r2"))
+    return model.transform(with_indicators(test, numeric)).agg(*errors(target, "prediction", median))
+
+
+def value_ranges(rows: DataFrame, columns: list[str]) -> dict[str, list[float]]:
+    """For each numeric column the least values of at most BINS ranges: every value where they are that few, else quantiles."""
+    out = {}
+    for c in columns:
+        known = rows.select(F.col(c).cast("double").alias(c)).filter(F.col(c).isNotNull() & ~F.isnan(c))
+        values = [r[0] for r in known.distinct().limit(BINS + 1).collect()]
+        out[c] = sorted(values if len(values) <= BINS else set(known.approxQuantile(c, [i / BINS for i in range(1, BINS)], 0.001)))
+    return out
 
 
-#: Rounds, depth and step of the models that a search tries.
-GRID = [{"rounds": 10, "depth": 2, "step": 0.1}, {"rounds": 10, "depth": 3, "step": 0.1}, {"rounds": 20, "depth": 2, "step": 0.05}, {"rounds": 20, "depth": 3, "step": 0.05}]
+def in_value_ranges(rows: DataFrame, ranges: dict[str, list[float]]) -> DataFrame:
+    """rows with each numeric column's range numbers, in the values' order, for its values; what isn't known stays."""
+    place = lambda c, lows: F.size(F.filter(F.array(*map(F.lit, lows)), lambda x: x <= F.col(c))).cast("double") if lows else F.lit(0.0)
+    return rows.withColumns({c: F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).otherwise(place(c, lows)) for c, lows in ranges.items()})
+
+
+def kinds(rows: DataFrame, target: str, inputs: list[str]) -> DataFrame:
+    """(inputs, target, _weight): rows of equal inputs as one, with the mean of their targets and their number; rows without a target are left out.
+
+    For trees of squared errors these say as much as the rows: splits and leaves are the same. So that a tree's subsample leaves out some rows of equal
+    inputs and not all, they are dealt by hash into bundles, as many as keep all of them near TASK_ROWS; inputs that differ in every row stay rows.
+    """
+    different = rows.select(*inputs).distinct().count()
+    bundle = F.pmod(F.xxhash64(*rows.columns), F.lit(max(1, TASK_ROWS // max(1, different))))
+    known = rows.filter(F.col(target).isNotNull()).withColumn("_bundle", bundle)
+    out = known.groupBy(*inputs, "_bundle").agg(F.avg(target).alias(target), F.count("*").cast("double").alias("_weight")).drop("_bundle")
+    return out.repartition(max(1, -(-different // TASK_ROWS)))
+
+
+#: Rounds, depth, step and least rows of a leaf of the models that a search tries.
+GRID = [{"rounds": 200, "depth": 3, "step": 0.05, "least": 1}, {"rounds": 400, "depth": 3, "step": 0.03, "least": 3}, {"rounds": 300, "depth": 4, "step": 0.05, "least": 3}, {"rounds": 250, "depth": 5, "step": 0.03, "least": 5}]
 
 
 def time_folds(rows: DataFrame, time: str, key: str, folds: int = 5, into: str = "fold") -> DataFrame:
@@ -99,26 +137,48 @@ def time_folds(rows: DataFrame, time: str, key: str, folds: int = 5, into: str =
     return placed.withColumn(into, F.greatest(block, F.lit(-1))).drop("_t", "_place")
 
 
-def time_search(rows: DataFrame, target: str, numeric: list[str], categorical: list[str], grid: list[dict] = GRID, fold: str = "fold", at_once: int = 4) -> DataFrame:
+def time_search(rows: DataFrame, target: str, numeric: list[str], categorical: list[str], grid: list[dict] = GRID, fold: str = "fold", at_once: int = 8, subsample: float = 0.8, seed: int = 7) -> DataFrame:
     """(point, rounds, depth, step, fold, n_train, n_test, mae, baseline_mae, r2): every grid point tested on every fold of stored rows, trained on the folds before.
 
-    Preprocessing is fitted anew on each fold's training rows. Fits are independent, so some of them run side by side.
+    A point's least, if it has one, comes along. Value ranges and preprocessing are fitted anew on each fold's training rows. Trees are fitted on kinds of
+    training rows and tell each kind of test rows once, so rows aren't read for every level of a tree. Folds and fits are independent, so some of them run side by side.
     """
+    spark = rows.sparkSession
+    if not spark.sparkContext.getCheckpointDir():  # hundreds of rounds are too long a lineage
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     numbers = sorted(r[fold] for r in rows.select(fold).distinct().collect() if r[fold] >= 0)  # as many as there are folds
+    inputs = [*numeric, *categorical]
 
-    def run(task: tuple[int, int]) -> DataFrame:
-        point, f = task
+    def prepare(f: int) -> tuple:
         train, test = rows.filter(F.col(fold) < f), rows.filter(F.col(fold) == f)
-        model = train_boosted(train, target, numeric, categorical, **grid[point])
-        out = evaluate(model, train, test, target, numeric)
-        told = {"point": point, **grid[point], "fold": f, "n_train": train.count()}
-        return out.select(*[F.lit(v).alias(k) for k, v in told.items()], *out.columns)
+        ranges = value_ranges(train, numeric)
+        seen = in_value_ranges(train, ranges)
+        prepared = preprocessor(numeric, categorical).fit(with_indicators(seen, numeric))
+        points = prepared.transform(with_indicators(kinds(seen, target, inputs), numeric)).select("features", target, "_weight")
+        tested = in_value_ranges(test, ranges).select(target, *inputs)
+        asked = prepared.transform(with_indicators(tested.select(*inputs).distinct(), numeric)).select("features", *inputs)
+        return stored(points, "kinds"), tested, asked, train.count(), next(iter(quantiles(train, target, [0.5])), None)
+
+    def fit(task: tuple[int, int]) -> GBTRegressionModel:
+        point, f = task
+        p, (points, _, _, n, _) = grid[point], folds[f]
+        least = max(0.0, min(0.49, (p.get("least", 1) - 0.5) / n))  # whole rows, so half of one settles it
+        trees = GBTRegressor(featuresCol="features", labelCol=target, weightCol="_weight", predictionCol=f"_p{point}", maxIter=p["rounds"], maxDepth=p["depth"], stepSize=p["step"], subsamplingRate=subsample, minWeightFractionPerNode=least, seed=seed)
+        return trees.fit(points)
 
     with ThreadPoolExecutor(at_once) as pool:
-        parts = list(pool.map(run, product(range(len(grid)), numbers)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+        folds = dict(zip(numbers, pool.map(prepare, numbers)))
+        tasks = sorted(product(range(len(grid)), numbers), key=lambda t: (-grid[t[0]]["rounds"] * grid[t[0]]["depth"], t))  # the longest first
+        models = dict(zip(tasks, pool.map(fit, tasks)))
+    out = None
+    for f, (_, tested, asked, n, median) in folds.items():
+        for point in range(len(grid)):
+            asked = models[point, f].transform(asked)
+        told_of = asked.select(*[F.col(c).alias(f"_{c}") for c in inputs], *[f"_p{i}" for i in range(len(grid))])
+        scored = tested.join(told_of, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in inputs]))
+        told = [F.struct(*[F.lit(v).alias(k) for k, v in {"point": i, **p, "fold": f, "n_train": n}.items()], *errors(target, f"_p{i}", median)) for i, p in enumerate(grid)]
+        part = scored.agg(F.array(*told).alias("_points")).select(F.inline("_points"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
