@@ -174,7 +174,8 @@ def time_search(rows: DataFrame, target: str, numeric: list[str], categorical: l
     for f, (_, tested, asked, n, median) in folds.items():
         for point in range(len(grid)):
             asked = models[point, f].transform(asked)
-        told_of = asked.select(*[F.col(c).alias(f"_{c}") for c in inputs], *[f"_p{i}" for i in range(len(grid))])
+        # stored, since a broadcast join would put off the models' calls to each of its rows
+        told_of = stored(asked.select(*[F.col(c).alias(f"_{c}") for c in inputs], *[f"_p{i}" for i in range(len(grid))]), "predictions")
         scored = tested.join(told_of, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in inputs]))
         told = [F.struct(*[F.lit(v).alias(k) for k, v in {"point": i, **p, "fold": f, "n_train": n}.items()], *errors(target, f"_p{i}", median)) for i, p in enumerate(grid)]
         part = scored.agg(F.array(*told).alias("_points")).select(F.inline("_points"))
